@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.batches import mixed
 from tallyforge.llm.shared import ascii_lower, saved
 
 #: A level's filter is broadcast; a longer list of keys needs a larger bound, set knowingly.
@@ -45,12 +46,6 @@ class Level:
         return found
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
 def positions(h1: np.ndarray, h2: np.ndarray, seed: int, probes: int, n_bits: int):
     a = mixed(h1 + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64))
     b = mixed(h2 ^ np.uint64((seed + 1) * 0xD1B54A32D192ED03 % 2**64)) | np.uint64(1)
@@ -102,14 +97,15 @@ def build_level(keys: DataFrame, seed: int, bits_per_key: float, probes: int, ma
     return Level(out, probes, seed)
 
 
-def passing(keys: DataFrame, level: Level) -> DataFrame:
+def passing(keys: DataFrame, level: Level, wanted: bool = True) -> DataFrame:
+    """The rows (h1, h2) that pass the filter, or that don't."""
     held = keys.sparkSession.sparkContext.broadcast(level)
 
     @F.pandas_udf("boolean")
     def passes(h1: pd.Series, h2: pd.Series) -> pd.Series:
         return pd.Series(held.value.test(h1.to_numpy(np.int64).view(np.uint64), h2.to_numpy(np.int64).view(np.uint64)))
 
-    return keys.where(passes("h1", "h2"))
+    return keys.where(passes("h1", "h2") == wanted)
 
 
 def build_cascade(universe: DataFrame, keys: DataFrame, bits_per_key: float = 12.0, max_filter_bytes: int = MAX_FILTER_BYTES) -> list[Level]:
