@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat_format, language_id, mixing, simhash, substring_dedup, toxicity, url_filter
+from tallyforge.llm import chat_format, language_id, mixing, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from tallyforge.llm.shared import held_out, table
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -26,6 +26,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -57,4 +62,4 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.compare_edits(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash)}
