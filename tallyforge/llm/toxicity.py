@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.batches import LOWER, chunks, segment_max, text_bytes
 
-MAX_DOCS, MAX_DOC_BYTES = 1500, 1 << 15
+MAX_DOCS, MAX_DOC_BYTES = 1000, 1 << 15
 WINDOW, DECAY, TABLE, LANDMARKS, ROUNDS = 8, 0.8, 1 << 18, 512, 4
 STEPS = [(a, b, c) for a in (1, 2) for b in (1, 2) for c in (1, 2)]
 REACH = 6
@@ -45,7 +45,7 @@ def prepared(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Lower-cased bytes and the number of each one's sentence, with room to look ahead."""
     block = np.cumsum(ENDS[data], dtype=np.int32)
     block += np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets)) * 2
-    return np.concatenate([LOWER[data], np.zeros(REACH, np.uint8)]).astype(np.uint32), np.concatenate([block, np.full(REACH, -1, np.int32)])
+    return np.concatenate([LOWER[data], np.zeros(REACH, np.uint8)]), np.concatenate([block, np.full(REACH, -1, np.int32)])
 
 
 def subsequences(x: np.ndarray, block: np.ndarray):
@@ -53,7 +53,9 @@ def subsequences(x: np.ndarray, block: np.ndarray):
     n = x.shape[-1] - REACH
     for a, b, c in STEPS:
         i, j, k = a, a + b, a + b + c
-        key = x[..., :n] | x[..., i : n + i] << np.uint32(8) | x[..., j : n + j] << np.uint32(16) | x[..., k : n + k] << np.uint32(24)
+        key = x[..., k : n + k].astype(np.uint32)
+        for part in (x[..., j : n + j], x[..., i : n + i], x[..., :n]):
+            key = key << np.uint32(8) | part
         place = (key * np.uint32(2654435761)) >> np.uint32(14)
         yield place, DECAY ** (k - 3), block[..., k : n + k] == block[..., :n]
 
@@ -102,56 +104,79 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model | None:
         return None
     rng = np.random.default_rng(seed)
     data, offsets = text_bytes(pa.array(texts, pa.large_string()))
-    doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    # Documents of each class that hold a gapless subsequence; its log odds point to telling windows.
     x, block = prepared(data, offsets)
-    first = next(subsequences(x, block))
-    pairs = np.unique(doc[first[2]].astype(np.int64) * TABLE + first[0][first[2]])
-    of, place = toxic[pairs // TABLE], pairs % TABLE
-    pos, neg = np.bincount(place[of], minlength=TABLE), np.bincount(place[~of], minlength=TABLE)
+    # Documents of each class that hold a gapless subsequence; its log odds point to telling windows.
+    pos, neg = np.zeros(TABLE), np.zeros(TABLE)
+    for i, j, part, own in chunks(data, offsets):
+        place, _, valid = next(subsequences(*prepared(part, own)))
+        doc = np.repeat(np.arange(i, j, dtype=np.int64), np.diff(own))
+        pairs = np.unique(doc[valid] * TABLE + place[valid])
+        of, place = toxic[pairs // TABLE], pairs % TABLE
+        pos += np.bincount(place[of], minlength=TABLE)
+        neg += np.bincount(place[~of], minlength=TABLE)
     odds = np.log((pos + 0.5) / (toxic.sum() + 1)) - np.log((neg + 0.5) / ((~toxic).sum() + 1))
-    odds[pos < 3] = np.minimum(odds[pos < 3], 0)
-    guess = window_sums(np.where(first[2], np.maximum(odds[first[0]], 0), 0.0), offsets)
-
-    def top(scores: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """The best window of each of ``docs``."""
-        return np.array([offsets[d] + scores[offsets[d] : offsets[d + 1]].argmax() for d in docs if offsets[d + 1] > offsets[d]], np.int64)
+    odds = np.where(pos < 3, 0, np.maximum(odds, 0))
+
+    def best_windows(value) -> tuple[np.ndarray, np.ndarray]:
+        """(start, score) of the best window of every document; start -1 for an empty one."""
+        start, score = np.full(len(texts), -1), np.full(len(texts), -np.inf)
+        for i, j, part, own in chunks(data, offsets):
+            sums = window_sums(value(part, own), own)
+            for d in range(i, j):
+                if offsets[d + 1] > offsets[d]:
+                    at = int(sums[own[d - i] : own[d - i + 1]].argmax())
+                    start[d], score[d] = offsets[d] + at, sums[own[d - i] + at]
+        return start, score
+
+    def telling(part: np.ndarray, own: np.ndarray) -> np.ndarray:
+        place, _, valid = next(subsequences(*prepared(part, own)))
+        return np.where(valid, odds[place], 0.0)
 
     is_pos, is_neg = np.flatnonzero(toxic), np.flatnonzero(~toxic)
-    chosen = top(guess, is_pos)
-    background = rng.choice(np.flatnonzero(~toxic[doc]) if (~toxic[doc]).any() else np.arange(1), 6000)
+    starts, _ = best_windows(telling)
+    chosen, hard = starts[is_pos][starts[is_pos] >= 0], starts[is_neg][starts[is_neg] >= 0]
+    if not len(chosen) or not len(hard):
+        return None
+    from_doc = rng.choice(is_neg[starts[is_neg] >= 0], 6000)
+    background = (offsets[from_doc] + rng.random(6000) * np.diff(offsets)[from_doc]).astype(np.int64)
     marks = np.concatenate([rng.permutation(chosen)[: LANDMARKS * 3 // 4], background[: LANDMARKS // 4]])
     places, weights = window_features(x, block, offsets, marks)
-    basis = np.zeros((TABLE, len(marks)), np.float32)
-    np.add.at(basis, (places, np.arange(len(marks))[:, None]), weights)
+    # Only subsequences of landmarks matter: row 0 stands for all others.
+    used = np.unique(places)
+    row = np.zeros(TABLE, np.int32)
+    row[used] = np.arange(1, len(used) + 1)
+    basis = np.zeros((len(used) + 1, len(marks)), np.float32)
+    np.add.at(basis, (row[places], np.arange(len(marks))[:, None]), weights)
 
     def kernel(windows: np.ndarray) -> np.ndarray:
-        out = np.empty((len(windows), len(marks)), np.float32)
+        out = np.zeros((len(windows), len(marks)), np.float32)
         for i in range(0, len(windows), 512):
             p, w = window_features(x, block, offsets, windows[i : i + 512])
-            out[i : i + 512] = np.einsum("nk,nkm->nm", w, basis[p], optimize=True)
+            for k in range(p.shape[1]):
+                out[i : i + 512] += w[:, k, None] * basis[row[p[:, k]]]
         return out
 
     own = kernel(marks).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     keep = values > 1e-4 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    hard = np.concatenate([background, top(guess, is_neg)])
+    hard = np.concatenate([background, hard])
     model = None
     for _ in range(ROUNDS):
         mapped = np.concatenate([kernel(chosen), kernel(hard)]) @ root
         y = np.concatenate([np.ones(len(chosen)), -np.ones(len(hard))])
         w, bias = linear_svm(mapped, y)
         # The norm of a window is left out of the folded weights: it is nearly the same for all.
-        folded = basis @ (root @ w).astype(np.float32)
+        folded = np.zeros(TABLE, np.float32)
+        folded[used] = basis[1:] @ (root @ w).astype(np.float32)
         norm = float(np.sqrt(sum(WINDOW * DECAY ** (2 * (a + b + c - 3)) for a, b, c in STEPS)))
         model = Model(folded / np.float32(norm), float(bias), 1.0, 0.0)
-        scores = window_sums(model.positions(data, offsets), offsets)
-        chosen = top(scores, is_pos)
+        starts, scores = best_windows(model.positions)
         # Toxic documents whose best window looks clean teach nothing.
-        chosen = chosen[scores[chosen] + bias > -1] if (scores[chosen] + bias > -1).any() else chosen
-        hard = np.unique(np.concatenate([hard, top(scores, is_neg)]))
-    best = model.best(data, offsets)
+        sure = is_pos[scores[is_pos] + bias > -1]
+        chosen = starts[sure] if len(sure) else chosen
+        hard = np.unique(np.concatenate([hard, starts[is_neg][starts[is_neg] >= 0]]))
+    best = np.concatenate([model.best(part, own) for _, _, part, own in chunks(data, offsets)])
     some = np.isfinite(best)
     model.slope, model.shift = platt(best[some], toxic[some])
     return model
