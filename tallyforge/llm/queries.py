@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat_format, language_id, mixing, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from tallyforge.llm import chat_format, language_id, mixing, ngram_jaccard, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from tallyforge.llm.shared import held_out, table
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -62,4 +62,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.compare_edits(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash)}
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_ngram_jaccard)}
