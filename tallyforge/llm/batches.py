@@ -76,13 +76,13 @@ class SpanHash:
         return mixed((self.total[end] - self.total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, first): words [^\\x20\\x09-\\x0D]+ as byte ranges; text i has words first[i]:first[i + 1]."""
-    space = SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first): runs of bytes that aren't ``apart`` (by default [^\\x20\\x09-\\x0D]+) as byte ranges; text i has words first[i]:first[i + 1]."""
+    space = apart[data]
     begins = ~space
-    begins[1:] &= space[:-1] | False
+    begins[1:] &= space[:-1]
     ends = ~space
-    ends[:-1] &= space[1:] | False
+    ends[:-1] &= space[1:]
     inner = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
     begins[inner] = ~space[inner]
     ends[inner - 1] = ~space[inner - 1]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat_format, language_id, mixing, ngram_jaccard, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from tallyforge.llm import chat_format, decontamination, language_id, mixing, ngram_jaccard, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from tallyforge.llm.shared import held_out, table
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -31,6 +31,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontamination.leaks(docs, benchmark).select("doc_id", "item_id", "item_tokens", "covered", "coverage")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -66,4 +71,4 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op4_decontamination, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_ngram_jaccard)}
