@@ -46,8 +46,8 @@ def source_targets(sizes: DataFrame, weights: list[int], share: float, cap: floa
     before, after = full.rowsBetween(Window.unboundedPreceding, -1), full.rowsBetween(0, Window.unboundedFollowing)
     whole = Window.partitionBy()
     rows = rows.withColumn("left", F.sum("source_size").over(whole) * share - F.coalesce(F.sum("most").over(before), F.lit(0.0))).withColumn("level", F.col("left") / F.sum("weight").over(after))
-    # the level is that of the first source which isn't full at it
-    level = F.min(F.when(F.col("level") < F.col("ratio"), F.col("level"))).over(whole)
+    # The first source that is not full at its level sets it; after that the levels only fall.
+    level = F.max(F.when(F.col("level") < F.col("ratio"), F.col("level"))).over(whole)
     return rows.select("source", "source_size", F.least(F.col("most"), F.coalesce(level, F.lit(float("inf"))) * F.col("weight")).alias("target"))
 
 

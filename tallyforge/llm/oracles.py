@@ -34,7 +34,7 @@ s AS (SELECT source, sum(size)::BIGINT AS source_size, ([5, 2, 1])[((row_number(
 r AS (SELECT *, source_size * 2.0::DOUBLE AS most, source_size * 2.0::DOUBLE / w AS ratio FROM s),
 l AS (SELECT *, (sum(source_size) OVER ())::DOUBLE * 1.5 - coalesce(sum(most) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
   sum(w) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM r),
-t AS (SELECT source, source_size, least(most, coalesce(min(CASE WHEN rest / open < ratio THEN rest / open END) OVER (), 'infinity'::DOUBLE) * w) AS target FROM l),
+t AS (SELECT source, source_size, least(most, coalesce(max(CASE WHEN rest / open < ratio THEN rest / open END) OVER (), 'infinity'::DOUBLE) * w) AS target FROM l),
 k AS (SELECT d.doc_id, d.size, t.source_size, t.target, row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) AS i,
   CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
   ('0x' || substr(md5('7/' || coalesce(d.source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
