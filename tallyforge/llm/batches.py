@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+#: Task memory that is freed goes back to the system at once.
+pa.set_memory_pool(pa.system_memory_pool())
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)

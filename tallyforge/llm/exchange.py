@@ -14,10 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.batches import chunks, text_bytes
+from tallyforge.llm.batches import chunks, mixed, text_bytes
+from tallyforge.llm.shared import fewer_rows
 from tallyforge.llm.url_filter import build_level, hashed, passing
 
-FLUSH_KEYS = 1_000_000
+FLUSH_KEYS = 200_000
 #: A filter of document ids is sent to all tasks only below this size; beyond it the whole table is joined.
 MAX_FILTER_BYTES = 64 << 20
 SCHEMA = "bucket int, settled boolean, key array<long>, extra array<long>, doc array<long>, at array<int>"
@@ -104,20 +105,21 @@ def send(rows: DataFrame, find: Finder, mode: str, buckets: int) -> DataFrame:
         if held:
             yield from (b for b in flush(parts, turn + 7) if b is not None)
 
-    return rows.mapInArrow(run, SCHEMA)
+    return fewer_rows(rows).mapInArrow(run, SCHEMA)
 
 
 def met(sent: DataFrame, mode: str, buckets: int) -> DataFrame:
-    """(doc, at array): the places that count, gathered by document."""
+    """(doc, at array): the places that count, one row per document."""
 
     def run(batches):
         kept: list[tuple] = []
+        found: list[tuple] = []
         for batch in batches:
             done = batch.column(1).to_numpy(zero_copy_only=False)
             cols = [batch.column(c) for c in range(2, 6)]
             if done.any():
                 mask = pa.array(done)
-                yield from by_doc(*(c.filter(mask).flatten().to_numpy() for c in cols[2:]))
+                found.append(tuple(c.filter(mask).flatten().to_numpy() for c in cols[2:]))
             if not done.all():
                 mask = pa.array(~done)
                 kept.append(tuple(c.filter(mask).flatten().to_numpy() for c in cols))
@@ -132,17 +134,43 @@ def met(sent: DataFrame, mode: str, buckets: int) -> DataFrame:
                 twice = np.maximum.reduceat(doc[order], first) != np.minimum.reduceat(doc[order], first) if mode == "docs" else size >= 2
                 hit = order[np.repeat(seen | twice, size)]
                 hit = hit[at[hit] >= 0]
-            yield from by_doc(doc[hit], at[hit])
+            found.append((doc[hit], at[hit]))
+        if found:
+            yield from home(*(np.concatenate(p) for p in zip(*found, strict=True)), buckets=buckets)
 
-    found = sent.repartition(buckets, "bucket").mapInArrow(run, "doc long, at array<int>")
-    return found.groupBy("doc").agg(F.flatten(F.collect_list("at")).alias("at"))
+    return gathered(sent.repartition(buckets, "bucket").mapInArrow(run, HOME), buckets)
 
 
-def by_doc(doc: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+HOME = "home int, doc array<long>, at array<int>, until array<int>"
+
+
+def home(doc: np.ndarray, at: np.ndarray, until: np.ndarray | None = None, buckets: int = 1) -> Iterator[pa.RecordBatch]:
+    """Places on their way back to their documents: one row per bucket of documents."""
     if len(doc):
+        bucket = (mixed(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        names, first = np.unique(bucket[order], return_index=True)
+        cuts = np.append(first, len(doc))
+        ends = split(until[order], cuts, pa.int32()) if until is not None else pa.array([None] * len(names), pa.list_(pa.int32()))
+        yield pa.record_batch([pa.array(names), split(doc[order], cuts, pa.int64()), split(at[order], cuts, pa.int32()), ends], ["home", "doc", "at", "until"])
+
+
+def gathered(rows: DataFrame, buckets: int) -> DataFrame:
+    """(doc, at array, until array) of rows made by ``home``: one row per document."""
+
+    def run(batches):
+        got = [[batch.column(c) for c in (1, 2, 3)] for batch in batches]
+        if not got:
+            return
+        doc, at, until = (np.concatenate([g[c].flatten().to_numpy(zero_copy_only=False) for g in got]) for c in range(3))
         order = np.argsort(doc, kind="stable")
         ids, first = np.unique(doc[order], return_index=True)
-        yield pa.record_batch([pa.array(ids), split(at[order], np.append(first, len(doc)), pa.int32())], ["doc", "at"])
+        cuts = np.append(first, len(doc))
+        ends = split(until[order].astype(np.int32), cuts, pa.int32()) if len(until) else pa.array([None] * len(ids), pa.list_(pa.int32()))
+        if len(ids):
+            yield pa.record_batch([pa.array(ids), split(at[order].astype(np.int32), cuts, pa.int32()), ends], ["doc", "at", "until"])
+
+    return rows.repartition(buckets, "home").mapInArrow(run, "doc long, at array<int>, until array<int>")
 
 
 def bucket_count(df: DataFrame) -> int:

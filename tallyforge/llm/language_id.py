@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.batches import chunks, text_bytes
+from tallyforge.llm.shared import fewer_rows
 
 MAX_ORDER, MAX_DOCS, MAX_DOC_BYTES, MAX_LANGUAGES = 3, 400, 1 << 15, 256
 
@@ -186,6 +187,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` plus lang_pred and score."""
     if not model.languages:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
+    fewer_rows(docs)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang: int, score: double>")

@@ -30,7 +30,7 @@ from tallyforge.llm.exchange import bucket_count, by_ids, met, send, signed, spl
 from tallyforge.llm.shared import saved
 
 SHINGLE, PERCENT = 5, 80
-MIN_HASHES = 5
+MIN_HASHES = 4
 #: A token of this share of the representatives is left for last; the list is bounded by its inverse.
 FREQUENT = 0.002
 
@@ -154,10 +154,10 @@ def components(links: DataFrame) -> DataFrame:
 GROUP_FIELDS = ["bucket", "token", "grp", "doc"]
 
 
-def met_groups(sets: DataFrame, often: np.ndarray, buckets: int) -> DataFrame:
+def met_groups(sets: DataFrame, often: np.ndarray, buckets: int, member: DataFrame) -> DataFrame:
     """(doc_id, n, grp): groups other than its own whose token union may hold 80% of a set's tokens.
 
-    ``sets``: doc_id, n, tokens, grp. ``often``: tokens that come last in the order.
+    ``sets``: doc_id, n, tokens, grp; ``member``: the same without tokens. ``often``: tokens that come last in the order.
     """
     held = sets.sparkSession.sparkContext.broadcast(often)
 
@@ -203,7 +203,7 @@ def met_groups(sets: DataFrame, often: np.ndarray, buckets: int) -> DataFrame:
     held_by = sent.repartition(buckets, "bucket").mapInArrow(count, "doc_id long, grp long, held long").groupBy("doc_id", "grp").agg(F.sum("held").alias("held"))
     lacking = F.floor(F.col("n") * (100 - PERCENT) / 100)
     needed = F.least(F.col("n"), lacking * 2 + 1) - lacking
-    return held_by.join(sets.select("doc_id", "n"), "doc_id").where(F.col("held") >= needed).select("doc_id", "n", "grp")
+    return held_by.join(member.select("doc_id", "n"), "doc_id").where(F.col("held") >= needed).select("doc_id", "n", "grp")
 
 
 def frequent_tokens(sets: DataFrame) -> np.ndarray:
@@ -223,19 +223,20 @@ def near_groups(docs: DataFrame) -> DataFrame:
     some, _ = by_ids(texts, alive)
     found = saved(token_sets(some.join(alive, F.col("doc_id") == F.col("doc"), "left_semi")))
     same = saved(found.groupBy("sign", "n").agg(F.min("doc_id").alias("rep")))
-    sets = saved(found.join(same.select("sign", "n", F.col("rep").alias("doc_id")), ["sign", "n", "doc_id"], "left_semi").dropDuplicates(["doc_id", "sign"]))
+    reps = found.join(same.select("sign", "n", F.col("rep").alias("doc_id")), ["sign", "n", "doc_id"], "left_semi")
     # Step 3: a group's centre is the smallest representative with the same min-hash.
-    keys = saved(sets.select(F.col("doc_id").alias("b"), F.posexplode("least").alias("k", "key")))
-    centre = keys.groupBy("k", "key").agg(F.min("b").alias("a"), F.count("*").alias("m")).where("m > 1").drop("m")
-    stars = saved(linked(keys.join(centre, ["k", "key"]).where("a <> b").select("a", "b").distinct(), sets))
+    keys = saved(reps.select(F.col("doc_id").alias("b"), "n", F.posexplode("least").alias("k", "key")))
+    centre = keys.groupBy("k", "key").agg(F.min(F.struct(F.col("b").alias("a"), F.col("n").alias("na"))).alias("c"), F.count("*").alias("m")).where("m > 1").select("k", "key", "c.*")
+    alike = (F.col("na") * 100 >= F.col("n") * PERCENT) & (F.col("n") * 100 >= F.col("na") * PERCENT)
+    stars = saved(linked(keys.join(centre, ["k", "key"]).where("a <> b").where(alike).select("a", "b").distinct(), reps))
     group = components(stars)
-    sets = sets.join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("grp", F.coalesce("comp", "doc_id")).drop("comp", "least")
-    sets = saved(sets)
+    member = saved(reps.select("doc_id", "n").join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n", F.coalesce("comp", "doc_id").alias("grp")).distinct())
+    sets = reps.select("doc_id", "tokens").join(member, "doc_id").select("doc_id", "n", "tokens", "grp")
     # Steps 4 and 5.
-    opened = met_groups(sets, frequent_tokens(sets), bucket_count(docs)).withColumnRenamed("doc_id", "a")
+    opened = met_groups(sets, frequent_tokens(reps), bucket_count(docs), member).withColumnRenamed("doc_id", "a")
     inside = (F.col("m") * 100 >= F.col("n") * PERCENT) & (F.col("n") * 100 >= F.col("m") * PERCENT)
-    pairs = opened.join(sets.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), "grp"), "grp").where(inside).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    whole = components(stars.unionByName(linked(pairs, sets)))
+    pairs = opened.join(member.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), "grp"), "grp").where(inside).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    whole = components(stars.unionByName(linked(pairs, reps)))
     comp = same.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("sign", "n", F.coalesce("comp", "rep").alias("component_id"))
     comp = found.select("doc_id", "sign", "n").join(comp, ["sign", "n"]).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     sizes = set_sizes(texts).drop("text")

@@ -22,7 +22,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = held_out(F.col("doc_id"), 5, 0)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~out)
-    model = toxicity.train(docs.join(labels, "doc_id"))
+    model = toxicity.train(docs, labels)
     return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 

@@ -39,3 +39,9 @@ def ascii_lower(text: Column) -> Column:
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(doc_id.cast("string")) % modulus == remainder
+
+
+def fewer_rows(docs: DataFrame, rows: int = 1_000) -> DataFrame:
+    """``docs``, with Arrow batches of fewer rows from now on: texts are long, and a batch is held whole."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    return docs

@@ -75,10 +75,10 @@ def lost_windows(docs: DataFrame, window: int) -> DataFrame:
     """(doc, at): the first words of windows that a smaller document has too."""
     n = bucket_count(docs)
     docs = docs.select("doc_id", "text")
-    anchors = saved(met(send(docs, find_anchors(window), "docs", n), "docs", n))
+    anchors = saved(met(send(docs, find_anchors(window), "docs", n), "docs", n).drop("until"))
     some, _ = by_ids(docs, anchors)
     joined = some.join(anchors, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "at")
-    return saved(met(send(joined, find_windows(window), "later", n), "later", n))
+    return saved(met(send(joined, find_windows(window), "later", n), "later", n).drop("until"))
 
 
 def cut(text: bytes, starts: np.ndarray | None, window: int) -> tuple[int, list[bytes], list[tuple[int, int]]]:

@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.batches import SpanHash, argmin_windows, chunks, mixed, ranges, text_bytes
-from tallyforge.llm.exchange import bucket_count, by_ids, met, send, signed, split
+from tallyforge.llm.exchange import HOME, bucket_count, by_ids, gathered, home, met, send, signed
 from tallyforge.llm.shared import saved
 
 LENGTH, SPAN = 200, 100
 CORE = LENGTH - SPAN + 1
 WIDTH = SPAN - 1 + LENGTH
-FLUSH_ROWS = 60_000
+FLUSH_ROWS = 20_000
 
 
 def samples(data: np.ndarray, offsets: np.ndarray):
@@ -166,19 +166,13 @@ def induced(core: np.ndarray, near: np.ndarray, far: np.ndarray, rows: np.ndarra
 def repeat_starts(sent: DataFrame, buckets: int) -> DataFrame:
     """(doc, starts, ends): runs of starts of strings that occur twice."""
 
-    def runs(doc, low, high):
-        order = np.argsort(doc, kind="stable")
-        ids, first = np.unique(doc[order], return_index=True)
-        cuts = np.append(first, len(doc))
-        return pa.record_batch([pa.array(ids), split(low[order], cuts, pa.int32()), split(high[order], cuts, pa.int32())], ["doc", "starts", "ends"])
-
     def run(batches):
-        kept = []
+        kept, out = [], []
         for batch in batches:
             blank = np.asarray(batch.column(6).is_null())
             core, doc, at, near, far = (batch.column(c).to_numpy() for c in range(1, 6))
             if blank.any():
-                yield runs(doc[blank], (at - far)[blank], (at - near + 1)[blank])
+                out.append((doc[blank], (at - far)[blank], (at - near + 1)[blank]))
             full = np.flatnonzero(~blank)
             if len(full):
                 payload, _ = text_bytes(batch.column(6).take(pa.array(full)).cast(pa.large_binary()))
@@ -192,17 +186,19 @@ def repeat_starts(sent: DataFrame, buckets: int) -> DataFrame:
                 new = np.concatenate([[True], (which[1:] != which[:-1]) | (start[1:] != start[:-1] + 1)])
                 first = np.flatnonzero(new)
                 last = np.append(first[1:], len(which)) - 1
-                yield runs(doc[which[first]], start[first], start[last] + 1)
+                out.append((doc[which[first]], start[first], start[last] + 1))
+        if out:
+            yield from home(*(np.concatenate(p) for p in zip(*out, strict=True)), buckets=buckets)
 
-    found = sent.repartition(buckets, "bucket").mapInArrow(run, "doc long, starts array<int>, ends array<int>")
-    return found.groupBy("doc").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
+    found = gathered(sent.repartition(buckets, "bucket").mapInArrow(run, HOME), buckets)
+    return found.select("doc", F.col("at").alias("starts"), F.col("until").alias("ends"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` plus kept (binary: the text without its repeated bytes), n_bytes, n_removed, n_spans, kept_sha256."""
     n = bucket_count(docs)
     texts = docs.select("doc_id", "text")
-    cores = saved(met(send(texts, find_cores, "any", n), "any", n))
+    cores = saved(met(send(texts, find_cores, "any", n), "any", n).drop("until"))
     some, _ = by_ids(texts, cores)
     joined = some.join(cores, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "at")
     starts = saved(repeat_starts(tuples(joined, n), n))

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.batches import LOWER, chunks, segment_max, text_bytes
+from tallyforge.llm.shared import fewer_rows, saved
 
 MAX_DOCS, MAX_DOC_BYTES = 1000, 1 << 15
 WINDOW, DECAY, TABLE, LANDMARKS, ROUNDS = 8, 0.8, 1 << 18, 512, 4
@@ -215,13 +216,18 @@ def platt(scores: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def train(labelled: DataFrame, max_docs: int = MAX_DOCS, max_doc_bytes: int = MAX_DOC_BYTES) -> Model | None:
-    """``labelled``: doc_id, text, toxic (0 or 1)."""
-    clear = labelled.where(F.col("toxic").isin(0, 1) & (F.length("text") > 0) & (F.octet_length("text") <= max_doc_bytes))
-    clear = clear.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most"), F.min("text").alias("text")).where("toxic = _most")
-    draw = F.xxhash64("doc_id", F.lit("toxicity"))
-    parts = [clear.where(F.col("toxic") == label).select("text", "toxic", draw.alias("draw")).orderBy("draw").limit(max_docs) for label in (0, 1)]
-    rows = parts[0].unionByName(parts[1]).toPandas().sort_values(["draw", "text"])
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_doc_bytes: int = MAX_DOC_BYTES) -> Model | None:
+    """``docs``: doc_id, text; ``labels``: doc_id, toxic (0 or 1).
+
+    Ids are picked without their texts; the few picked ids, 2 * max_docs at most, are then sent to the documents.
+    """
+    sizes = docs.select("doc_id", F.octet_length("text").alias("size")).where(F.col("size").between(1, max_doc_bytes))
+    clear = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
+    drawn = clear.join(sizes.select("doc_id").distinct(), "doc_id").select("doc_id", "toxic", F.xxhash64("doc_id", F.lit("toxicity")).alias("draw"))
+    parts = [drawn.where(F.col("toxic") == label).orderBy("draw", "doc_id").limit(max_docs) for label in (0, 1)]
+    picked = saved(parts[0].unionByName(parts[1]))
+    texts = docs.join(F.broadcast(picked), "doc_id").where(F.octet_length("text").between(1, max_doc_bytes))
+    rows = texts.select("draw", "toxic", "text").toPandas().sort_values(["draw", "text"])
     return fit(rows["text"].tolist(), rows["toxic"].to_numpy() == 1) if len(rows) else None
 
 
@@ -229,6 +235,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     """``docs`` plus score and predicted."""
     if model is None:
         return docs.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
+    fewer_rows(docs)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

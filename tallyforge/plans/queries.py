@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ def query(f):
 
 
 class Data:
-    """The derived tables of one folder; plans only, nothing is run."""
+    """The derived tables of one folder. Those after the pair table have T squared rows at most and are cached."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -33,7 +34,7 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    @property
+    @cached_property
     def raw(self) -> DataFrame:
         return matchups.raw_matchups(self.table("lineitem"), self.table("part"))
 
@@ -45,35 +46,35 @@ class Data:
     def shares(self) -> DataFrame:
         return matchups.usage_share(self.table("lineitem"), self.table("part"))
 
-    @property
+    @cached_property
     def aliases(self) -> DataFrame:
         return consolidate.alias_index(self.spark, ALIASES)
 
-    @property
+    @cached_property
     def flat(self) -> DataFrame:
-        return consolidate.flat_table(consolidate.max_n(self.raw), self.aliases)
+        return consolidate.flat_table(consolidate.max_n(self.raw), self.aliases).cache()
 
-    @property
+    @cached_property
     def canonical(self) -> DataFrame:
-        return matrix.top_meta_canonical(matrix.top_meta(self.shares), self.aliases)
+        return matrix.top_meta_canonical(matrix.top_meta(self.shares), self.aliases).cache()
 
     @property
     def axis(self) -> DataFrame:
         return self.canonical.select("deck", "ord")
 
-    @property
+    @cached_property
     def cells(self) -> DataFrame:
-        return matrix.matrices(self.flat, self.axis)
+        return matrix.matrices(self.flat, self.axis).cache()
 
-    @property
+    @cached_property
     def sparse_flat(self) -> DataFrame:
-        return consolidate.flat_table(consolidate.max_n(self.sparse), self.aliases)
+        return consolidate.flat_table(consolidate.max_n(self.sparse), self.aliases).cache()
 
     @property
     def declared(self) -> DataFrame:
         return self.canonical.select("deck", F.col("share_frac").alias("share"))
 
-    @property
+    @cached_property
     def encounters(self) -> DataFrame:
         return weights.encounter_share(self.cells)
 
@@ -81,15 +82,15 @@ class Data:
         return weights.meta_share(self.axis, self.declared, self.encounters, policy)
 
     def blend(self, cfg: RankingConfig = FIXED) -> DataFrame:
-        return weights.blend(self.meta(cfg.gap_policy), self.encounters, cfg)
+        return weights.blend(self.meta(cfg.gap_policy), self.encounters, cfg).cache()
 
-    @property
+    @cached_property
     def post(self) -> DataFrame:
         return posterior.posterior_cells(self.cells, FIXED.fixed_k)
 
-    @property
+    @cached_property
     def edges(self) -> DataFrame:
-        return strength.bt_edges(self.post, FIXED.fixed_k, FIXED)
+        return strength.bt_edges(self.post, FIXED.fixed_k, FIXED).cache()
 
     def ranked(self, cfg: RankingConfig = FIXED) -> plan.Ranking:
         return plan.rank_entities(consolidate.score_table(self.flat, self.axis), self.axis, self.declared, cfg)

@@ -29,16 +29,20 @@ def kept_axis(flat: DataFrame, axis: DataFrame, cfg: RankingConfig) -> DataFrame
 
 
 def rank_entities(score: DataFrame, axis: DataFrame, declared: DataFrame | None, cfg: RankingConfig) -> Ranking:
-    """Ranks the entities of ``axis`` (deck, ord) by the symmetric records ``score``."""
-    cells = matrix.matrices(score, axis)
+    """Ranks the entities of ``axis`` (deck, ord) by the symmetric records ``score``.
+
+    Cells, posterior, weights and edges have T squared rows at most and feed several branches: cached.
+    """
+    axis = axis.cache()
+    cells = matrix.matrices(score, axis).cache()
     k = prior.choose_k(cells, cfg)
-    post = posterior.posterior_cells(cells, k["k_used"], cfg.mu)
+    post = posterior.posterior_cells(cells, k["k_used"], cfg.mu).cache()
     enc = weights.encounter_share(cells)
-    mixed = weights.blend(weights.meta_share(axis, declared, enc, cfg.gap_policy), enc, cfg)
+    mixed = weights.blend(weights.meta_share(axis, declared, enc, cfg.gap_policy), enc, cfg).cache()
     mean = posterior.mas_se_lb(post, mixed, cfg.z_penalty)
-    edges = strength.bt_edges(post, k["k_used"], cfg)
+    edges = strength.bt_edges(post, k["k_used"], cfg).cache()
     diagnostics = strength.bt_diagnostics(edges, axis, k["k_used"], cfg)
-    solved = strength.bt_strength(strength.soft_weights(edges, diagnostics), axis, cfg)
+    solved = strength.bt_strength(strength.soft_weights(edges, diagnostics), axis, cfg).cache()
     scores = composite.composite(mean.join(strength.bt_percent(solved, edges), "deck"), cfg.alpha)
     return Ranking(composite.ranked(scores, composite.coverage(cells)), cells, post, mixed, edges, diagnostics, k)
 
@@ -49,7 +53,7 @@ def axis_of(canonical: DataFrame) -> DataFrame:
 
 def records_to_score(raw: DataFrame, shares: DataFrame, aliases: DataFrame | None, cfg: RankingConfig):
     """(score, kept axis, canonical shares)."""
-    flat = consolidate.flat_table(consolidate.max_n(raw), aliases)
+    flat = consolidate.flat_table(consolidate.max_n(raw), aliases).cache()
     canonical = matrix.top_meta_canonical(matrix.top_meta(shares, cfg.share_threshold), aliases)
-    kept = kept_axis(flat, axis_of(canonical), cfg)
+    kept = kept_axis(flat, axis_of(canonical), cfg).cache()
     return consolidate.score_table(flat, kept), kept, canonical
