@@ -57,7 +57,7 @@ def soft_weights(edges: DataFrame, diagnostics: DataFrame) -> DataFrame:
 
 
 def bt_strength(weights: DataFrame, axis: DataFrame, cfg) -> DataFrame:
-    """(deck, pi, iterations) by minorisation-maximisation with a ridge.
+    """(deck, pi, iterations) by minorisation-maximisation with a ridge; pi has a geometric mean of 1.
 
     Every step needs all strengths of the step before, so one league (T entities, at most T squared
     edges) is one task; more leagues would be more tasks.
@@ -80,7 +80,8 @@ def bt_strength(weights: DataFrame, axis: DataFrame, cfg) -> DataFrame:
             pi = np.maximum(new, 1e-8)
             if moved < cfg.bt_tol:
                 break
-        return pd.DataFrame({"deck": names, "pi": pi, "iterations": step})
+        level = np.exp(np.log(pi).mean()) + 1e-12 if len(pi) else 1.0
+        return pd.DataFrame({"deck": names, "pi": pi / level, "iterations": step})
 
     one = F.lit(0).alias("league")
     return axis.select(one, "deck", "ord").groupBy("league").cogroup(weights.select(one, "*").groupBy("league")).applyInPandas(run, "deck string, pi double, iterations long")

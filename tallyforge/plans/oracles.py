@@ -176,7 +176,7 @@ ORACLES = {
     "bt_edges": sql("SELECT a, b, n_ij, n_ji, n_base, s_bar, p_bar FROM edges"),
     "bt_diagnostics": sql("SELECT * FROM diag"),
     "bt_soft_weights": sql("SELECT * FROM soft"),
-    "bt_strength": sql("SELECT * FROM solved"),
+    "bt_strength": sql("SELECT deck, pi / (exp(avg(ln(pi)) OVER ()) + 1e-12) AS pi FROM solved"),
     "bt_percent": sql("SELECT * FROM btp"),
     "composite_score": "SELECT deck, " + _PHI + " AS score FROM (SELECT deck, 0.72::DOUBLE * (" + _Z.format(x="lb") + ") + (1 - 0.72::DOUBLE) * (" + _Z.format(x="bt") + ") AS z FROM (SELECT s_name AS deck, s_acctbal AS lb, (s_suppkey % 17)::DOUBLE AS bt FROM supplier))",
     "ranking": sql("SELECT * FROM ranked"),
