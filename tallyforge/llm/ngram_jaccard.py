@@ -221,9 +221,13 @@ def near_groups(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text")
     alive = survivors(texts)
     some, _ = by_ids(texts, alive)
-    found = saved(token_sets(some.join(alive, F.col("doc_id") == F.col("doc"), "left_semi")))
+    found = saved(token_sets(some.join(alive, F.col("doc_id") == F.col("doc"), "left_semi")).select("doc_id", "sign", "n"))
     same = saved(found.groupBy("sign", "n").agg(F.min("doc_id").alias("rep")))
-    reps = found.join(same.select("sign", "n", F.col("rep").alias("doc_id")), ["sign", "n", "doc_id"], "left_semi")
+    # Tokens are stored for representatives only; a second pass over their texts makes them.
+    first = same.select(F.col("rep").alias("doc")).distinct()
+    some, _ = by_ids(texts, first)
+    reps = token_sets(some.join(first, F.col("doc_id") == F.col("doc"), "left_semi"))
+    reps = saved(reps.join(same.select("sign", "n", F.col("rep").alias("doc_id")), ["sign", "n", "doc_id"], "left_semi"))
     # Step 3: a group's centre is the smallest representative with the same min-hash.
     keys = saved(reps.select(F.col("doc_id").alias("b"), "n", F.posexplode("least").alias("k", "key")))
     centre = keys.groupBy("k", "key").agg(F.min(F.struct(F.col("b").alias("a"), F.col("n").alias("na"))).alias("c"), F.count("*").alias("m")).where("m > 1").select("k", "key", "c.*")

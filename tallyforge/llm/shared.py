@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -26,9 +27,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read again: a lineage cut that outlives executors."""
-    path = f"{shared_dir(df.sparkSession)}/saved-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    """``df`` written to the shared folder and read again: a lineage cut that outlives executors.
+
+    The shuffle files of the query that made it are of no more use and go when it ends.
+    """
+    path, conf = f"{shared_dir(df.sparkSession)}/saved-{uuid.uuid4().hex}", df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
