@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm.batches import LOWER, chunks, segment_max, text_bytes
 from tallyforge.llm.shared import fewer_rows, saved
 
-MAX_DOCS, MAX_DOC_BYTES = 1000, 1 << 15
+MAX_DOCS, MAX_DOC_BYTES = 1500, 1 << 15
 WINDOW, DECAY, TABLE, LANDMARKS, ROUNDS = 8, 0.8, 1 << 18, 512, 4
 STEPS = [(a, b, c) for a in (1, 2) for b in (1, 2) for c in (1, 2)]
 REACH = 6
@@ -98,6 +98,14 @@ def window_features(x: np.ndarray, block: np.ndarray, offsets: np.ndarray, start
     return places, weights / np.maximum(np.sqrt((weights**2).sum(axis=1, keepdims=True)), 1e-9).astype(np.float32)
 
 
+def drawn_places(rng: np.random.Generator, offsets: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
+    """``n`` places drawn from all bytes of ``docs`` alike, so that a text counts by its length."""
+    end = np.cumsum(np.diff(offsets)[docs])
+    at = rng.integers(0, end[-1], n)
+    of = np.searchsorted(end, at, side="right")
+    return offsets[docs[of] + 1] - end[of] + at
+
+
 def fit(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model | None:
     """A model from labelled texts; None without both classes."""
     toxic = np.asarray(toxic, bool)
@@ -138,8 +146,7 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model | None:
     chosen, hard = starts[is_pos][starts[is_pos] >= 0], starts[is_neg][starts[is_neg] >= 0]
     if not len(chosen) or not len(hard):
         return None
-    from_doc = rng.choice(is_neg[starts[is_neg] >= 0], 6000)
-    background = (offsets[from_doc] + rng.random(6000) * np.diff(offsets)[from_doc]).astype(np.int64)
+    background = drawn_places(rng, offsets, is_neg, 6000)
     marks = np.concatenate([rng.permutation(chosen)[: LANDMARKS * 3 // 4], background[: LANDMARKS // 4]])
     places, weights = window_features(x, block, offsets, marks)
     # Only subsequences of landmarks matter: row 0 stands for all others.

@@ -213,6 +213,18 @@ def test_toxicity_learns_and_tolerates_gaps(spark):
     assert toxicity.score(docs, None).where("score <> 0").count() == 0
 
 
+def test_toxicity_learns_from_1500_of_each_class(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: seen.append((int(toxic.sum()), len(texts))))
+    toxicity.train(frame(spark, [(i, f"text {i}") for i in range(3200)]), frame(spark, [(i, i % 2) for i in range(3200)], "doc_id long, toxic int"))
+    assert seen == [(1500, 3000)]
+
+
+def test_toxicity_background_is_drawn_by_byte():
+    at = toxicity.drawn_places(np.random.default_rng(1), np.array([0, 10, 10, 1000, 1900]), np.array([0, 1, 3]), 5000)
+    assert ((at < 10) | (at >= 1000)).all() and at.max() < 1900 and 20 < (at < 10).sum() < 90
+
+
 def test_simhash(spark):
     rng = random.Random(4)
     docs = [(i, prose(rng, 80)) for i in range(30)] + [(30, None), (31, ""), (32, "a b"), (40, docs_text := prose(rng, 90)), (41, docs_text), (41, docs_text), (50, "éé ñ " * 9)]
