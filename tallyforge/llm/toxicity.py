@@ -1,8 +1,10 @@
 """Toxicity by a subsequence string-kernel SVM with Nystrom landmarks.
 
-The kernel counts common subsequences of four characters in which up to one character may be skipped
-between neighbours, each skip weighing ``DECAY``: "idiot", "i.d.i.o.t" and "id-iot" share most of
-theirs. It compares windows of a sentence with landmark windows. Landmarks come from labelled
+The kernel counts common subsequences of four characters in which up to two characters may be skipped
+between neighbours, each skip weighing ``DECAY``: "idiot", "i.d.i.o.t", "i--d--i--o--t" and "id-iot" share
+most of theirs. '!', '?', ';' and newline end a sentence only before white space or the text's end, so inside a
+word they don't. All marks between two bytes of words are taken out before, in training too, so any number of
+them hides nothing; what remains to be skipped is letters and white space. It compares windows of a sentence with landmark windows. Landmarks come from labelled
 sentences, half of them where characteristic subsequences of toxic documents meet. Windows of the
 training sentences are mapped by the landmarks (k(x) K^-1/2) and a linear SVM is fitted there; a
 toxic document only says that one of its windows is toxic, so its best window is chosen anew in each
@@ -11,7 +13,7 @@ through a logistic curve.
 
 A decision value is a sum over landmarks of coefficient times kernel, and the kernel a sum over
 subsequences, so it folds into one weight per subsequence (hashed to ``TABLE`` places, training
-included): each character position is scored by eight look-ups, whatever the number of landmarks.
+included): each character position is scored by 27 look-ups, whatever the number of landmarks.
 
 Training reads at most ``max_docs`` labelled documents per class, of ``max_doc_bytes`` at most,
 picked by a hash of the id. Every text is scored in full.
@@ -30,27 +32,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.batches import LOWER, chunks, segment_max, text_bytes
+from tallyforge.llm.batches import LOWER, SPACE, chunks, segment_max, text_bytes
 from tallyforge.llm.shared import fewer_rows, saved
 
 MAX_DOCS, MAX_DOC_BYTES = 1500, 1 << 15
 WINDOW, DECAY, TABLE, LANDMARKS, ROUNDS = 8, 0.8, 1 << 18, 512, 4
-STEPS = [(a, b, c) for a in (1, 2) for b in (1, 2) for c in (1, 2)]
-REACH = 6
-#: Bytes that end a sentence; no subsequence crosses them.
+STEPS = [(a, b, c) for a in (1, 2, 3) for b in (1, 2, 3) for c in (1, 2, 3)]
+REACH = 9
+#: Bytes that end a sentence where white space or the text's end follows; no subsequence crosses such an end.
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in "\n!?;"]] = True
+#: Bytes that are neither part of a word nor white space.
+WORD = np.zeros(256, bool)
+WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+MARK = ~WORD & ~SPACE
+
+
+def joined(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts without the marks put between two bytes of words: "i--d!iot" becomes "idiot"."""
+    mark, other = np.flatnonzero(MARK[data]), np.flatnonzero(~MARK[data])
+    after = np.searchsorted(other, mark)
+    mark, after = mark[inner := (after > 0) & (after < len(other))], after[inner]
+    left, right = other[after - 1], other[after]
+    same = np.searchsorted(offsets, left, side="right") == np.searchsorted(offsets, right, side="right")
+    keep = np.ones(len(data), bool)
+    keep[mark[same & WORD[data[left]] & WORD[data[right]]]] = False
+    return data[keep], np.concatenate([[0], np.cumsum(keep)])[offsets]
 
 
 def prepared(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased bytes and the number of each one's sentence, with room to look ahead."""
-    block = np.cumsum(ENDS[data], dtype=np.int32)
+    followed = np.ones(len(data), bool)
+    followed[:-1] = SPACE[data[1:]]
+    followed[offsets[1:][np.diff(offsets) > 0] - 1] = True
+    block = np.cumsum(ENDS[data] & followed, dtype=np.int32)
     block += np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets)) * 2
     return np.concatenate([LOWER[data], np.zeros(REACH, np.uint8)]), np.concatenate([block, np.full(REACH, -1, np.int32)])
 
 
 def subsequences(x: np.ndarray, block: np.ndarray):
-    """For each of the eight gap patterns: (place in the table per position, weight, valid positions)."""
+    """For each of the 27 gap patterns: (place in the table per position, weight, valid positions)."""
     n = x.shape[-1] - REACH
     for a, b, c in STEPS:
         i, j, k = a, a + b, a + b + c
@@ -78,6 +99,7 @@ class Model:
         return segment_max(window_sums(self.positions(data, offsets), offsets), offsets, -np.inf) + self.bias
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        data, offsets = joined(data, offsets)
         z = np.clip(self.slope * self.best(data, offsets) + self.shift, -60, 60)
         return np.where(np.diff(offsets) > 0, 1 / (1 + np.exp(-z)), 0.0)
 
@@ -112,7 +134,7 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model | None:
     if toxic.all() or not toxic.any():
         return None
     rng = np.random.default_rng(seed)
-    data, offsets = text_bytes(pa.array(texts, pa.large_string()))
+    data, offsets = joined(*text_bytes(pa.array(texts, pa.large_string())))
     x, block = prepared(data, offsets)
     # Documents of each class that hold a gapless subsequence; its log odds point to telling windows.
     pos, neg = np.zeros(TABLE), np.zeros(TABLE)
@@ -150,7 +172,7 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model | None:
     marks = np.concatenate([rng.permutation(chosen)[: LANDMARKS * 3 // 4], background[: LANDMARKS // 4]])
     places, weights = window_features(x, block, offsets, marks)
     # Only subsequences of landmarks matter: row 0 stands for all others.
-    used = np.unique(places)
+    used = np.unique(places[weights > 0])
     row = np.zeros(TABLE, np.int32)
     row[used] = np.arange(1, len(used) + 1)
     basis = np.zeros((len(used) + 1, len(marks)), np.float32)

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.llm import chat_format, decontamination, language_id, ngram_jaccard, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from tallyforge.llm.batches import text_bytes
 from tallyforge.llm.queries import RULES
 
 SYLLABLES = "the of an re in on er th st ti ea ou ha nd at ing tion".split()
@@ -213,6 +214,35 @@ def test_toxicity_learns_and_tolerates_gaps(spark):
     assert toxicity.score(docs, None).where("score <> 0").count() == 0
 
 
+def test_toxicity_sees_through_marks_and_two_inserted_characters():
+    rng = random.Random(3)
+    texts = [prose(rng, 40) for _ in range(300)]
+    texts = [f"{t} {rng.choice(['idiot', 'scoundrel'])} {prose(rng, 9)}" if i % 3 == 0 else t for i, t in enumerate(texts)]
+    model = toxicity.fit(texts, np.arange(300) % 3 == 0)
+    marked = ["i!d!i!o!t", "idi!ot", "id;iot", "i?d?i?o?t", "i--d--i--o--t", "i!!d!!i!!o!!t", "s;c;o;u;n;d;r;e;l"]
+    clean = [prose(rng, 30) for _ in range(40)]
+    score = lambda texts: model.score(*text_bytes(pa.array(texts)))
+    hidden = score([f"{prose(rng, 15)} {m} {prose(rng, 15)}" for m in marked])
+    assert hidden.min() >= 0.5 > score(clean).max(), dict(zip(marked, hidden, strict=True))
+    gapped = lambda text: {int(p) for place, _, valid in toxicity.subsequences(*toxicity.prepared(*text_bytes(pa.array([text])))) for p in place[valid]}
+    assert gapped("idio") | gapped("diot") <= gapped("ixydxyixyoxyt")
+
+
+def test_toxicity_joins_words():
+    texts = ["i--d!i;ot!", "", "!a", None, "b-", "-c d", "é'é - x", "--"]
+    data, offsets = toxicity.joined(*text_bytes(pa.array(texts)))
+    assert [bytes(data[i:j]).decode() for i, j in zip(offsets[:-1], offsets[1:], strict=True)] == ["idiot!", "", "!a", "", "b-", "-c d", "éé - x", "--"]
+    assert toxicity.joined(*text_bytes(pa.array(["", None])))[1].tolist() == [0, 0, 0]
+
+
+def test_toxicity_sentence_ends():
+    texts = ["a! b;c", "", "d?", "e\n\nf"]
+    data, offsets = text_bytes(pa.array(texts))
+    block = toxicity.prepared(data, offsets)[1][: len(data)]
+    of = [block[i:j] - block[i] for i, j in zip(offsets[:-1], offsets[1:], strict=True) if j > i]
+    assert [list(b) for b in of] == [[0, 1, 1, 1, 1, 1], [0, 1], [0, 1, 1, 1]]
+
+
 def test_toxicity_learns_from_1500_of_each_class(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: seen.append((int(toxic.sum()), len(texts))))
