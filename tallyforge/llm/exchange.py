@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.batches import chunks, mixed, text_bytes
@@ -21,10 +21,12 @@ from tallyforge.llm.url_filter import build_level, hashed, passing
 FLUSH_KEYS = 200_000
 #: A filter of document ids is sent to all tasks only below this size; beyond it the whole table is joined.
 MAX_FILTER_BYTES = 64 << 20
+#: Text whose places one shuffle partition takes.
+BUCKET_BYTES = 64 << 20
 SCHEMA = "bucket int, settled boolean, key array<long>, extra array<long>, doc array<long>, at array<int>"
 FIELDS = ["bucket", "settled", "key", "extra", "doc", "at"]
 
-#: From (bytes, offsets, other columns of the chunk) to (key, extra, text number, place).
+#: From (bytes, offsets, all columns but the text of the chunk) to (key, extra, doc, place).
 Finder = Callable[[np.ndarray, np.ndarray, list[pa.Array]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
@@ -79,7 +81,7 @@ def later(key, extra, doc, at):
 
 
 def send(rows: DataFrame, find: Finder, mode: str, buckets: int) -> DataFrame:
-    """``rows``: doc_id, text and further columns that ``find`` gets. Modes: any, docs (a key counts if
+    """``rows``: a long without nulls, text and further columns that ``find`` gets. Modes: any, docs (a key counts if
     it is met twice, or in two documents) and later (a place counts if a smaller document has its key)."""
 
     def flush(parts: list[tuple], turn: int) -> Iterator[pa.RecordBatch]:
@@ -93,10 +95,9 @@ def send(rows: DataFrame, find: Finder, mode: str, buckets: int) -> DataFrame:
     def run(batches):
         parts, held, turn = [], 0, 0
         for batch in batches:
-            ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
             for i, j, data, offsets in chunks(*text_bytes(batch.column(1))):
-                key, extra, text, at = find(data, offsets, [c.slice(i, j - i) for c in batch.columns[2:]])
-                parts.append((key, extra, ids[i:j][text], at.astype(np.int32)))
+                key, extra, doc, at = find(data, offsets, [c.slice(i, j - i) for k, c in enumerate(batch.columns) if k != 1])
+                parts.append((key, extra, doc, at.astype(np.int32)))
                 held += len(key)
                 if held >= FLUSH_KEYS:
                     turn += 1
@@ -173,12 +174,14 @@ def gathered(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.repartition(buckets, "home").mapInArrow(run, "doc long, at array<int>, until array<int>")
 
 
-def bucket_count(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(docs: DataFrame) -> int:
+    """Shuffle partitions for places of all texts: the session's, or more, so that one holds those of BUCKET_BYTES of text."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size // BUCKET_BYTES) + 1)
 
 
-def by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents that may have one of ``ids`` (column doc), documents that surely have none).
+def by_ids(docs: DataFrame, ids: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+    """(documents whose ``key`` may be one of ``ids`` (column doc), documents whose key surely is none).
 
     A Bloom filter spares the others' texts a shuffle; where it would be too large, all may.
     """
@@ -189,8 +192,4 @@ def by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     level = build_level(keys, 0, 12.0, 8, MAX_FILTER_BYTES)
     if level is None:
         return docs.where(F.lit(False)), docs
-    h1, h2 = (c for c in hashed(F.col("doc_id")))
-    tested = docs.withColumns({"h1": h1, "h2": h2})
-    inside = passing(tested, level).drop("h1", "h2")
-    outside = passing(tested, level, False).drop("h1", "h2")
-    return inside, outside
+    return passing(docs, level, True, hashed(key)), passing(docs, level, False, hashed(key))

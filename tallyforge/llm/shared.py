@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 WORD = r"[^\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -18,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see; a temporary one only where none is set."""
+    """The folder that the driver and all executors see. In local mode only, a temporary one where none is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tallyforge-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -54,3 +57,21 @@ def fewer_rows(docs: DataFrame, rows: int = 1_000) -> DataFrame:
     """``docs``, with Arrow batches of fewer rows from now on: texts are long, and a batch is held whole."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     return docs
+
+
+#: Stand-in keys of rows without an id lie from here on, so ids must be smaller.
+NO_ID = 2**63 - 2**60
+
+
+def doc_key(docs: DataFrame) -> Column:
+    """doc_id as a long; a stand-in of at least NO_ID, made from the text, where it is null. Other types of ids are an error."""
+    kind = docs.schema["doc_id"].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"doc_id must be an integer column, not {kind.simpleString()}")
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64("text"), 4))
+
+
+def packed_row(df: DataFrame, apart: list[str]) -> Column:
+    """All columns of ``df`` but those named in ``apart`` as one struct ``row``, safe from names that an operator uses."""
+    apart = {c.lower() for c in apart}
+    return F.struct(*["`" + c.replace("`", "``") + "`" for c in df.columns if c.lower() not in apart]).alias("row")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.batches import mixed
-from tallyforge.llm.shared import ascii_lower, saved
+from tallyforge.llm.shared import ascii_lower, packed_row, saved
 
 #: A level's filter is broadcast; a longer list of keys needs a larger bound, set knowingly.
 MAX_FILTER_BYTES = 256 << 20
@@ -97,15 +97,15 @@ def build_level(keys: DataFrame, seed: int, bits_per_key: float, probes: int, ma
     return Level(out, probes, seed)
 
 
-def passing(keys: DataFrame, level: Level, wanted: bool = True) -> DataFrame:
-    """The rows (h1, h2) that pass the filter, or that don't."""
+def passing(keys: DataFrame, level: Level, wanted: bool = True, hashes: list[Column] | None = None) -> DataFrame:
+    """The rows whose ``hashes`` (by default h1, h2) pass the filter, or don't."""
     held = keys.sparkSession.sparkContext.broadcast(level)
 
     @F.pandas_udf("boolean")
     def passes(h1: pd.Series, h2: pd.Series) -> pd.Series:
         return pd.Series(held.value.test(h1.to_numpy(np.int64).view(np.uint64), h2.to_numpy(np.int64).view(np.uint64)))
 
-    return keys.where(passes("h1", "h2") == wanted)
+    return keys.where(passes(*(hashes or ("h1", "h2"))) == wanted)
 
 
 def build_cascade(universe: DataFrame, keys: DataFrame, bits_per_key: float = 12.0, max_filter_bytes: int = MAX_FILTER_BYTES) -> list[Level]:
@@ -184,10 +184,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         out[row[hit]] = np.where(allow[hit], -place[hit], place[hit])
         return pd.Series(out)
 
-    h1, h2 = F.transform("_keys", lambda k: F.xxhash64(k)), F.transform("_keys", lambda k: F.xxhash64(k, F.lit("second")))
-    return (
-        base.withColumn("_keys", keys)
-        .withColumn("_at", longest(h1, h2))
-        .withColumns({"rule": F.when(F.col("_at") != 0, F.get("_keys", F.abs("_at") - 1)), "verdict": F.when(F.col("_at") < 0, "allow").when(F.col("_at") > 0, "block").otherwise(default)})
-        .drop("_keys", "_at")
-    )
+    h1, h2 = F.transform("keys", lambda k: F.xxhash64(k)), F.transform("keys", lambda k: F.xxhash64(k, F.lit("second")))
+    judged = base.select(packed_row(base, ["rule", "verdict"]), keys.alias("keys")).withColumn("at", longest(h1, h2))
+    rule, verdict = F.when(F.col("at") != 0, F.get("keys", F.abs("at") - 1)), F.when(F.col("at") < 0, "allow").when(F.col("at") > 0, "block").otherwise(default)
+    return judged.select("row.*", rule.alias("rule"), verdict.alias("verdict"))
