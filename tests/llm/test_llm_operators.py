@@ -66,8 +66,12 @@ def test_cascade_is_exact_on_its_universe(spark):
         url_filter.build_cascade(universe, keys, 3.0, max_filter_bytes=8)
 
 
-def test_byte_repeats(spark, corpus):
-    out = {r.doc_id: r for r in suffix_dedup.remove_repeats(frame(spark, corpus)).collect()}
+@pytest.mark.parametrize("bounds", [{}, {"hot_places": 4, "flush_rows": 60}])
+def test_byte_repeats(spark, corpus, bounds):
+    """Also with frequent cores split by distance, and in parts many times what a task may hold."""
+    if bounds:
+        assert len(suffix_dedup.hot_cores(frame(spark, corpus, "key long, text string"), bounds["hot_places"])) > 3
+    out = {r.doc_id: r for r in suffix_dedup.remove_repeats(frame(spark, corpus), **bounds).collect()}
     texts = {i: (t or "").encode() for i, t in corpus}
     seen = Counter(b[k : k + 200] for b in texts.values() for k in range(len(b) - 199))
     for i, b in texts.items():
@@ -116,17 +120,11 @@ def test_near_groups(spark, corpus):
 
 
 def test_group_bound_opens_other_groups(spark, monkeypatch, corpus):
-    """Links must not depend on the min-hash groups: with none, all are found by the matrix."""
+    """Links must not depend on the groups: with one for each node, all are found by the matrix."""
     want = sorted(map(tuple, ngram_jaccard.near_groups(frame(spark, corpus)).collect()))
-    none = spark.createDataFrame([], "a long, b long")
-    real, calls = ngram_jaccard.linked, []
-
-    def no_stars(pairs, sets):
-        calls.append(1)
-        return none if len(calls) == 1 else real(pairs, sets)
-
-    monkeypatch.setattr(ngram_jaccard, "linked", no_stars)
+    monkeypatch.setattr(ngram_jaccard, "similar_groups", lambda found: found.select("node", "n", F.col("node").alias("grp")))
     assert sorted(map(tuple, ngram_jaccard.near_groups(frame(spark, corpus)).collect())) == want
+    assert len({c for _, _, c in want}) < len(want)
 
 
 def test_leaks(spark):
