@@ -1,25 +1,32 @@
-"""The corpus pipeline: five stages over ``documents``, each written as Parquet before the next reads it."""
+"""The corpus pipeline: five stages over ``documents``, each written as Parquet before the next reads it.
+
+Defined cases: text that is null or has no letters goes in the first stage; rows of one doc_id are told apart
+by their text, and equal ones are mixed as one document with the copies of all; a null doc_id stays null,
+and such rows are told apart by their text; ids are integers; a null source is a source of its own; columns
+beside those of documents go in the first stage; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm import decontamination, language_id, mixing, ngram_jaccard, substring_dedup
 from tallyforge.llm.exchange import by_ids
 from tallyforge.llm.queries import WEIGHTS
-from tallyforge.llm.shared import held_out, shared_dir, table
+from tallyforge.llm.shared import doc_key, held_out, saved, shared_dir, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.5
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` except those of ``ids`` (column doc)."""
-    some, none = by_ids(docs, ids)
-    return some.join(ids, F.col("doc_id") == F.col("doc"), "left_anti").unionByName(none)
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` except those whose ``doc_key`` is one of ``keys`` (column doc)."""
+    key, keys = doc_key(docs), saved(keys.distinct())
+    some, none = by_ids(docs, keys, key)
+    return some.join(keys, key == F.col("doc"), "left_anti").unionByName(none)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +39,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
     docs = docs.select(COLUMNS)
-    groups = ngram_jaccard.near_groups(docs)
-    copies = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("doc")).distinct()
-    return without(docs, copies)
+    return without(docs, ngram_jaccard.near_keys(docs).where("comp <> key").select(F.col("key").alias("doc")))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,15 +53,20 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
     docs = docs.select(COLUMNS)
-    found = decontamination.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("doc")).distinct()
-    return without(docs, found)
+    keyed = docs.select(doc_key(docs).alias("doc_id"), "text")
+    return without(docs, decontamination.leaks(keyed, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("doc")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each copy of a document that the mix takes."""
     docs = docs.select(COLUMNS)
-    taken = mixing.mix(docs, WEIGHTS).groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    return docs.join(taken, "doc_id").where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
+    docs = docs.withColumns({"_key": doc_key(docs), "_same": F.xxhash64("source", "text")})
+    # Equal rows of one id are one document here: it gets the copies that the mix takes of all of them.
+    rows = docs.select(F.struct("_key", "_same").alias("row"), "doc_id", "source", "text")
+    taken = mixing.mix(rows, WEIGHTS, id_col="row").groupBy("doc_id._key", "doc_id._same").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    one = Window.partitionBy("_key", "_same").orderBy("lang", "n_chars")
+    docs = docs.withColumn("_n", F.row_number().over(one)).where("_n = 1").join(taken, ["_key", "_same"])
+    return docs.select(*COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
 
 
 STAGES = [
