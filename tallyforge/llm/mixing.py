@@ -5,13 +5,15 @@ source, ordered by size, the expected copies are prefix-summed, one random offse
 document is emitted once for each integer boundary that its stretch of the sum crosses. Neighbours
 in that order are of like size, so the words taken stay near the target.
 
-The order is made without a global sort: documents fall in groups (source, size class, hash part)
-of bounded length, a group's first rank is the running count of the groups before it, and ranks
-inside a group come from a window over that group alone. A hot source is many groups.
+The order is made without a global sort: documents fall in groups (source, size), a group of many
+documents in equal ranges of doc_id, a group's first rank is the running count of the groups before it, and
+ranks inside a group come from a window over that group alone. A hot source is many groups, and the order
+is (size, doc_id) whatever their length.
 
 Defined cases: null text has size 0; sources are ordered by code point, a null source last; a source
-of size 0 takes nothing; repeated rows are documents of their own; targets stop at ``cap`` times the
-source's size and the excess goes to the others by weight; an empty table gives an empty result.
+of size 0 takes nothing; repeated rows are documents of their own; a null doc_id comes before all others of its size,
+and ids are integers; targets stop at ``cap`` times the source's size and the excess goes to the others by
+weight; texts of any length are whole; other columns are not returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.shared import WORD, saved
 
-#: Documents that one window group orders.
+#: Documents that one window group orders, if their ids are spread evenly.
 GROUP_ROWS = 50_000
 
 
@@ -51,26 +53,35 @@ def source_targets(sizes: DataFrame, weights: list[int], share: float, cap: floa
     return rows.select("source", "source_size", F.least(F.col("most"), F.coalesce(level, F.lit(float("inf"))) * F.col("weight")).alias("target"))
 
 
-def size_class(size: Column) -> Column:
-    """Non-decreasing in size; exact below 1,024, then 64 classes for each doubling."""
-    return F.when(size < 1024, size).otherwise(F.floor(F.log2(F.greatest(size, F.lit(1)).cast("double")) * 64) + 384).cast("long")
-
-
-def mix(docs: DataFrame, weights: list[int], share: float = 1.5, cap: float = 2.0, seed: int = 7, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken) for every row of ``docs``."""
-    rows = saved(docs.select(F.col(id_col).alias("doc_id"), "source", word_count(F.col("text")).alias("size")).withColumn("cls", size_class(F.col("size"))))
-    per_class = rows.groupBy("source", "cls").agg(F.count("*").alias("n"), F.sum("size").alias("words")).withColumn("parts", F.ceil(F.col("n") / GROUP_ROWS))
-    targets = saved(source_targets(per_class.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, cap))
-    split = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("doc_id"), F.col("parts"))).otherwise(F.lit(0))
-    parts = per_class.select(F.col("source").alias("s"), F.col("cls").alias("c"), "parts")
-    rows = rows.join(parts, rows["source"].eqNullSafe(parts["s"]) & (rows["cls"] == parts["c"])).withColumn("part", split).drop("s", "c", "parts")
-    groups = rows.groupBy("source", "cls", "part").agg(F.count("*").alias("n"))
-    start = Window.partitionBy("source").orderBy("cls", "part").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.withColumn("start", F.coalesce(F.sum("n").over(start), F.lit(0)))
-    groups = groups.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s", "n")
-    rank = F.row_number().over(Window.partitionBy("source", "cls", "part").orderBy("size", "doc_id"))
-    ranked = rows.withColumn("rank", rank).alias("r").join(groups.alias("g"), F.col("r.source").eqNullSafe(F.col("g.source")) & (F.col("r.cls") == F.col("g.cls")) & (F.col("r.part") == F.col("g.part")))
+def ranked(rows: DataFrame, per_size: DataFrame, order: list[str], group_rows: int) -> DataFrame:
+    """``rows`` with rank: the place in its source by (size, doc_id, ...)."""
+    split = per_size.where(F.col("n") > group_rows).select(F.col("source").alias("s"), F.col("size").alias("z"), "low", ((F.col("high") - F.col("low") + 1.0) / F.ceil(F.col("n") / group_rows)).alias("width"))
+    if split.limit(1).count():
+        part = F.when(F.col("doc_id").isNull(), -1).otherwise(F.coalesce(F.floor((F.col("doc_id") - F.col("low")) / F.col("width")), F.lit(0)))
+        rows = rows.join(split, rows["source"].eqNullSafe(split["s"]) & (rows["size"] == split["z"]), "left").withColumn("part", part.cast("long")).drop("s", "z", "low", "width")
+    else:
+        rows = rows.withColumn("part", F.lit(0).cast("long"))
+    start = Window.partitionBy("source").orderBy("size", "part").rowsBetween(Window.unboundedPreceding, -1)
+    groups = rows.groupBy("source", "size", "part").agg(F.count("*").alias("n")).withColumn("start", F.coalesce(F.sum("n").over(start), F.lit(0)))
+    groups = groups.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("part").alias("p"), "start")
+    own = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy(*order))
+    placed = rows.withColumn("own", own).join(groups, rows["source"].eqNullSafe(groups["s"]) & (rows["size"] == groups["z"]) & (rows["part"] == groups["p"]))
+    return placed.withColumn("rank", F.col("start") + F.col("own")).drop("part", "own", "s", "z", "p", "start")
+
+
+def mix(docs: DataFrame, weights: list[int], share: float = 1.5, cap: float = 2.0, seed: int = 7, ties: tuple[str, ...] = (), group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(doc_id, *ties, source, size, source_size, target, copies, taken) for every row of ``docs``.
+
+    ``ties``: columns that order rows of one size and doc_id, and stay. ``group_rows`` changes no result.
+    """
+    keep = [F.col(c).alias(f"t{i}") for i, c in enumerate(ties)]
+    rows = saved(docs.select("doc_id", *keep, "source", word_count(F.col("text")).alias("size")))
+    per_size = saved(rows.groupBy("source", "size").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")))
+    targets = saved(source_targets(per_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, share, cap))
+    rows = ranked(rows, per_size, ["doc_id", *(f"t{i}" for i in range(len(ties)))], group_rows)
+    # One row for each source; where there are many, Spark joins them by a shuffle instead.
+    rows = rows.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    at = F.col("start") + F.col("rank")
-    copies = F.floor(rate * at + offset(F.col("r.source"), seed)) - F.floor(rate * (at - 1) + offset(F.col("r.source"), seed))
-    return ranked.select("doc_id", F.col("r.source").alias("source"), "size", "source_size", "target", copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
+    at, shift = F.col("rank"), offset(F.col("source"), seed)
+    copies = F.floor(rate * at + shift) - F.floor(rate * (at - 1) + shift)
+    return rows.select("doc_id", *[F.col(f"t{i}").alias(c) for i, c in enumerate(ties)], "source", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))

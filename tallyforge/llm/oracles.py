@@ -27,7 +27,6 @@ g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text ||
 SELECT conv_id::BIGINT AS conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
 """
 
-# A group of over 50,000 documents of one source and size is dealt in parts by hash; below that, as here, the order is (size, doc_id).
 OP7 = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w FROM d GROUP BY source),
@@ -35,7 +34,7 @@ r AS (SELECT *, source_size * 2.0::DOUBLE AS most, source_size * 2.0::DOUBLE / w
 l AS (SELECT *, (sum(source_size) OVER ())::DOUBLE * 1.5 - coalesce(sum(most) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
   sum(w) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM r),
 t AS (SELECT source, source_size, least(most, coalesce(max(CASE WHEN rest / open < ratio THEN rest / open END) OVER (), 'infinity'::DOUBLE) * w) AS target FROM l),
-k AS (SELECT d.doc_id, d.size, t.source_size, t.target, row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) AS i,
+k AS (SELECT d.doc_id, d.size, t.source_size, t.target, row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id NULLS FIRST) AS i,
   CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
   ('0x' || substr(md5('7/' || coalesce(d.source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)

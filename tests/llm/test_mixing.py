@@ -56,11 +56,11 @@ def test_uneven_sources(spark):
     check(spark, [(i, "w " * 10, "a" if i < 300 else f"b{i}") for i in range(330)])
 
 
-def test_reruns_agree_and_groups_are_split(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "GROUP_ROWS", 7)
-    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("one").alias("source"))
-    a, b = (sorted(map(tuple, mixing.mix(docs, [1]).collect())) for _ in range(2))
-    assert a == b and abs(sum(r[-1] for r in a) - 900) <= 3
+def test_reruns_agree_and_split_groups_keep_the_order(spark):
+    docs = spark.range(200).select((F.col("id") * F.col("id")).alias("doc_id"), F.lit("a b c").alias("text"), F.lit("one").alias("source"), F.lit("x").alias("t0"))
+    docs = docs.unionByName(spark.createDataFrame([(None, "d e f", "one", "y"), (9, "d e f", "one", "y")], "doc_id long, text string, source string, t0 string"))
+    a, b, split = (sorted(map(str, mixing.mix(docs, [1], share=1.3, ties=("text",), group_rows=n).collect())) for n in (50_000, 50_000, 7))
+    assert a == b == split and len(a) == 202
 
 
 def test_empty(spark):
