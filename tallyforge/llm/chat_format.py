@@ -10,7 +10,8 @@ Every control string of the template starts with ``<|``. Inside roles and texts
 and ``<|`` becomes ``<~1|`` (and a newline in a role ``~2``), which ``unescape`` reverses, so no text
 can open or close a turn. ``loss_spans`` (start, length in code points) covers assistant texts.
 
-Defined cases: null text or role is empty; a null score is 0; a parent that is null or absent makes
+Defined cases: rows with a null conv_id are one conversation; rows with a null node_id are no nodes; conv_id is an
+integer; null text or role is empty; texts and conversations of any length are whole; other columns are not returned; a null score is 0; a parent that is null or absent makes
 a root; nodes on or below a cycle belong to no path; repeated (conv_id, node_id) rows: the least
 (parent_id, role, text) stays; equal scores: the smaller leaf id wins; an empty table gives none.
 """
@@ -53,6 +54,9 @@ def tree_paths(nodes: DataFrame) -> DataFrame:
 def format_trees(nodes: DataFrame, keep: int = 1) -> DataFrame:
     """One row for each of the ``keep`` best branches of a conversation:
     conv_id, leaf, branch_rank, branch_score, n_turns, formatted, loss_spans."""
+    # Joins need ids that are equal to themselves.
+    stand_in = (nodes.agg(F.min("conv_id")).first()[0] or 0) - 1
+    nodes = nodes.withColumn("conv_id", F.coalesce(F.col("conv_id").cast("long"), F.lit(stand_in)))
     one = Window.partitionBy("conv_id", "node_id").orderBy("parent_id", "role", "text", "score")
     nodes = nodes.select("conv_id", "node_id", "parent_id", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     nodes = nodes.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
@@ -69,7 +73,9 @@ def format_trees(nodes: DataFrame, keep: int = 1) -> DataFrame:
         F.first("branch_rank").alias("branch_rank"), F.first("branch_score").alias("branch_score"), F.count("*").alias("n_turns"),
         F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "piece"))).alias("pieces"), F.sort_array(F.collect_list(span)).alias("loss_spans"),
     )
-    return rows.withColumn("formatted", F.array_join(F.transform("pieces", lambda x: x["piece"]), "")).drop("pieces")
+    conv_id = F.when(F.col("conv_id") != stand_in, F.col("conv_id")).alias("conv_id")
+    formatted = F.array_join(F.transform("pieces", lambda x: x["piece"]), "").alias("formatted")
+    return rows.select(conv_id, "leaf", "branch_rank", "branch_score", "n_turns", formatted, "loss_spans")
 
 
 def read_back(formatted: Column) -> Column:
