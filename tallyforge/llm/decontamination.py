@@ -9,7 +9,8 @@ at least ``threshold`` of its tokens, in whatever order they come.
 A part of the benchmark of at most ``max_part_bytes`` is sent to all tasks, and a larger benchmark
 takes one pass over the documents for each part; documents are never shuffled.
 
-Defined cases: null texts have no tokens; items with fewer than ``min_match`` tokens are too
+Defined cases: ids are integers; a null doc_id stays null, items with a null item_id are left out; texts of any length
+are whole; other columns are not returned; null texts have no tokens; items with fewer than ``min_match`` tokens are too
 short to tell from ordinary language and never match; repeated rows give repeated results; equal
 matches: the first in the item, then in the document, is marked first; empty tables give none.
 """
@@ -95,6 +96,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, threshold:
 
     ``docs``: doc_id, text; ``benchmark``: item_id, text.
     """
+    benchmark = benchmark.where("item_id is not null")
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, math.ceil(size / max_part_bytes))
     schema = "doc_id long, item_id long, item_tokens long, covered long, coverage double, tiles array<struct<length: int, item_at: int, doc_at: int>>"

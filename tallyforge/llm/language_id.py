@@ -14,7 +14,8 @@ by a hash of the id; that bounds the model. Every text is scored in full.
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0; so is any text if there
 is nothing to learn from; equal code lengths: the first language by code point; repeated rows are
-scored alike; extra columns stay.
+scored alike, whatever their ids, which may be null; texts of any length are scored whole; columns of any
+other name stay, those of the result's names are replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.batches import chunks, text_bytes
-from tallyforge.llm.shared import fewer_rows
+from tallyforge.llm.shared import fewer_rows, packed_row
 
 MAX_ORDER, MAX_DOCS, MAX_DOC_BYTES, MAX_LANGUAGES = 3, 400, 1 << 15, 256
 
@@ -202,4 +203,5 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     names = F.array(*map(F.lit, model.languages))
     letters = has_letter(F.col(text))
-    return docs.withColumn("_best", best(text)).withColumns({"lang_pred": F.when(letters, F.get(names, F.col("_best.lang"))).otherwise("und"), "score": F.when(letters, F.col("_best.score")).otherwise(0.0)}).drop("_best")
+    judged = docs.select(packed_row(docs, ["lang_pred", "score"]), letters.alias("letters"), best(text).alias("best"))
+    return judged.select("row.*", F.when(F.col("letters"), F.get(names, F.col("best.lang"))).otherwise("und").alias("lang_pred"), F.when(F.col("letters"), F.col("best.score")).otherwise(0.0).alias("score"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm import chat_format, decontamination, language_id, mixing, ngram_jaccard, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
-from tallyforge.llm.shared import held_out, table
+from tallyforge.llm.shared import held_out, saved, table
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 WEIGHTS = [5, 2, 1]
@@ -67,8 +67,17 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.compare_edits(table(spark, sf_dir, "documents"))
 
 
+def simhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, fingerprint, other, distance): for every document whose id is divisible by 20 the other fingerprints within 3 bits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.xxhash64("text").alias("h"), "text")
+    fps = saved(simhash.fingerprints(docs, ["doc_id", "h"]))
+    asked = fps.where(F.col("doc_id") % 20 == 0)
+    found = simhash.near(asked, fps, 3)
+    return asked.join(found, "fp").where("fp <> other").select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), simhash.as_hex(F.col("other")).alias("other"), "distance")
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op4_decontamination, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op4_decontamination, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_ngram_jaccard, simhash_near)}

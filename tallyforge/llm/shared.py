@@ -50,7 +50,8 @@ def ascii_lower(text: Column) -> Column:
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
-    return F.crc32(doc_id.cast("string")) % modulus == remainder
+    """Whether a row is held out by its id; a null id never is."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % modulus == remainder, F.lit(False))
 
 
 def fewer_rows(docs: DataFrame, rows: int = 1_000) -> DataFrame:

@@ -8,7 +8,8 @@ sum (32 bits each), so 32 sums hold all votes of a document.
 choice of ``blocks - radius`` of them a table is keyed by those blocks permuted to the front. Two
 fingerprints within the radius agree on all blocks but ``radius``, so they meet in some table.
 
-Defined cases: null text is empty; a text without words has fingerprint 0; rows with the same id and
+Defined cases: null text is empty; a null doc_id comes before all others; texts of any length are whole; other columns are
+not returned; a text without words has fingerprint 0; rows with the same id and
 text are one document; the last document's successor is the first, a lone one is its own; documents
 of one id are ordered by text; an empty table gives an empty result.
 """
@@ -111,5 +112,7 @@ def near(queries: DataFrame, corpus: DataFrame, radius: int = 3, blocks: int = 6
         return df.select("fp").distinct().select(F.col("fp").alias(name), F.explode(tables).alias("k")).select(name, "k.*")
 
     met = keyed(queries, "fp").join(keyed(corpus, "other"), ["t", "block"])
-    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
-    return met.where(distance <= radius).select("fp", "other", distance.alias("distance")).distinct()
+    differ = F.col("fp").bitwiseXOR(F.col("other"))
+    # Of the tables in which two fingerprints meet, the first alone gives the pair.
+    first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(t)) for t, m in enumerate(signed)])
+    return met.where((F.bit_count(differ) <= radius) & (F.col("t") == first)).select("fp", "other", F.bit_count(differ).alias("distance"))

@@ -1,14 +1,15 @@
-"""Repeated word passages across documents, by seed and extend on winnowed anchors.
+"""Repeated word passages across documents, by winnowed anchors.
 
 Seeds of ``SEED`` words are winnowed: of the seeds inside each window of ``window`` words the one with the
 least hash is its anchor, which depends on the window's words alone. Anchors are joined across
-documents; only an anchor whose seed another document has too can belong to a repeated window. Around
-those the match is extended both ways, word by word, to every window that the anchor stands for,
-and the smallest document with the same window is found. Windows that an earlier document has,
-joined where they overlap, are the maximal repeats.
-
-Instead of pairs of documents each place is compared with the smallest document of its key, so a
-group of any size costs its own length. Windows are compared by 128 bits.
+documents; only an anchor whose seed another document has too can belong to a repeated window. Each such
+anchor is extended both ways to all windows that it stands for, and a window is repeated where
+a smaller document has it. Repeated windows, joined where they overlap, are the maximal repeats.
+
+The extension is not made word by word against a partner: windows of shared anchors are hashed (128 bits) and each place is
+compared with the smallest document of its window. So a group of any size costs its own length, and places of one
+common anchor with different surroundings, as at the edges of a passage that millions of documents
+hold, are dealt over all tasks instead of meeting in one.
 
 Defined cases: null text has no words and stays null; ties (rows of one doc_id) never remove each other, and
 rows of one id share removals, so ids should be unique; a null id counts as larger than any other, and

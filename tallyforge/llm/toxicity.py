@@ -20,7 +20,9 @@ picked by a hash of the id. Every text is scored in full.
 
 Defined cases: null and empty text, or no labels of both classes, have score 0 (without labels of
 both classes: 0 for all); labels that are null or repeated with both values are not learnt from; repeated rows are
-scored alike; extra columns stay.
+scored alike, whatever their ids, which may be null; texts of any length are scored whole; columns of any
+other name stay, those of the result's names are replaced; an empty table gives an empty result. Landmark windows
+and training windows have unit norm; a scored window isn't divided by its own, which the logistic curve is fitted to.
 """
 
 from __future__ import annotations

@@ -9,8 +9,8 @@ url is judged by bit tests alone: no join, no shuffle.
 
 Defined cases: a null url or one without ``://`` has an empty host and path and no rule; a rule with
 a null or empty part after cleaning is ignored; of rules that fit, the longest wins, then the one with
-the longer host; urls without a rule get ``default``; repeated rows are judged alike; an empty table
-gives an empty result. A rule listed as both allow and block is an error.
+the longer host; urls without a rule get ``default``; repeated rows are judged alike; urls of any length are whole; columns of any other
+name stay, those of the result's names are replaced; an empty table gives an empty result. A rule listed as both allow and block is an error.
 """
 
 from __future__ import annotations
