@@ -62,8 +62,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(COLUMNS)
     docs = docs.withColumns({"_key": doc_key(docs), "_same": F.xxhash64("source", "text")})
     # Equal rows of one id are one document here: it gets the copies that the mix takes of all of them.
-    rows = docs.select(F.struct("_key", "_same").alias("row"), "doc_id", "source", "text")
-    taken = mixing.mix(rows, WEIGHTS, id_col="row").groupBy("doc_id._key", "doc_id._same").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    rows = docs.select(F.col("_key").alias("doc_id"), "_same", "source", "text")
+    taken = mixing.mix(rows, WEIGHTS, ties=("_same",)).groupBy(F.col("doc_id").alias("_key"), "_same").agg(F.sum("copies").alias("copies")).where("copies > 0")
     one = Window.partitionBy("_key", "_same").orderBy("lang", "n_chars")
     docs = docs.withColumn("_n", F.row_number().over(one)).where("_n = 1").join(taken, ["_key", "_same"])
     return docs.select(*COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
