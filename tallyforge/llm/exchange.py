@@ -19,6 +19,8 @@ from tallyforge.llm.shared import fewer_rows
 from tallyforge.llm.url_filter import build_level, hashed, passing
 
 FLUSH_KEYS = 200_000
+#: So many document ids are sent to all tasks as they are (16 MB).
+FEW_IDS = 1_000_000
 #: A filter of document ids is sent to all tasks only below this size; beyond it the whole table is joined.
 MAX_FILTER_BYTES = 64 << 20
 #: Text whose places one shuffle partition takes.
@@ -183,10 +185,14 @@ def bucket_count(docs: DataFrame) -> int:
 def by_ids(docs: DataFrame, ids: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
     """(documents whose ``key`` may be one of ``ids`` (column doc), documents whose key surely is none).
 
-    A Bloom filter spares the others' texts a shuffle; where it would be too large, all may.
+    That spares the others' texts a shuffle. Few ids are sent to all tasks as they are, and decide exactly; more as
+    a Bloom filter; where that would be too large, all may.
     """
     keys = ids.select(*hashed(F.col("doc")))
     n = keys.count()
+    if n <= FEW_IDS:
+        few = F.broadcast(ids.select(F.col("doc").alias("few_doc")))
+        return tuple(docs.join(few, key == F.col("few_doc"), how) for how in ("left_semi", "left_anti"))
     if n * 2 > MAX_FILTER_BYTES:
         return docs, docs.where(F.lit(False))
     level = build_level(keys, 0, 12.0, 8, MAX_FILTER_BYTES)

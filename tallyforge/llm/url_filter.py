@@ -18,7 +18,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,9 +100,9 @@ def passing(keys: DataFrame, level: Level, wanted: bool = True, hashes: list[Col
     """The rows whose ``hashes`` (by default h1, h2) pass the filter, or don't."""
     held = keys.sparkSession.sparkContext.broadcast(level)
 
-    @F.pandas_udf("boolean")
-    def passes(h1: pd.Series, h2: pd.Series) -> pd.Series:
-        return pd.Series(held.value.test(h1.to_numpy(np.int64).view(np.uint64), h2.to_numpy(np.int64).view(np.uint64)))
+    @F.arrow_udf("boolean")
+    def passes(h1: pa.Array, h2: pa.Array) -> pa.Array:
+        return pa.array(held.value.test(_unsigned(h1), _unsigned(h2)))
 
     return keys.where(passes(*(hashes or ("h1", "h2"))) == wanted)
 
@@ -171,18 +170,18 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     both = [build_cascade(universe, rules.where(F.col("action") == a), bits_per_key, max_filter_bytes) for a in ("allow", "block")]
     held = pages.sparkSession.sparkContext.broadcast(both)
 
-    @F.pandas_udf("int")
-    def longest(h1: pd.Series, h2: pd.Series) -> pd.Series:
+    @F.arrow_udf("int")
+    def longest(h1: pa.Array, h2: pa.Array) -> pa.Array:
         """The place of the first listed key, negative for an allow rule; 0 without one."""
-        sizes = h1.map(len).to_numpy()
-        a, b = (np.concatenate([np.asarray(x, np.int64) for x in h] or [np.zeros(0, np.int64)]).view(np.uint64) for h in (h1, h2))
+        sizes = h1.value_lengths().to_numpy()
+        a, b = (_unsigned(h.flatten()) for h in (h1, h2))
         allow, block = (listed(levels, a, b) if levels else np.zeros(len(a), bool) for levels in held.value)
         row = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(a)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
         out = np.zeros(len(sizes), np.int32)
         hit = np.flatnonzero(allow | block)[::-1]
         out[row[hit]] = np.where(allow[hit], -place[hit], place[hit])
-        return pd.Series(out)
+        return pa.array(out)
 
     h1, h2 = F.transform("keys", lambda k: F.xxhash64(k)), F.transform("keys", lambda k: F.xxhash64(k, F.lit("second")))
     judged = base.select(packed_row(base, ["rule", "verdict"]), keys.alias("keys")).withColumn("at", longest(h1, h2))
