@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 18
+CHUNK_BYTES = 1 << 17
 #: Task memory that is freed goes back to the system at once.
 pa.set_memory_pool(pa.system_memory_pool())
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Gives memory that was freed in pieces back to the system, where the C library can."""
+    if _trim:
+        _trim(0)
+
+
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)

@@ -14,11 +14,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.batches import chunks, mixed, text_bytes
+from tallyforge.llm.batches import chunks, give_back, mixed, text_bytes
 from tallyforge.llm.shared import fewer_rows
 from tallyforge.llm.url_filter import build_level, hashed, passing
 
-FLUSH_KEYS = 200_000
+FLUSH_KEYS = 100_000
+#: A task compares its keys in so many slices, which bounds the copies that it makes of them.
+SLICES = 8
 #: So many document ids are sent to all tasks as they are (16 MB).
 FEW_IDS = 1_000_000
 #: A filter of document ids is sent to all tasks only below this size; beyond it the whole table is joined.
@@ -105,8 +107,10 @@ def send(rows: DataFrame, find: Finder, mode: str, buckets: int) -> DataFrame:
                     turn += 1
                     yield from (b for b in flush(parts, turn) if b is not None)
                     parts, held = [], 0
+                    give_back()
         if held:
             yield from (b for b in flush(parts, turn + 7) if b is not None)
+        give_back()
 
     return fewer_rows(rows).mapInArrow(run, SCHEMA)
 
@@ -126,11 +130,16 @@ def met(sent: DataFrame, mode: str, buckets: int) -> DataFrame:
             if not done.all():
                 mask = pa.array(~done)
                 kept.append(tuple(c.filter(mask).flatten().to_numpy() for c in cols))
-        if kept:
-            key, extra, doc, at = (np.concatenate(p) for p in zip(*kept, strict=True))
+        whole = [np.concatenate(p) for p in zip(*kept, strict=True)]
+        kept.clear()
+        slices = whole[0].view(np.uint64) // np.uint64(buckets) % np.uint64(SLICES) if whole else None
+        for s in range(SLICES if whole else 0):
+            key, extra, doc, at = (c[slices == s] for c in whole)
             if mode == "later":
                 hit, _, _ = later(key, extra, doc, at)
             else:
+                if not len(key):
+                    continue
                 order, first = groups(key, extra)
                 size = np.diff(np.append(first, len(order)))
                 seen = np.logical_or.reduceat(at[order] < 0, first)
@@ -138,8 +147,10 @@ def met(sent: DataFrame, mode: str, buckets: int) -> DataFrame:
                 hit = order[np.repeat(seen | twice, size)]
                 hit = hit[at[hit] >= 0]
             found.append((doc[hit], at[hit]))
+        whole.clear()
         if found:
             yield from home(*(np.concatenate(p) for p in zip(*found, strict=True)), buckets=buckets)
+        give_back()
 
     return gathered(sent.repartition(buckets, "bucket").mapInArrow(run, HOME), buckets)
 

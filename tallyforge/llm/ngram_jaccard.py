@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.batches import LOWER, SpanHash, chunks, gram_hash, mixed, text_bytes, words
-from tallyforge.llm.exchange import HOME, bucket_count, by_ids, gathered, home, met, send, signed, split
+from tallyforge.llm.batches import LOWER, SpanHash, chunks, give_back, gram_hash, mixed, text_bytes, words
+from tallyforge.llm.exchange import HOME, SLICES, bucket_count, by_ids, gathered, home, met, send, signed, split
 from tallyforge.llm.shared import NO_ID, doc_key, fewer_rows, saved
 
 SHINGLE, PERCENT = 5, 80
@@ -168,13 +168,18 @@ def token_counts(sets: DataFrame, often: np.ndarray, buckets: int) -> DataFrame:
     def count(batches):
         got = [[batch.column(c).flatten().to_numpy() for c in (1, 2, 3)] for batch in batches]
         if got:
-            token, doc, at = (np.concatenate(c) for c in zip(*got, strict=True))
+            whole = [np.concatenate(c) for c in zip(*got, strict=True)]
             got.clear()
-            order = np.argsort(token, kind="stable")
-            first = np.flatnonzero(np.concatenate([[True], token[order][1:] != token[order][:-1]]))
-            size = np.diff(np.append(first, len(order)))
-            many = np.repeat(size >= 2, size)
-            yield from home(doc[order][many], at[order][many], np.repeat(size, size)[many], buckets)
+            slices = mixed(whole[0].view(np.uint64)) // np.uint64(buckets) % np.uint64(SLICES)
+            for s in range(SLICES):
+                token, doc, at = (c[slices == s] for c in whole)
+                order = np.argsort(token, kind="stable")
+                new = np.ones(len(token), bool)
+                new[1:] = token[order][1:] != token[order][:-1]
+                size = np.diff(np.append(np.flatnonzero(new), len(order)))
+                many = np.repeat(size >= 2, size)
+                yield from home(doc[order][many], at[order][many], np.repeat(size, size)[many], buckets)
+        give_back()
 
     sent = fewer_rows(sets.select("node", "tokens"), 200).mapInArrow(send_tokens, "bucket int, token array<long>, doc array<long>, at array<int>")
     return gathered(sent.repartition(buckets, "bucket").mapInArrow(count, HOME), buckets)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of an Arrow batch, or one row that is longer.
+BATCH_BYTES = 1 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -55,8 +57,12 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 
 
 def fewer_rows(docs: DataFrame, rows: int = 1_000) -> DataFrame:
-    """``docs``, with Arrow batches of fewer rows from now on: texts are long, and a batch is held whole."""
+    """``docs``, with Arrow batches of fewer rows and bytes from now on: texts are long, and a batch is held whole, twice.
+
+    Spark reads these settings of the session when a plan runs, so they stay set.
+    """
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return docs
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.batches import SpanHash, argmin_windows, chunks, mixed, ranges, text_bytes
+from tallyforge.llm.batches import SpanHash, argmin_windows, chunks, give_back, mixed, ranges, text_bytes
 from tallyforge.llm.exchange import HOME, bucket_count, by_ids, gathered, home, met, send, signed
 from tallyforge.llm.shared import doc_key, fewer_rows, packed_row, saved
 
@@ -172,6 +172,7 @@ def tuples(joined: DataFrame, hot: np.ndarray, flush_rows: int) -> DataFrame:
                     if held >= flush_rows:
                         yield from out()
                         parts, held = [], 0
+                        give_back()
         if held:
             yield from out()
 
@@ -281,6 +282,7 @@ def repeat_starts(sent: DataFrame, buckets: int, flush_rows: int) -> DataFrame:
                     yield from out(False)
         if held:
             yield from out(True)
+        give_back()
 
     dealt = sent.repartition(buckets, F.coalesce("core", "doc")).sortWithinPartitions("core", "right", "left")
     found = gathered(dealt.mapInArrow(run, HOME), buckets)
