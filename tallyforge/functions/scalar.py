@@ -59,12 +59,30 @@ def label_key(x: Column) -> Column:
 @F.pandas_udf(T.StringType())
 def label_key_unicode(x: pd.Series) -> pd.Series:
     """As ``label_key``, for all of Unicode: NFKC and case folding, which Spark has no function for."""
-    return x.map(lambda s: "" if s is None else " ".join(unicodedata.normalize("NFKC", s).split()).casefold())
+    return x.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFKC", s).split()).casefold())
 
 
-@F.pandas_udf(T.DoubleType())
-def log_gamma(x: pd.Series) -> pd.Series:
-    return x.map(math.lgamma, na_action="ignore")
+def any_label_key(x: Column) -> Column:
+    """``label_key`` of ASCII labels, in the JVM; only others go through ``label_key_unicode``."""
+    other = F.when(F.rlike(x, F.lit(r"[^\x00-\x7F]")), x)
+    return F.when(other.isNotNull(), label_key_unicode(other)).otherwise(label_key(x))
+
+
+#: Arguments below this are raised first: ln Gamma(x) = ln Gamma(x + n) - ln(x (x + 1) ... (x + n - 1)).
+LEAST_ARGUMENT = 10
+
+
+def log_gamma(x: Column) -> Column:
+    """ln Gamma(x) for x > 0 by Stirling's series, in the JVM; NULL elsewhere. Good to about 1e-13 of its size."""
+    raised = F.when(x < LEAST_ARGUMENT, x + LEAST_ARGUMENT).otherwise(x)
+    product = F.aggregate(F.sequence(F.lit(0), F.lit(LEAST_ARGUMENT - 1)), F.lit(1.0), lambda s, k: s * (x + k))
+    inverse = 1 / (raised * raised)
+    series = F.lit(0.0)
+    # B(2k) / (2k (2k - 1)) of Stirling's series, k from 8 to 1.
+    for c in (-3617 / 122400, 1 / 156, -691 / 360360, 1 / 1188, -1 / 1680, 1 / 1260, -1 / 360, 1 / 12):
+        series = series * inverse + c
+    value = (raised - 0.5) * F.ln(raised) - raised + 0.5 * math.log(2 * math.pi) + series / raised
+    return F.when(x > 0, value - F.when(x < LEAST_ARGUMENT, F.ln(product)).otherwise(F.lit(0.0)))
 
 
 def log_beta(a: Column, b: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.scalar import count_of, label_key, win_rate, win_rate_all
+from tallyforge.functions.scalar import any_label_key as label_key
+from tallyforge.functions.scalar import count_of, win_rate, win_rate_all
 
 REQUIRED = ("a", "b", "w", "l", "t")
 
@@ -25,9 +26,9 @@ def with_counts(df: DataFrame) -> DataFrame:
 
 
 def max_n(raw: DataFrame) -> DataFrame:
-    """Of duplicate records of (a, b) those with the most matches; ties among them are summed."""
+    """Of duplicate records of (a, b) those with the most matches, counts coerced first; ties among them are summed."""
     most = Window.partitionBy("a", "b")
-    kept = raw.withColumn("most", F.max("n").over(most)).where("n = most")
+    kept = with_counts(raw).withColumn("most", F.max("n").over(most)).where("n = most")
     out = kept.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in "wlt"], F.count("*").alias("tied"))
     out = out.withColumn("n", F.col("w") + F.col("l") + F.col("t"))
     return out.withColumn("winrate", win_rate_all(F.col("w"), F.col("n")))

@@ -45,6 +45,25 @@ def matrices(flat: DataFrame, axis: DataFrame, mode: str = "exclude", mirror: fl
     return cells.withColumns({"n_dir": F.col("w") + F.col("l"), "wr": rate}).select("a", "a_ord", "b", "b_ord", "w", "l", "t", "n_dir", "wr")
 
 
-def pivoted(cells: DataFrame, names: list[str], value: str) -> DataFrame:
-    """The wide form for a sink, with the columns named."""
-    return cells.groupBy("a").pivot("b", names).agg(F.first(value))
+#: Entities that a wide form may have as columns.
+MAX_COLUMNS = 2_000
+
+
+def pivoted(cells: DataFrame, value: str, names: list[str] | None = None, strict: bool = False) -> DataFrame:
+    """The wide form for a sink: a row for each a, a column for each b (``names``, or all in order of name).
+
+    Repeated cells are summed; ``strict`` makes them an error.
+    """
+    if strict and cells.groupBy("a", "b").count().where("count > 1").limit(1).count():
+        raise ValueError("a cell (a, b) occurs twice")
+    if names is None:
+        names = [r.b for r in cells.select("b").distinct().orderBy("b").limit(MAX_COLUMNS + 1).collect()]
+        if len(names) > MAX_COLUMNS:
+            raise ValueError(f"more than {MAX_COLUMNS} columns")
+    return cells.groupBy("a").pivot("b", names).agg(F.sum(value))
+
+
+def axis_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(deck, missing_in): names that only one of two axes (deck) has; none if they agree."""
+    l, r = (x.select("deck").distinct() for x in (left, right))
+    return l.join(r, "deck", "left_anti").withColumn("missing_in", F.lit("right")).unionByName(r.join(l, "deck", "left_anti").withColumn("missing_in", F.lit("left")))

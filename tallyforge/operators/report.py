@@ -49,12 +49,15 @@ def heatmap(cells: DataFrame, ranking: DataFrame, top_n: int = 20, mask_mirror:
 
 
 def sheet_names(names: DataFrame) -> DataFrame:
-    """(deck, sheet): names that a workbook allows; the second and later of equal ones get a number."""
-    clean = F.substring(F.trim(F.regexp_replace("deck", r"[\[\]:*?/\\]", "")), 1, 31)
+    """(deck, sheet): names that a workbook allows; the second and later of equal ones get a number.
+
+    A numbered name keeps within 31 characters, and ``~`` in a clean name becomes ``-``, so that none can meet another.
+    """
+    clean = F.substring(F.trim(F.replace(F.regexp_replace("deck", r"[\[\]:*?/\\]", ""), F.lit("~"), F.lit("-"))), 1, 31)
     rows = names.select("deck", F.when(clean == "", "Sheet").otherwise(clean).alias("base"))
     n = F.row_number().over(Window.partitionBy("base").orderBy("deck"))
     rows = rows.withColumn("n", n)
-    return rows.select("deck", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat(F.substring("base", 1, 27), F.lit("~"), F.col("n").cast("string"))).alias("sheet"))
+    return rows.select("deck", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat(F.substr("base", F.lit(1), 30 - F.length(F.col("n").cast("string"))), F.lit("~"), F.col("n").cast("string"))).alias("sheet"))
 
 
 def sheet_order(sheets: DataFrame, decks: DataFrame) -> DataFrame:

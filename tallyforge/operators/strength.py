@@ -37,7 +37,7 @@ def bt_diagnostics(edges: DataFrame, axis: DataFrame, k: float, cfg) -> DataFram
     least = cfg.n_min_bt / (cfg.n_min_bt + k)
     lever = F.greatest("n_base", F.lit(1e-12)) * F.abs(F.col("p_bar") - 0.5)
     top = edges.agg(
-        F.coalesce(F.avg(F.when(F.col("s_bar") <= least * (1 + cfg.bt_near_band), 1.0).otherwise(0.0)), F.lit(0.0)).alias("near_share"),
+        F.coalesce(F.avg(F.when((F.col("s_bar") >= least) & (F.col("s_bar") < least + cfg.bt_near_band), 1.0).otherwise(0.0)), F.lit(0.0)).alias("near_share"),
         F.median("s_bar").alias("s_med"), F.when(F.sum(lever) > 0, F.sum(lever * lever) / F.pow(F.sum(lever), F.lit(2.0))).alias("hhi"),
     )
     ends = edges.select(F.explode(F.array("a", "b")).alias("deck")).groupBy("deck").count()
@@ -57,13 +57,14 @@ def soft_weights(edges: DataFrame, diagnostics: DataFrame) -> DataFrame:
 
 
 def bt_strength(weights: DataFrame, axis: DataFrame, cfg) -> DataFrame:
-    """(deck, pi, iterations) by minorisation-maximisation with a ridge; pi has a geometric mean of 1.
+    """([league,] deck, pi, iterations) by minorisation-maximisation with a ridge; pi has a geometric mean of 1.
 
     Every step needs all strengths of the step before, so one league (T entities, at most T squared
-    edges) is one task; more leagues would be more tasks.
+    edges) is one task. Where ``axis`` and ``weights`` have a column ``league``, each league is its own.
     """
+    leagues = "league" in axis.columns
 
-    def run(_: tuple, decks: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    def run(name: tuple, decks: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
         names = decks.sort_values("ord")["deck"].tolist()
         at = {d: i for i, d in enumerate(names)}
         i, j = (edges[c].map(at).to_numpy(int) if len(edges) else np.zeros(0, int) for c in "ab")
@@ -81,10 +82,12 @@ def bt_strength(weights: DataFrame, axis: DataFrame, cfg) -> DataFrame:
             if moved < cfg.bt_tol:
                 break
         level = np.exp(np.log(pi).mean()) + 1e-12 if len(pi) else 1.0
-        return pd.DataFrame({"deck": names, "pi": pi / level, "iterations": step})
+        return pd.DataFrame({"league": name[0], "deck": names, "pi": pi / level, "iterations": step})
 
-    one = F.lit(0).alias("league")
-    return axis.select(one, "deck", "ord").groupBy("league").cogroup(weights.select(one, "*").groupBy("league")).applyInPandas(run, "deck string, pi double, iterations long")
+    league = (F.col("league").cast("string") if leagues else F.lit("all")).alias("league")
+    decks, edges = axis.select(league, "deck", "ord"), weights.select(league, "a", "b", "n_eff", "w_ij", "w_ji")
+    out = decks.groupBy("league").cogroup(edges.groupBy("league")).applyInPandas(run, "league string, deck string, pi double, iterations long")
+    return out if leagues else out.drop("league")
 
 
 def bt_percent(strengths: DataFrame, edges: DataFrame) -> DataFrame:

@@ -7,9 +7,14 @@ import re
 _WR = "CASE WHEN w + l > 0 THEN round_even(100.0::DOUBLE * w / (w + l), 2) END"
 _PAGES = """SELECT a, b, page, w, l, t, w + l + t AS n FROM (
   SELECT x.brand AS a, y.brand AS b, x.page, count(*) FILTER (qa > qb) AS w, count(*) FILTER (qa < qb) AS l, count(*) FILTER (qa = qb) AS t
-  FROM (SELECT l_orderkey, p_brand AS brand, l_quantity AS qa, year(l_shipdate) AS page FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F' {cut}) x
-  JOIN (SELECT l_orderkey, p_brand AS brand, l_quantity AS qb FROM lineitem JOIN part ON l_partkey = p_partkey WHERE TRUE {cut}) y
+  FROM (SELECT l_orderkey, p_brand AS brand, l_quantity AS qa, year(l_shipdate) AS page FROM lineitem JOIN {part} ON l_partkey = p_partkey WHERE l_linestatus = 'F') x
+  JOIN (SELECT l_orderkey, p_brand AS brand, l_quantity AS qb FROM lineitem JOIN {part} ON l_partkey = p_partkey) y
   ON x.l_orderkey = y.l_orderkey AND x.brand <> y.brand GROUP BY ALL)"""
+_SHARES = "SELECT deck, 100.0::DOUBLE * q / sum(q) OVER () AS share FROM (SELECT p_brand AS deck, sum(l_quantity) AS q FROM lineitem JOIN {part} ON l_partkey = p_partkey GROUP BY 1)"
+_CUT = "SELECT deck, share, share_cum FROM (SELECT *, sum(share) OVER (ORDER BY share DESC, deck ROWS UNBOUNDED PRECEDING) AS share_cum FROM {shares}) WHERE share_cum - share < 80"
+_CANONICAL = """SELECT *, round_even(share_frac * 100, 2) AS share_pct, (row_number() OVER (ORDER BY share_frac DESC, deck))::INT AS ord FROM (
+      SELECT coalesce(canonical, trim(deck)) AS deck, sum(least(greatest(CASE WHEN share > 1 THEN share / 100 ELSE share END, 0), 1)) AS share_frac
+      FROM {cut} LEFT JOIN aliases ON lower(trim(regexp_replace(deck, '\\s+', ' ', 'g'))) = key GROUP BY 1)"""
 _MAXN = """SELECT *, CASE WHEN n > 0 THEN round_even(100.0::DOUBLE * w / n, 2) ELSE 0.0::DOUBLE END AS winrate FROM (
   SELECT a, b, sum(w)::BIGINT AS w, sum(l)::BIGINT AS l, sum(t)::BIGINT AS t, count(*) AS tied, sum(w + l + t)::BIGINT AS n
   FROM (SELECT *, max(n) OVER (PARTITION BY a, b) AS most FROM {raw}) WHERE n = most GROUP BY a, b)"""
@@ -22,7 +27,7 @@ _BEST = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY least(a, b),
 _CELLS = """SELECT x.deck AS a, x.ord AS a_ord, y.deck AS b, y.ord AS b_ord, CASE WHEN x.deck <> y.deck THEN coalesce(w, 0) END AS w, CASE WHEN x.deck <> y.deck THEN coalesce(l, 0) END AS l,
   CASE WHEN x.deck <> y.deck THEN coalesce(t, 0) END AS t, CASE WHEN x.deck <> y.deck THEN coalesce(w, 0) + coalesce(l, 0) END AS n_dir,
   CASE WHEN x.deck <> y.deck AND w + l > 0 THEN round_even(100.0::DOUBLE * w / (w + l), 2) END AS wr
-  FROM axis x CROSS JOIN axis y LEFT JOIN {flat} f ON f.a = x.deck AND f.b = y.deck"""
+  FROM {axis} x CROSS JOIN {axis} y LEFT JOIN {flat} f ON f.a = x.deck AND f.b = y.deck"""
 _META = """SELECT deck, CASE WHEN mass > 0 THEN filled / sum(filled) OVER () ELSE 1.0::DOUBLE / count(*) OVER () END AS p_meta FROM (
   SELECT *, s + greatest(0.0::DOUBLE, 1 - mass) * ({to}) AS filled FROM (SELECT x.deck, coalesce(share_frac, 0) AS s, p_enc, sum(coalesce(share_frac, 0)) OVER () AS mass, 1.0::DOUBLE / count(*) OVER () AS even
   FROM axis x LEFT JOIN canonical USING (deck) LEFT JOIN enc USING (deck)))"""
@@ -32,8 +37,9 @@ _Z = "CASE WHEN stddev_pop({x}) OVER () > 1e-12 THEN ({x} - avg({x}) OVER ()) /
 _LB = "lgamma(({a})::DOUBLE) + lgamma(({b})::DOUBLE) - lgamma(({a} + {b})::DOUBLE)"
 
 CTES = {
-    "raw": _PAGES.format(cut=""),
-    "sparse": _PAGES.format(cut="AND l_shipdate < TIMESTAMP '1995-07-01'"),
+    "raw": _PAGES.format(part="part"),
+    "fparts": "SELECT p_partkey, p_brand || ' ' || split_part(p_type, ' ', 1) AS p_brand FROM part",
+    "sparse": _PAGES.format(part="fparts"),
     "aliases": "SELECT * FROM (VALUES ('brand#2', 'Brand#2'), ('brand#21', 'Brand#2'), ('brand#22', 'Brand#2'), ('brand#3', 'Brand#3'), ('brand#31', 'Brand#3')) v(key, canonical)",
     "maxn": _MAXN.format(raw="raw"),
     "smaxn": _MAXN.format(raw="sparse"),
@@ -44,14 +50,16 @@ CTES = {
     "mbest": _BEST.format(pairs="maxn"),
     "flat": _SYM.format(best="best"),
     "sflat": _SYM.format(best="sbest"),
-    "shares": "SELECT deck, 100.0::DOUBLE * q / sum(q) OVER () AS share FROM (SELECT p_brand AS deck, sum(l_quantity) AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)",
-    "cut": "SELECT deck, share, share_cum FROM (SELECT *, sum(share) OVER (ORDER BY share DESC, deck ROWS UNBOUNDED PRECEDING) AS share_cum FROM shares) WHERE share_cum - share < 80",
-    "canonical": """SELECT *, round_even(share_frac * 100, 2) AS share_pct, (row_number() OVER (ORDER BY share_frac DESC, deck))::INT AS ord FROM (
-      SELECT coalesce(canonical, trim(deck)) AS deck, sum(least(greatest(CASE WHEN share > 1 THEN share / 100 ELSE share END, 0), 1)) AS share_frac
-      FROM cut LEFT JOIN aliases ON lower(trim(regexp_replace(deck, '\\s+', ' ', 'g'))) = key GROUP BY 1)""",
+    "shares": _SHARES.format(part="part"),
+    "fshares": _SHARES.format(part="fparts"),
+    "cut": _CUT.format(shares="shares"),
+    "fcut": _CUT.format(shares="fshares"),
+    "canonical": _CANONICAL.format(cut="cut"),
+    "fcanonical": _CANONICAL.format(cut="fcut"),
     "axis": "SELECT deck, ord FROM canonical",
-    "cells": _CELLS.format(flat="flat"),
-    "scells": _CELLS.format(flat="sflat"),
+    "faxis": "SELECT deck, ord FROM fcanonical",
+    "cells": _CELLS.format(flat="flat", axis="axis"),
+    "scells": _CELLS.format(flat="sflat", axis="faxis"),
     "enc": "SELECT b AS deck, sum(coalesce(n_dir, 0))::DOUBLE / sum(sum(coalesce(n_dir, 0))) OVER () AS p_enc FROM cells GROUP BY b",
     "meta": _META.format(to="coalesce(p_enc, 0)"),
     "mixed": "SELECT *, (0.5::DOUBLE * sum(abs(p_meta - p_enc)) OVER ()) AS tv, 0.3::DOUBLE AS gamma FROM meta JOIN enc USING (deck)",
@@ -79,7 +87,7 @@ CTES = {
     "degree": "SELECT min(coalesce(n, 0)) AS min_opp, median(coalesce(n, 0))::DOUBLE AS med_opp FROM axis LEFT JOIN (SELECT deck, count(*) AS n FROM (SELECT a AS deck FROM edges UNION ALL SELECT b FROM edges) GROUP BY 1) USING (deck)",
     "diag": """SELECT *, least(greatest(1.5::DOUBLE + 0.4 * least(greatest((near_share - 0.15) / 0.15, 0), 1) + 0.2 * least(greatest((0.60 - coalesce(s_med, 0.60)) / 0.10, 0), 1)
         + 0.2 * least(greatest((coalesce(hhi, 0.10) - 0.10) / 0.05, 0), 1) + 0.1 * least(greatest((8.0 - min_opp) / 5.0, 0), 1), 1.5), 2.1)::DOUBLE AS power FROM (
-      SELECT coalesce(avg(CASE WHEN s_bar <= 5 / 11.0::DOUBLE * 1.1::DOUBLE THEN 1.0 ELSE 0.0 END), 0) AS near_share, median(s_bar) AS s_med,
+      SELECT coalesce(avg(CASE WHEN s_bar >= 5 / 11.0::DOUBLE AND s_bar < 5 / 11.0::DOUBLE + 0.1::DOUBLE THEN 1.0 ELSE 0.0 END), 0) AS near_share, median(s_bar) AS s_med,
         CASE WHEN sum(v) > 0 THEN sum(v * v) / pow(sum(v), 2) END AS hhi FROM (SELECT *, greatest(n_base, 1e-12) * abs(p_bar - 0.5) AS v FROM edges)) CROSS JOIN degree""",
     "soft": "SELECT a, b, n_eff, p * n_eff AS w_ij, (1 - p) * n_eff AS w_ji FROM (SELECT a, b, least(greatest(p_bar, 1e-9), 1 - 1e-9) AS p, greatest(n_base * pow(s_bar, power), 1e-9) AS n_eff FROM edges CROSS JOIN diag)",
     "sides": "SELECT a AS deck, b AS other, n_eff, w_ij AS won FROM soft UNION ALL SELECT b, a, n_eff, w_ji FROM soft",
@@ -103,8 +111,8 @@ CTES = {
       round_even(CASE WHEN r.a <> r.b THEN w_ab * 100 ELSE 0 END, 2) AS weight, round_even(CASE WHEN r.a <> r.b THEN w_ab * p_hat_pct ELSE 0 END, 2) AS contrib
       FROM rpost r LEFT JOIN roww q ON q.a = r.a AND q.b = r.b JOIN ranked k ON k.deck = r.b""",
     "styled": "SELECT *, CASE WHEN abs(gap) >= 8 THEN 'RED' WHEN abs(gap) >= 4 THEN 'YELLOW' END AS gap_flag, opponent = 'Mirror' AS is_mirror, (rank() OVER (PARTITION BY a ORDER BY contrib DESC NULLS LAST)) <= 5 AND contrib IS NOT NULL AS is_topk FROM pairs",
-    "score": """SELECT a, b, w, l, t, n, winrate AS wr_dir, winrate FROM sflat WHERE w + l > 0 AND a IN (SELECT deck FROM axis) AND b IN (SELECT deck FROM axis)""",
-    "alive": """SELECT 0 AS i, list(deck ORDER BY ord) AS d, [[]::VARCHAR[]] AS gone, greatest(1, floor((count(*) - 1) * 0.15::DOUBLE)::INT) AS allowed, TRUE AS moved FROM axis
+    "score": """SELECT a, b, w, l, t, n, winrate AS wr_dir, winrate FROM sflat WHERE w + l > 0 AND a IN (SELECT deck FROM faxis) AND b IN (SELECT deck FROM faxis)""",
+    "alive": """SELECT 0 AS i, list(deck ORDER BY ord) AS d, [[]::VARCHAR[]] AS gone, greatest(1, floor((count(*) - 1) * 0.02::DOUBLE)::INT) AS allowed, TRUE AS moved FROM faxis
       UNION ALL SELECT i + 1, list_filter(d, lambda x: NOT list_contains(out, x)), list_append(gone, out), allowed, len(out) > 0 FROM (
         SELECT i, d, gone, allowed, CASE WHEN len(d) > 2 AND list_max(ex) > 0 THEN list_filter(d, lambda x, k: ex[k] = list_max(ex)) ELSE []::VARCHAR[] END AS out FROM (
           SELECT *, list_transform(d, lambda x: len(list_filter(holes, lambda h: h.a = x AND list_contains(d, h.b))) - allowed) AS ex FROM alive CROSS JOIN (SELECT list({'a': a, 'b': b}) AS holes FROM scells WHERE a <> b AND wr IS NULL) WHERE moved))""",
@@ -136,11 +144,13 @@ _CHECKS = {
     "t_symmetric": "x.t <> y.t", "n_is_w_plus_l": "x.n_dir <> x.w + x.l", "wr_in_range": "x.wr < 0 OR x.wr > 100", "n_not_negative": "x.n_dir < 0",
 }
 _SCORE_CHECKS = {
-    "mirror": "x.a = x.b", "off_axis": "x.a NOT IN (SELECT deck FROM axis) OR x.b NOT IN (SELECT deck FROM axis)", "one_direction": "y.a IS NULL", "n_is_sum": "x.n <> x.w + x.l + x.t",
+    "mirror": "x.a = x.b", "off_axis": "x.a NOT IN (SELECT deck FROM faxis) OR x.b NOT IN (SELECT deck FROM faxis)", "one_direction": "y.a IS NULL", "n_is_sum": "x.n <> x.w + x.l + x.t",
     "wr_formula": "abs(x.wr_dir - 100.0 * x.w / greatest(x.w + x.l, 1)) > 0.1", "winrate_is_wr_dir": "x.winrate <> x.wr_dir",
 }
 _CUT_URL = "regexp_replace(url, '[?#].*$', '')"
 
+BRANDS = sorted(f"Brand#{i}" for i in range(1, 26) if i not in (21, 22))
+
 ORACLES = {
     "raw_matchups": sql("SELECT * FROM raw"),
     "maxn_flat": sql("SELECT * FROM maxn"),
@@ -157,8 +167,8 @@ ORACLES = {
     "wr_matrix_exclude": sql("SELECT a, b, w, l, t, wr FROM cells"),
     "wr_matrix_half": sql("SELECT a, b, CASE WHEN a = b THEN 50.0 WHEN w + l + t > 0 THEN round_even(100.0::DOUBLE * (w + 0.5::DOUBLE * t) / (w + l + t), 2) END::DOUBLE AS wr FROM cells"),
     "n_dir_cells": sql("SELECT a, b, n_dir FROM cells"),
-    "wr_pivot": sql("SELECT a, " + ", ".join(f"max(winrate) FILTER (b = '{b}') AS \"{b}\"" for b in ("Brand#12", "Brand#13", "Brand#2", "Brand#34", "Brand#45")) + " FROM flat WHERE b IN ('Brand#12', 'Brand#13', 'Brand#2', 'Brand#34', 'Brand#45') GROUP BY a"),
-    "missing_filter_kept": sql("SELECT deck, list_position(list_transform(gone, lambda g: list_contains(g, deck)), TRUE)::BIGINT - 1 AS dropped_round FROM axis CROSS JOIN (SELECT gone FROM alive ORDER BY i DESC LIMIT 1)"),
+    "wr_pivot": sql("SELECT a, " + ", ".join(f"sum(winrate) FILTER (b = '{b}') AS \"{b}\"" for b in BRANDS) + " FROM flat GROUP BY a"),
+    "missing_filter_kept": sql("SELECT deck, list_position(list_transform(gone, lambda g: list_contains(g, deck)), TRUE)::BIGINT - 1 AS dropped_round FROM faxis CROSS JOIN (SELECT gone FROM alive ORDER BY i DESC LIMIT 1)"),
     "score_table": sql("SELECT * FROM score"),
     "encounter_share": sql("SELECT * FROM enc"),
     **{f"meta_share_{k}": sql(_META.format(to=v)) for k, v in _METAS.items()},
@@ -188,10 +198,10 @@ ORACLES = {
     "heatmap_cells": sql("SELECT x.rank AS a_rank, y.rank AS b_rank, c.a, c.b, wr FROM cells c JOIN ranked x ON x.deck = c.a JOIN ranked y ON y.deck = c.b WHERE x.rank <= 12 AND y.rank <= 12 AND x.rank >= y.rank"),
     "gap_flags": "SELECT CASE WHEN abs(l_quantity - 25) >= 8 THEN 'RED' WHEN abs(l_quantity - 25) >= 4 THEN 'YELLOW' END AS gap_flag, count(*) AS n FROM lineitem GROUP BY 1",
     "topk_contrib": sql("SELECT a, opponent, contrib FROM styled WHERE is_topk"),
-    "sheet_names": r"WITH b AS (SELECT deck, CASE WHEN c = '' THEN 'Sheet' ELSE c END AS base FROM (SELECT DISTINCT p_type || '/' || p_name AS deck, substr(trim(regexp_replace(p_type || '/' || p_name, '[\[\]:*?/\\]', '', 'g')), 1, 31) AS c FROM part)), n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY deck) AS i FROM b) SELECT deck, CASE WHEN i = 1 THEN base ELSE substr(base, 1, 27) || '~' || i END AS sheet FROM n",
+    "sheet_names": r"WITH b AS (SELECT deck, CASE WHEN c = '' THEN 'Sheet' ELSE c END AS base FROM (SELECT DISTINCT p_type || '/' || p_name AS deck, substr(trim(replace(regexp_replace(p_type || '/' || p_name, '[\[\]:*?/\\]', '', 'g'), '~', '-')), 1, 31) AS c FROM part)), n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY deck) AS i FROM b) SELECT deck, CASE WHEN i = 1 THEN base ELSE substr(base, 1, 30 - length(i::VARCHAR)) || '~' || i END AS sheet FROM n",
     "validate_matrix": sql(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER ({c}) AS n_bad FROM cells x JOIN cells y ON x.a = y.b AND x.b = y.a" for k, c in _CHECKS.items())),
     "validate_score": sql(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER ({c}) AS n_bad FROM score x LEFT JOIN score y ON x.a = y.b AND x.b = y.a" for k, c in _SCORE_CHECKS.items())),
-    "validate_missing": sql("SELECT a, n_missing, allowed, n_missing <= allowed AS ok FROM (SELECT a, count(*) FILTER (wr IS NULL) AS n_missing, greatest(1, floor(count(*) * 0.15::DOUBLE)::BIGINT) AS allowed FROM scells WHERE a <> b GROUP BY a)"),
+    "validate_missing": sql("SELECT a, n_missing, allowed, n_missing <= allowed AS ok FROM (SELECT a, count(*) FILTER (wr IS NULL) AS n_missing, greatest(1, floor(count(*) * 0.02::DOUBLE)::BIGINT) AS allowed FROM scells WHERE a <> b GROUP BY a)"),
     "matchup_url": "SELECT page_id, h || CASE WHEN ends_with(p, '/matchups') THEN p ELSE p || '/matchups' END || CASE WHEN length(q) > 1 THEN q ELSE '' END || CASE WHEN length(f) > 1 THEN f ELSE '' END AS matchup_url FROM (SELECT page_id, regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) AS h, rtrim(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '/') AS p, regexp_extract(url, '^[^?#]*(\\?[^#]*)', 1) AS q, regexp_extract(url, '(#.*)$', 1) AS f FROM pages)",
     "cache_key": "SELECT page_id, substr(sha256(url), 1, 16) AS cache_key FROM pages",
     "cache_fresh": "SELECT event_id, TIMESTAMP '2024-01-15 12:00:00' - ts < INTERVAL 720 MINUTE AS fresh FROM events",

@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 FLAT = "a string, b string, w bigint, l bigint, t bigint, n bigint, winrate double"
 
 
-def raw_matchups(lines: DataFrame, parts: DataFrame, before: str | None = None) -> DataFrame:
+def raw_matchups(lines: DataFrame, parts: DataFrame) -> DataFrame:
     """(a, b, page, w, l, t, n): brands meet where an order has lines of both; the larger quantity wins.
 
     Pages are the years in which a's line shipped. Only a's finished lines count, so that (a, b)
     and (b, a) may disagree, as scraped records do. One shuffle by order; the brand is joined before it.
     """
-    rows = lines.select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate", "l_linestatus")
-    if before is not None:
-        rows = rows.where(F.col("l_shipdate") < F.lit(before).cast("timestamp"))
-    rows = rows.join(parts.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand")), "l_partkey")
+    rows = lines.select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate", "l_linestatus").join(parts.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand")), "l_partkey")
     ours = rows.where("l_linestatus = 'F'").select("l_orderkey", F.col("brand").alias("a"), F.col("l_quantity").alias("qa"), F.year("l_shipdate").alias("page"))
     theirs = rows.select("l_orderkey", F.col("brand").alias("b"), F.col("l_quantity").alias("qb"))
     met = ours.join(theirs, "l_orderkey").where("a <> b")

@@ -161,10 +161,7 @@ class DecklistRows:
 
 def parse_matchups(pages: DataFrame) -> DataFrame:
     """(a, b, w, l, t, n, winrate) from pages (deck, html)."""
-    pages.createOrReplaceTempView("_pages")
-    spark = pages.sparkSession
-    spark.udtf.register("matchup_rows", MatchupRows)
-    rows = spark.sql("SELECT deck AS a, r.* FROM _pages, LATERAL matchup_rows(html) r")
+    rows = pages.select("deck", "html").alias("p").lateralJoin(MatchupRows(F.col("p.html").outer()).alias("r")).select(F.col("p.deck").alias("a"), "r.*")
     dash = "[\\-–—−]"
     record = lambda i: F.coalesce(F.regexp_extract("record", rf"(\d+)\s*{dash}\s*(\d+)(?:\s*{dash}\s*(\d+))?", i).try_cast("bigint"), F.lit(0))
     n = F.coalesce(F.regexp_replace("matches", r"\D", "").try_cast("bigint"), F.lit(0))
@@ -176,8 +173,5 @@ def parse_matchups(pages: DataFrame) -> DataFrame:
 
 def parse_decklist(pages: DataFrame) -> DataFrame:
     """(rank, deck, share, count, url) from pages (html), by rank."""
-    pages.createOrReplaceTempView("_pages")
-    spark = pages.sparkSession
-    spark.udtf.register("decklist_rows", DecklistRows)
-    rows = spark.sql("SELECT r.* FROM _pages, LATERAL decklist_rows(html) r")
+    rows = pages.select("html").alias("p").lateralJoin(DecklistRows(F.col("p.html").outer()).alias("r")).select("r.*")
     return rows.select(F.rint(F.col("rank").try_cast("double")).cast("bigint").alias("rank"), "deck", "share", F.col("count").try_cast("bigint").alias("count"), "url").orderBy("rank")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zipfile
 from datetime import datetime
 from xml.sax.saxutils import escape
@@ -10,18 +11,16 @@ from xml.sax.saxutils import escape
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The folder of each kind of output.
-ROUTES = {"decklist": "RAW/Decklists", "matchup": "RAW/Matchups", "score": "MATRICES/Flat", "filtered_wr": "MATRICES/Winrate", "n_dir": "MATRICES/Volumes", "ranking": "MARS/Ranking", "coverage": "MARS/Coverage", "pairs_by_deck": "MARS/Reports"}
 
+def route(base: str, prefix: str, routes: dict[str, str]) -> str:
+    """The folder of an output: of the longest key of ``routes`` that its name begins with, else ``base``."""
+    kind = max((k for k in routes if prefix.startswith(k)), key=len, default=None)
+    return f"{base}/{routes[kind]}" if kind else base
 
-def route(base: str, prefix: str) -> str:
-    kind = max((k for k in ROUTES if prefix.startswith(k)), key=len, default=None)
-    return f"{base}/{ROUTES[kind]}" if kind else base
 
-
-def write_csv_versioned(df: DataFrame, base: str, prefix: str, changed: bool, now: datetime) -> str:
+def write_csv_versioned(df: DataFrame, base: str, prefix: str, changed: bool, now: datetime, routes: dict[str, str] | None = None) -> str:
     """Writes ``<prefix>_latest``, and a stamped version too if ``changed``; returns what was written last."""
-    home = route(base, prefix)
+    home = route(base, prefix, routes or {})
     targets = [f"{home}/{prefix}_latest"] + [f"{home}/{prefix}_{now:%Y%m%d_%H%M%S}"] * changed
     for path in targets:
         df.write.mode("overwrite").csv(path, header=True)
@@ -29,8 +28,9 @@ def write_csv_versioned(df: DataFrame, base: str, prefix: str, changed: bool, no
 
 
 def content_hash(df: DataFrame) -> DataFrame:
-    """One row (n_rows, content): equal for equal rows in any order."""
-    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])), F.lit(0)).alias("content"))
+    """One row (n_rows, content): equal for equal rows in any order, repeated rows counted."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("content"))
 
 
 def retention(files: DataFrame, archives: bool = False) -> DataFrame:
@@ -41,9 +41,33 @@ def retention(files: DataFrame, archives: bool = False) -> DataFrame:
     return files.withColumn("action", F.when(stamped & ~latest & ~kept, "delete").otherwise("keep"))
 
 
+MAX_SHEET_ROWS, MAX_NAME = 100_000, 31
+
+
+def workbook_names(names: list[str]) -> list[str]:
+    """Each name without ``[]:*?/\\``, of at most MAX_NAME characters and unlike all others, case aside."""
+    taken: set[str] = set()
+    out = []
+    for name in names:
+        base = re.sub(r"[\[\]:*?/\\]", "", name).strip()[:MAX_NAME] or "Sheet"
+        new, n = base, 1
+        while new.lower() in taken:
+            n += 1
+            new = f"{base[: MAX_NAME - 1 - len(str(n))]}~{n}"
+        taken.add(new.lower())
+        out.append(new)
+    return out
+
+
 def write_workbook(sheets: dict[str, DataFrame], path: str) -> None:
-    """An xlsx of report sheets. Reports are made for people, T rows a sheet; they are written on the driver."""
-    tables = [(name, df.columns, df.collect()) for name, df in sheets.items()]
+    """An xlsx of report sheets in their order. Reports are made for people; they are written on the driver,
+    so a sheet of more than MAX_SHEET_ROWS rows is an error. Names that a workbook doesn't allow are changed."""
+    tables = []
+    for name, df in zip(workbook_names(list(sheets)), sheets.values(), strict=True):
+        rows = df.limit(MAX_SHEET_ROWS + 1).collect()
+        if len(rows) > MAX_SHEET_ROWS:
+            raise ValueError(f"sheet {name} has more than {MAX_SHEET_ROWS} rows")
+        tables.append((name, df.columns, rows))
 
     def cell(v) -> str:
         if v is None:

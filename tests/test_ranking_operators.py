@@ -99,6 +99,39 @@ def test_bt_two_entities(spark):
     assert bt["x"] == pytest.approx(73.105858, abs=1e-4) and bt["y"] == pytest.approx(26.894142, abs=1e-4)
 
 
+def test_near_share_is_an_absolute_band(spark):
+    # At K = 6 the least confidence is 5 / 11 = 0.4545, so the band ends below 0.5545: three of four edges.
+    edges = spark.createDataFrame([("x", "y", 0.4546, 9.0, 0.6), ("x", "z", 0.52, 9.0, 0.6), ("y", "z", 0.554, 9.0, 0.4), ("x", "u", 0.5546, 9.0, 0.5)], "a string, b string, s_bar double, n_base double, p_bar double")
+    axis = spark.createDataFrame([(d, i) for i, d in enumerate("xyzu")], "deck string, ord int")
+    assert strength.bt_diagnostics(edges, axis, 6.0, RankingConfig()).first().near_share == 0.75
+
+
+def test_leagues_are_solved_apart(spark):
+    axis = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "x", 1), ("b", "y", 2)], "league string, deck string, ord int")
+    soft = spark.createDataFrame([("a", "x", "y", 10.0, 6.0, 4.0), ("b", "x", "y", 10.0, 4.0, 6.0)], "league string, a string, b string, n_eff double, w_ij double, w_ji double")
+    pi = {(r.league, r.deck): r.pi for r in strength.bt_strength(soft, axis, RankingConfig()).collect()}
+    assert pi["a", "x"] == pytest.approx(1.167748, abs=1e-5) == pi["b", "y"] and pi["a", "y"] == pytest.approx(0.856349, abs=1e-5) == pi["b", "x"]
+
+
+def test_log_gamma_and_keys(spark):
+    rows = spark.createDataFrame([(x,) for x in (1e-3, 0.5, 1.0, 2.0, 3.7, 9.99, 10.0, 55.5, 1e4, 1e7)], "x double")
+    for r in rows.select("x", scalar.log_gamma(F.col("x")).alias("g")).collect():
+        assert r.g == pytest.approx(math.lgamma(r.x), rel=1e-11, abs=1e-11)
+    index = consolidate.alias_index(spark, {"Strasse": ["STRAßE"]})
+    named = consolidate.apply_alias(spark.createDataFrame([("straße",), (" Other ",), ("strasse",), (None,)], "deck string"), "deck", index)
+    assert [r.deck for r in named.collect()] == ["Strasse", "Other", "Strasse", None]
+
+
+def test_pivot(spark):
+    cells = spark.createDataFrame([("a", "b", 1.0), ("a", "b", 2.0), ("b", "a", 4.0)], "a string, b string, v double")
+    wide = matrix.pivoted(cells.withColumn("b", F.concat(F.lit("to_"), "b")), "v")
+    assert {(r.a, r.to_a, r.to_b) for r in wide.collect()} == {("a", None, 3.0), ("b", 4.0, None)}
+    with pytest.raises(ValueError):
+        matrix.pivoted(cells, "v", strict=True)
+    one, two = (spark.createDataFrame([(x,) for x in names], "deck string") for names in ("ab", "bc"))
+    assert {tuple(r) for r in matrix.axis_difference(one, two).collect()} == {("a", "right"), ("c", "left")}
+
+
 def test_bt_without_edges(spark):
     axis = spark.createDataFrame([("x", 1), ("y", 2)], "deck string, ord int")
     none = spark.createDataFrame([], "a string, b string, n_eff double, w_ij double, w_ji double")
@@ -173,11 +206,14 @@ def test_sinks(spark, tmp_path):
     from datetime import datetime
 
     df = spark.createDataFrame([(1, "a"), (2, None)], "x int, y string")
-    last = sinks.write_csv_versioned(df, str(tmp_path), "score_x", True, datetime(2024, 1, 2, 3, 4, 5))
-    assert last.endswith("MATRICES/Flat/score_x_20240102_030405") and spark.read.csv(last, header=True).count() == 2
+    last = sinks.write_csv_versioned(df, str(tmp_path), "score_x", True, datetime(2024, 1, 2, 3, 4, 5), {"score": "scores", "s": "rest"})
+    assert last.endswith("scores/score_x_20240102_030405") and spark.read.csv(last, header=True).count() == 2
     sinks.write_workbook({"One": df}, str(tmp_path / "w.xlsx"))
     assert (tmp_path / "w.xlsx").stat().st_size > 500
     assert sinks.content_hash(df).first() == sinks.content_hash(df.orderBy(F.desc("x"))).first()
+    assert sinks.content_hash(df.limit(1).union(df.limit(1))).first() != sinks.content_hash(df.where("x = 2").union(df.where("x = 2"))).first()
+    names = sinks.workbook_names(["a" * 40, "a" * 35, "A" * 31 + "b", "x/y", "xy", "*"])
+    assert len({n.lower() for n in names}) == 6 and max(map(len, names)) == 31 and names[3:] == ["xy", "xy~2", "Sheet"]
     files = spark.createDataFrame([("o/a_20240102_030405.csv",), ("o/a_latest.csv",), ("archives/a_20240102_030405.csv",)], "path string")
     assert [r.action for r in sinks.retention(files).collect()] == ["delete", "keep", "keep"]
 
