@@ -56,6 +56,11 @@ def label_key(x: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"\s+", " ")))
 
 
+def outer_key(x: Column) -> Column:
+    """As ``label_key``, inner space as it is."""
+    return F.lower(F.trim(F.coalesce(x, F.lit(""))))
+
+
 @F.pandas_udf(T.StringType())
 def label_key_unicode(x: pd.Series) -> pd.Series:
     """As ``label_key``, for all of Unicode: NFKC and case folding, which Spark has no function for."""

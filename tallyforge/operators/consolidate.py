@@ -37,16 +37,22 @@ def max_n(raw: DataFrame) -> DataFrame:
 def alias_index(spark, names: dict[str, list[str]]) -> DataFrame:
     """(key, canonical): every spelling's key; of two canonical names that claim one, the first gets it."""
     rows = [(i, canonical, spelling) for i, (canonical, variants) in enumerate(names.items()) for spelling in (canonical, *variants)]
-    keyed = spark.createDataFrame(rows, "pos int, canonical string, spelling string").withColumn("key", label_key(F.col("spelling")))
+    return alias_keys(spark.createDataFrame(rows, "pos int, canonical string, spelling string"))
+
+
+def alias_keys(spellings: DataFrame) -> DataFrame:
+    """``alias_index`` of spellings (pos, canonical, spelling)."""
+    keyed = spellings.withColumn("key", label_key(F.col("spelling")))
     return keyed.groupBy("key").agg(F.min_by("canonical", "pos").alias("canonical"))
 
 
-def apply_alias(df: DataFrame, column: str, aliases: DataFrame | None) -> DataFrame:
-    """``column`` by its canonical name; a name that no alias knows is only trimmed."""
+def apply_alias(df: DataFrame, column: str, aliases: DataFrame | None, trim: bool = True) -> DataFrame:
+    """``column`` by its canonical name; a name that no alias knows is only trimmed, or left as it is."""
     if aliases is None:
         return df.withColumn(column, F.trim(column))
+    other = F.trim(F.col(column)) if trim else F.col(column)
     known = F.broadcast(aliases.select(F.col("key").alias("_key"), F.col("canonical").alias("_to")))
-    return df.join(known, label_key(F.col(column)) == F.col("_key"), "left").withColumn(column, F.coalesce("_to", F.trim(F.col(column)))).drop("_key", "_to")
+    return df.join(known, label_key(F.col(column)) == F.col("_key"), "left").withColumn(column, F.coalesce("_to", other)).drop("_key", "_to")
 
 
 def alias_coverage(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:

@@ -25,6 +25,13 @@ def pairs_by_entity(cells: DataFrame, weights: DataFrame, ranking: DataFrame) ->
     )
 
 
+def pairs_view(pairs: DataFrame, counts: bool = True, posterior_se: bool = False, binom_se: bool = True, self_row: bool = True, weight: bool = False, contrib: bool = False) -> DataFrame:
+    """``pairs_by_entity`` with the columns and rows that a report shows."""
+    off = {c for c, shown in [("w", counts), ("l", counts), ("n", counts), ("se_dir", posterior_se), ("se_binom", binom_se), ("weight", weight), ("contrib", contrib)] if not shown}
+    rows = pairs if self_row else pairs.where("opponent <> 'Mirror'")
+    return rows.select([c for c in rows.columns if c not in off])
+
+
 def gap_flag(gap: Column) -> Column:
     return F.when(F.abs(gap) >= 8, "RED").when(F.abs(gap) >= 4, "YELLOW")
 
@@ -72,6 +79,17 @@ def sheet_order(sheets: DataFrame, decks: DataFrame) -> DataFrame:
     return rows.select("sheet", F.row_number().over(Window.orderBy("grp", "ord", "sheet")).alias("place"))
 
 
+def book_sheets(pairs: DataFrame, ranking: DataFrame, n_legend: int) -> DataFrame:
+    """(place, sheet, deck, n_rows) of a whole workbook: legend, summary, then the entities by rank."""
+    names = sheet_names(ranking.select("deck"))
+    rows = pairs.groupBy(F.col("a").alias("deck")).agg(F.count("*").alias("n_rows")).join(names, "deck").join(ranking.select("deck", "rank"), "deck")
+    fixed = ranking.agg(F.count("*").alias("n")).select(F.inline(F.array(
+        F.struct(F.lit(0).alias("rank"), F.lit("01_Summary").alias("sheet"), F.col("n").alias("n_rows")), F.struct(F.lit(-1).alias("rank"), F.lit("00_Legenda").alias("sheet"), F.lit(n_legend).cast("bigint").alias("n_rows")),
+    )))
+    both = rows.select("rank", "sheet", "n_rows", "deck").unionByName(fixed.withColumn("deck", F.lit(None).cast("string")))
+    return both.select(F.row_number().over(Window.orderBy("rank", "sheet")).alias("place"), "sheet", "deck", "n_rows")
+
+
 def legend(spark, settings: dict) -> DataFrame:
     """The legend as rows (ord, item, meaning)."""
     # The columns' meanings.

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.functions.scalar import win_rate
+
 
 def mirrored(cells: DataFrame, *columns: str) -> DataFrame:
     """Cells (a, b) beside their transposes: column c of (b, a) is c_t."""
@@ -53,6 +55,32 @@ def validate_missing(cells: DataFrame, max_ratio: float, min_allowed: int) -> Da
     return rows.select("a", "n_missing", allowed.alias("allowed"), (F.col("n_missing") <= allowed).alias("ok"))
 
 
+def validate_coverage(score: DataFrame, cells: DataFrame, max_ratio: float) -> DataFrame:
+    """As many records as known cells, no more of them, and not more cells unknown than ``max_ratio`` allows."""
+    known = cells.where("a <> b").agg(F.count_if(F.col("wr").isNotNull()).alias("known"), F.count("*").alias("total"))
+    both = score.agg(F.count("*").alias("rows")).crossJoin(known)
+    bad = {
+        "rows_are_cells": F.col("rows") != F.col("known"),
+        "overfill": F.col("rows") > F.col("known"),
+        "missing_rate": F.col("total") - F.col("known") > F.col("total") * max_ratio,
+    }
+    return checked(both, bad)
+
+
+def validate_recomputed(cells: DataFrame, score: DataFrame) -> DataFrame:
+    """Rates and counts of the cells against the same from the records, where both know them."""
+    again = score.groupBy("a", "b").agg(F.sum("w").alias("w2"), F.sum("l").alias("l2"))
+    rows = cells.where("a <> b").join(again, ["a", "b"], "left")
+    n = F.coalesce(F.col("w2") + F.col("l2"), F.lit(0))
+    return checked(rows, {"wr_recomputed": F.abs(F.col("wr") - win_rate(F.col("w2"), F.col("l2"))) > 0.1, "n_recomputed": F.col("n_dir") != n})
+
+
+def validate_bt_weights(soft: DataFrame) -> DataFrame:
+    """Soft weights (n_eff, w_ij, w_ji) of an edge: both inside (0, n_eff), n_eff in sum."""
+    inside = lambda c: (F.col(c) > 0) & (F.col(c) < F.col("n_eff"))
+    return checked(soft, {"sum_is_n_eff": F.abs(F.col("w_ij") + F.col("w_ji") - F.col("n_eff")) > 1e-6, "in_range": ~(inside("w_ij") & inside("w_ji"))})
+
+
 def checked(rows: DataFrame, bad: dict) -> DataFrame:
     counts = rows.agg(*[F.count_if(c).alias(k) for k, c in bad.items()])
     return counts.unpivot([], list(bad), "check", "n_bad")

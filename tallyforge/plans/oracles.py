@@ -149,6 +149,22 @@ _SCORE_CHECKS = {
 }
 _CUT_URL = "regexp_replace(url, '[?#].*$', '')"
 
+def _checked(checks: dict[str, str], rows: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER ({c}) AS n_bad FROM {rows}" for k, c in checks.items())
+
+
+_COVER_CHECKS = {"rows_are_cells": "n_rows <> known", "overfill": "n_rows > known", "missing_rate": "total - known > total * 0.02::DOUBLE"}
+_COVERED = "(SELECT count(*) FILTER (wr IS NOT NULL) AS known, count(*) AS total FROM scells WHERE a <> b) k CROSS JOIN (SELECT count(*) AS n_rows FROM score) s"
+_AGAIN_CHECKS = {"wr_recomputed": "abs(c.wr - round_even(100.0::DOUBLE * s.w / (s.w + s.l), 2)) > 0.1", "n_recomputed": "c.n_dir <> coalesce(s.w + s.l, 0)"}
+_AGAIN = "scells c LEFT JOIN score s ON s.a = c.a AND s.b = c.b WHERE c.a <> c.b"
+_BT_CHECKS = {"sum_is_n_eff": "abs(w_ij + w_ji - n_eff) > 1e-6", "in_range": "NOT (w_ij > 0 AND w_ij < n_eff AND w_ji > 0 AND w_ji < n_eff)"}
+_SCORED = "score x LEFT JOIN score y ON x.a = y.b AND x.b = y.a"
+_LEGEND = [
+    ("wr_real", "win rate as observed, in percent, without ties"), ("p_hat", "win rate with the prior, in percent"), ("gap", "p_hat minus wr_real, in points"),
+    ("weight", "share of the opponent in the entity''s weighted mean"), ("contrib", "points that the opponent gives to the weighted mean"),
+    ("RED", "gap of 8 points or more"), ("YELLOW", "gap of 4 to 8 points"), ("Mirror", "the entity itself"), ("prior strength", "6.0"),
+]
+
 BRANDS = sorted(f"Brand#{i}" for i in range(1, 26) if i not in (21, 22))
 
 ORACLES = {
@@ -202,6 +218,28 @@ ORACLES = {
     "validate_matrix": sql(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER ({c}) AS n_bad FROM cells x JOIN cells y ON x.a = y.b AND x.b = y.a" for k, c in _CHECKS.items())),
     "validate_score": sql(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER ({c}) AS n_bad FROM score x LEFT JOIN score y ON x.a = y.b AND x.b = y.a" for k, c in _SCORE_CHECKS.items())),
     "validate_missing": sql("SELECT a, n_missing, allowed, n_missing <= allowed AS ok FROM (SELECT a, count(*) FILTER (wr IS NULL) AS n_missing, greatest(1, floor(count(*) * 0.02::DOUBLE)::BIGINT) AS allowed FROM scells WHERE a <> b GROUP BY a)"),
+    "validate_coverage": sql(_checked(_COVER_CHECKS, _COVERED)),
+    "validate_recomputed": sql(_checked(_AGAIN_CHECKS, _AGAIN)),
+    "validate_bt_weights": sql(_checked(_BT_CHECKS, "soft")),
+    "validate_verdict": sql("SELECT sum(n_bad) = 0 AS passed FROM (" + " UNION ALL ".join([_checked(_CHECKS, "scells x JOIN scells y ON x.a = y.b AND x.b = y.a"), _checked(_SCORE_CHECKS, _SCORED), _checked(_COVER_CHECKS, _COVERED), _checked(_AGAIN_CHECKS, _AGAIN)]) + ")"),
+    "axis_difference": sql("SELECT deck, 'right' AS missing_in FROM axis WHERE deck NOT IN (SELECT p_brand FROM part) UNION ALL SELECT DISTINCT p_brand, 'left' FROM part WHERE p_brand NOT IN (SELECT deck FROM axis)"),
+    "label_keys": "SELECT p_partkey, lower(trim(regexp_replace(p_type, '\\s+', ' ', 'g'))) AS inner_key, lower(replace(p_type, ' ', '  ')) AS outer_key FROM part",
+    "alias_unchanged": sql("SELECT p_partkey, coalesce(canonical, '  ' || upper(p_brand) || ' ') AS deck FROM part LEFT JOIN aliases ON lower(p_brand) = key"),
+    "usage_columns": sql("SELECT * FROM shares"),
+    "csv_flat": sql("SELECT a, b, w, l, t, n, winrate FROM flat"),
+    "csv_matrix": sql("SELECT x.a, y.b, winrate AS value FROM (SELECT DISTINCT a FROM flat) x CROSS JOIN (SELECT DISTINCT b FROM flat) y LEFT JOIN flat f ON f.a = x.a AND f.b = y.b"),
+    "page_scan": sql("SELECT a, b, w, l, t, n, winrate FROM maxn"),
+    "page_scan_counts": sql("SELECT count(DISTINCT a) AS total, count(DISTINCT a) FILTER (a < 'Brand#3') AS cache_hits FROM maxn"),
+    "page_decklist": "SELECT row_number() OVER (ORDER BY q DESC, deck) AS rank, deck, floor(q * 100 / sum(q) OVER ())::BIGINT || ' %' AS share, q AS count, 'https://example.com/decks/' || deck AS url FROM (SELECT p_brand AS deck, sum(l_quantity)::BIGINT AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)",
+    "cached_fetch": "SELECT page_id, coalesce(TIMESTAMP '2024-01-15 12:00:00' - seen < INTERVAL 720 MINUTE, FALSE) AS from_cache, coalesce(TIMESTAMP '2024-01-15 12:00:00' - seen < INTERVAL 720 MINUTE, FALSE) AS has_html FROM pages LEFT JOIN (SELECT url, max(ts) AS seen FROM pages JOIN events ON user_id = page_id WHERE ts < TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1) USING (url)",
+    "pairs_report": sql("SELECT a, b_rank, opponent, w, l, n, wr_real, p_hat, se_binom, gap FROM pairs"),
+    "report_sheets": sql("SELECT (row_number() OVER (ORDER BY o, sheet))::INT AS place, sheet, deck, n_rows FROM (SELECT rank AS o, deck AS sheet, deck, (SELECT count(*) FROM ranked) AS n_rows FROM ranked UNION ALL SELECT -1, '00_Legenda', NULL, 10 UNION ALL SELECT 0, '01_Summary', NULL, (SELECT count(*) FROM ranked))"),
+    "legend": "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(_LEGEND)) + ") v(ord, item, meaning)",
+    "sheet_order": """WITH decks AS (SELECT deck, row_number() OVER (ORDER BY deck DESC) AS ord FROM (SELECT DISTINCT p_brand AS deck FROM part)),
+      sheets AS (SELECT unnest([deck, deck || ' b', 'x ' || lower(deck)]) AS sheet FROM decks UNION ALL SELECT DISTINCT p_type FROM part UNION ALL VALUES ('00_Legenda'), ('01_Summary')),
+      met AS (SELECT sheet, ord, CASE WHEN sheet = deck THEN 0 WHEN starts_with(lower(deck), lower(sheet)) OR starts_with(lower(sheet), lower(deck)) THEN 1 WHEN contains(lower(sheet), lower(deck)) OR contains(lower(deck), lower(sheet)) THEN 2 END AS kind FROM sheets CROSS JOIN decks),
+      best AS (SELECT sheet, arg_min(ord, kind * 1000 + ord) AS ord FROM met WHERE kind IS NOT NULL GROUP BY 1)
+      SELECT sheet, (row_number() OVER (ORDER BY CASE WHEN sheet IN ('00_Legenda', '01_Summary') THEN 0 WHEN ord IS NOT NULL THEN 1 ELSE 2 END, ord, sheet))::INT AS place FROM sheets LEFT JOIN best USING (sheet)""",
     "matchup_url": "SELECT page_id, h || CASE WHEN ends_with(p, '/matchups') THEN p ELSE p || '/matchups' END || CASE WHEN length(q) > 1 THEN q ELSE '' END || CASE WHEN length(f) > 1 THEN f ELSE '' END AS matchup_url FROM (SELECT page_id, regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) AS h, rtrim(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '/') AS p, regexp_extract(url, '^[^?#]*(\\?[^#]*)', 1) AS q, regexp_extract(url, '(#.*)$', 1) AS f FROM pages)",
     "cache_key": "SELECT page_id, substr(sha256(url), 1, 16) AS cache_key FROM pages",
     "cache_fresh": "SELECT event_id, TIMESTAMP '2024-01-15 12:00:00' - ts < INTERVAL 720 MINUTE AS fresh FROM events",

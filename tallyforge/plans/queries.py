@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 from tallyforge.config import RankingConfig
 from tallyforge.functions import scalar
 from tallyforge.operators import composite, consolidate, matrix, missing_filter, posterior, prior, report, strength, validate, weights
+from tallyforge.plans import book
 from tallyforge.plans import ranking as plan
-from tallyforge.sources import matchups, pages, sinks
+from tallyforge.sources import matchups, pages, settings, sinks
 
 ALIASES = {"Brand#2": ["Brand#21", " brand#22 "], "Brand#3": ["BRAND#31"]}
 #: Of the finer names (brand and first word of the type) some pairs never meet at small scale; this share may be missing.
@@ -352,10 +354,34 @@ def missing_pairs(spark, d):
 
 @query
 def pairs_by_entity(spark, d):
-    x = Data(spark, d)
-    r = x.ranked()
-    cells = posterior.se_binomial(posterior.report_posterior(r.cells, r.k["k_used"]))
-    return report.styled(report.pairs_by_entity(cells, weights.row_weights(x.axis, r.weights), r.ranking))
+    return book.report_pairs(Data(spark, d).ranked())
+
+
+@query
+def pairs_report(spark, d):
+    return report.pairs_view(pairs_by_entity(spark, d)).drop("gap_flag", "is_mirror", "is_topk")
+
+
+@query
+def report_sheets(spark, d):
+    r = Data(spark, d).ranked()
+    ranked = r.ranking.cache()  # T rows, read by three branches
+    return report.book_sheets(book.report_pairs(r), ranked, report.legend(spark, book.settings_of(r)).count())
+
+
+@query
+def legend(spark, d):
+    return report.legend(spark, {"prior strength": FIXED.fixed_k})
+
+
+@query
+def sheet_order(spark, d):
+    """Brands, their kinds of sheet and all types as the sheets of one workbook, brands in falling order of name."""
+    part = Data(spark, d).table("part")
+    brands = part.select(F.col("p_brand").alias("deck")).distinct()
+    fixed = spark.createDataFrame([("01_Summary",), ("00_Legenda",)], "sheet string")
+    sheets = brands.select(F.explode(F.array("deck", F.concat("deck", F.lit(" b")), F.concat(F.lit("x "), F.lower("deck")))).alias("sheet")).unionByName(part.select(F.col("p_type").alias("sheet")).distinct()).unionByName(fixed)
+    return report.sheet_order(sheets, brands.withColumn("ord", F.row_number().over(Window.orderBy(F.desc("deck")))))
 
 
 @query
@@ -402,6 +428,117 @@ def validate_missing(spark, d):
     return validate.validate_missing(matrix.matrices(x.fine_flat, x.fine_axis), MISSING_RATIO, 1)
 
 
+@query
+def validate_coverage(spark, d):
+    x = Data(spark, d)
+    return validate.validate_coverage(consolidate.score_table(x.fine_flat, x.fine_axis), matrix.matrices(x.fine_flat, x.fine_axis), MISSING_RATIO)
+
+
+@query
+def validate_recomputed(spark, d):
+    x = Data(spark, d)
+    return validate.validate_recomputed(matrix.matrices(x.fine_flat, x.fine_axis), consolidate.score_table(x.fine_flat, x.fine_axis))
+
+
+@query
+def validate_bt_weights(spark, d):
+    return validate.validate_bt_weights(bt_soft_weights(spark, d))
+
+
+@query
+def validate_verdict(spark, d):
+    x = Data(spark, d)
+    cells, score = matrix.matrices(x.fine_flat, x.fine_axis), consolidate.score_table(x.fine_flat, x.fine_axis)
+    return validate.verdict([validate.validate_matrix(cells), validate.validate_score(score, x.fine_axis), validate.validate_coverage(score, cells, MISSING_RATIO), validate.validate_recomputed(cells, score)])
+
+
+@query
+def axis_difference(spark, d):
+    x = Data(spark, d)
+    return matrix.axis_difference(x.axis, x.table("part").select(F.col("p_brand").alias("deck")))
+
+
+@query
+def label_keys(spark, d):
+    spelling = F.concat(F.lit(" "), F.replace("p_type", F.lit(" "), F.lit("  ")), F.lit(" "))
+    return Data(spark, d).table("part").select("p_partkey", scalar.any_label_key(spelling).alias("inner_key"), scalar.outer_key(spelling).alias("outer_key"))
+
+
+@query
+def alias_unchanged(spark, d):
+    x = Data(spark, d)
+    return consolidate.apply_alias(x.table("part").select("p_partkey", F.concat(F.lit("  "), F.upper("p_brand"), F.lit(" ")).alias("deck")), "deck", x.aliases, trim=False)
+
+
+@query
+def usage_columns(spark, d):
+    return settings.entity_and_share(Data(spark, d).shares.select(F.lit(1).alias("Place"), F.col("share").alias(" Usage_% "), F.concat("deck", F.lit(" ")).alias("Archetype")))
+
+
+def stored(spark, df, name: str) -> str:
+    """The path of ``df``, written as versioned CSV."""
+    home = sinks.shared_home(spark)
+    written = [sinks.write_csv_versioned(df, home, name, False, datetime(2024, 1, 15))]
+    return matchups.latest(written, name)
+
+
+@query
+def csv_flat(spark, d):
+    return matchups.read_flat(spark, stored(spark, Data(spark, d).flat.select("a", "b", "w", "l", "t", "n", "winrate"), "flat"))
+
+
+@query
+def csv_matrix(spark, d):
+    return matchups.read_matrix(spark, stored(spark, wr_pivot(spark, d), "matrix"))
+
+
+class Site:
+    """Pages made of the records: one for each entity, as a site would show them. Those up to Brand#3 were cached in time."""
+
+    NOW = "2024-01-15 12:00:00"
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        row = F.format_string("<tr><td><a href='/x'>%s</a></td><td>%s</td><td>%d - %d - %d</td><td>%s %%</td></tr>", "b", F.format_number("n", 0), "w", "l", "t", F.replace(F.format_string("%.2f", "winrate"), F.lit("."), F.lit(",")))
+        rows = F.array_join(F.sort_array(F.collect_list(row)), "")
+        table = F.concat(F.lit("<table><thead><tr><th>Deck</th><th>Matches</th><th>Score</th><th>Win %</th></tr></thead><tbody>"), rows, F.lit("</tbody></table>"))
+        self.pages = consolidate.max_n(Data(spark, sf_dir).raw).groupBy(F.col("a").alias("deck")).agg(table.alias("html")).withColumn("url", F.concat(F.lit("https://example.com/"), F.col("deck")))
+
+    def scanned(self) -> DataFrame:
+        stamp = F.when(F.col("deck") < "Brand#3", "2024-01-15 01:00:00").otherwise("2024-01-14 01:00:00").cast("timestamp")
+        cache = self.pages.select(pages.cache_key(F.col("url")).alias("cache_key"), "html", stamp.alias("fetched_at"))
+        return pages.scan(self.pages.select("deck", "url"), "deck", cache, self.pages, F.to_timestamp(F.lit(self.NOW)))
+
+
+@query
+def page_scan(spark, d):
+    return pages.parse_matchups(Site(spark, d).scanned())
+
+
+@query
+def page_scan_counts(spark, d):
+    return pages.scan_counts(Site(spark, d).scanned())
+
+
+@query
+def page_decklist(spark, d):
+    """One page with the usage table, read back."""
+    x = Data(spark, d)
+    sold = x.table("lineitem").join(x.table("part"), F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand").agg(F.sum("l_quantity").cast("bigint").alias("q"))
+    row = F.format_string("<tr><td>%05d</td><td><a href='/decks/%s'>%s</a></td><td>%d %%</td><td>%d</td></tr>", "rank", "p_brand", "p_brand", F.floor(F.col("q") * 100 / F.col("total")), "q")
+    rows = sold.withColumns({"rank": F.row_number().over(Window.orderBy(F.desc("q"), "p_brand")), "total": F.sum("q").over(weights.whole())})
+    head = F.lit("<table><tr><th>Rank</th><th>Deck</th><th>Share</th><th>Count</th></tr>")
+    return pages.parse_decklist(rows.agg(F.concat(head, F.array_join(F.sort_array(F.collect_list(row)), ""), F.lit("</table>")).alias("html")))
+
+
+@query
+def cached_fetch(spark, d):
+    """Page p is in the cache as of each event of user p before noon of a day in January."""
+    x = Data(spark, d)
+    now = F.to_timestamp(F.lit(Site.NOW))
+    cache = x.table("pages").join(x.table("events").where(F.col("ts") < now), F.col("page_id") == F.col("user_id")).select(pages.cache_key(F.trim("url")).alias("cache_key"), "html", F.col("ts").alias("fetched_at"))
+    return pages.with_cache(x.table("pages").select("page_id", "url"), cache, now, 720).select("page_id", "from_cache", F.col("html").isNotNull().alias("has_html"))
+
+
 @query
 def matchup_url(spark, d):
     return Data(spark, d).table("pages").select("page_id", pages.matchup_url(F.col("url")).alias("matchup_url"))

@@ -34,6 +34,8 @@ def rank_entities(score: DataFrame, axis: DataFrame, declared: DataFrame | None,
     Cells, posterior, weights and edges have T squared rows at most and feed several branches: cached.
     """
     axis = axis.cache()
+    if axis.isEmpty():
+        raise ValueError("no entity to rank")
     cells = matrix.matrices(score, axis).cache()
     k = prior.choose_k(cells, cfg)
     post = posterior.posterior_cells(cells, k["k_used"], cfg.mu).cache()
@@ -56,4 +58,6 @@ def records_to_score(raw: DataFrame, shares: DataFrame, aliases: DataFrame | Non
     flat = consolidate.flat_table(consolidate.max_n(raw), aliases).cache()
     canonical = matrix.top_meta_canonical(matrix.top_meta(shares, cfg.share_threshold), aliases)
     kept = kept_axis(flat, axis_of(canonical), cfg).cache()
+    if kept.isEmpty():
+        raise ValueError("no entity has a share and enough records")
     return consolidate.score_table(flat, kept), kept, canonical

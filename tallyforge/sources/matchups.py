@@ -42,6 +42,6 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest(paths: list[str], prefix: str) -> str | None:
-    """The last ``prefix*latest.csv`` by name."""
-    found = [p for p in paths if p.rsplit("/", 1)[-1].startswith(prefix) and p.endswith("latest.csv")]
+    """The last ``prefix*latest`` or ``prefix*latest.csv`` by name."""
+    found = [p for p in paths if p.rsplit("/", 1)[-1].startswith(prefix) and p.endswith(("latest", "latest.csv"))]
     return max(found, default=None)

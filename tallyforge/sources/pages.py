@@ -37,6 +37,28 @@ def distinct_urls(pages: DataFrame, order: str) -> DataFrame:
     return pages.where(F.length(F.trim("url")) > 0).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
+def with_cache(wanted: DataFrame, cache: DataFrame, now: Column, ttl_minutes: int) -> DataFrame:
+    """``wanted`` (url) plus html and from_cache: the newest page of ``cache`` (cache_key, html, fetched_at) if it is fresh."""
+    newest = cache.groupBy("cache_key").agg(F.max_by("html", "fetched_at").alias("html"), F.max("fetched_at").alias("fetched_at"))
+    fresh = newest.where(is_fresh(F.col("fetched_at"), now, ttl_minutes)).select("cache_key", "html", F.lit(True).alias("from_cache"))
+    keyed = wanted.withColumn("cache_key", cache_key(F.trim("url")))
+    return keyed.join(fresh, "cache_key", "left").withColumn("from_cache", F.coalesce("from_cache", F.lit(False))).drop("cache_key")
+
+
+def scan(wanted: DataFrame, order: str, cache: DataFrame, fetched: DataFrame, now: Column, ttl_minutes: int = 720) -> DataFrame:
+    """``wanted`` (url), each url once, plus html and from_cache: from the cache if fresh, else from ``fetched`` (url, html),
+    which an outside fetcher has filled for the misses; html stays null where neither has it."""
+    new = fetched.select(F.trim("url").alias("_url"), F.col("html").alias("_html"))
+    pages = with_cache(distinct_urls(wanted, order), cache, now, ttl_minutes)
+    rows = pages.join(new, (F.trim("url") == F.col("_url")) & ~F.col("from_cache"), "left")
+    return rows.withColumn("html", F.coalesce("html", "_html")).drop("_url", "_html")
+
+
+def scan_counts(pages: DataFrame) -> DataFrame:
+    """One row (total, cache_hits) of scanned pages."""
+    return pages.agg(F.count("*").alias("total"), F.count_if("from_cache").alias("cache_hits"))
+
+
 class Tables(HTMLParser):
     """All tables of a page: header texts, and rows of cells (text, text of the first link, its target)."""
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
+import uuid
 import zipfile
 from datetime import datetime
 from xml.sax.saxutils import escape
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,6 +29,16 @@ def write_csv_versioned(df: DataFrame, base: str, prefix: str, changed: bool, no
     return targets[-1]
 
 
+def shared_home(spark: SparkSession) -> str:
+    """A folder that driver and executors see; in local mode a temporary one where spark.checkpoint.dir is unset."""
+    home = spark.conf.get("spark.checkpoint.dir", None)
+    if home:
+        return f"{home}/csv-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return "file://" + tempfile.mkdtemp(prefix="tallyforge-")
+
+
 def content_hash(df: DataFrame) -> DataFrame:
     """One row (n_rows, content): equal for equal rows in any order, repeated rows counted."""
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
@@ -59,15 +71,15 @@ def workbook_names(names: list[str]) -> list[str]:
     return out
 
 
-def write_workbook(sheets: dict[str, DataFrame], path: str) -> None:
-    """An xlsx of report sheets in their order. Reports are made for people; they are written on the driver,
-    so a sheet of more than MAX_SHEET_ROWS rows is an error. Names that a workbook doesn't allow are changed."""
+def write_workbook(sheets: dict[str, DataFrame | tuple[list[str], list]], path: str) -> None:
+    """An xlsx of report sheets (frames, or columns and rows) in their order. Reports are made for people; they are
+    written on the driver, so a sheet of more than MAX_SHEET_ROWS rows is an error. Names that a workbook doesn't allow are changed."""
     tables = []
     for name, df in zip(workbook_names(list(sheets)), sheets.values(), strict=True):
-        rows = df.limit(MAX_SHEET_ROWS + 1).collect()
+        columns, rows = df if isinstance(df, tuple) else (df.columns, df.limit(MAX_SHEET_ROWS + 1).collect())
         if len(rows) > MAX_SHEET_ROWS:
             raise ValueError(f"sheet {name} has more than {MAX_SHEET_ROWS} rows")
-        tables.append((name, df.columns, rows))
+        tables.append((name, columns, rows))
 
     def cell(v) -> str:
         if v is None:

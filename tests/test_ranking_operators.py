@@ -1,6 +1,9 @@
 """Hand vectors for the ranking operators."""
 
+import json
 import math
+import zipfile
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +11,9 @@ from pyspark.sql import functions as F
 from tallyforge.config import RankingConfig
 from tallyforge.functions import scalar
 from tallyforge.operators import composite, consolidate, matrix, missing_filter, posterior, prior, report, strength, validate, weights
-from tallyforge.sources import pages, sinks
+from tallyforge.plans import book
+from tallyforge.plans import ranking as plan
+from tallyforge.sources import matchups, pages, settings, sinks
 from tallyforge.streaming import ingest
 
 
@@ -232,3 +237,78 @@ def test_pair_totals_batch_and_stream(spark, tmp_path):
 def test_config_rejects_unknown():
     with pytest.raises(TypeError):
         RankingConfig.of({"nope": 1})
+
+
+def test_alias_file(spark, tmp_path):
+    home = tmp_path / "alias.json"
+    home.write_text(json.dumps({"Stra\u00dfe": ["STRASSE", " Str. "], "Other": ["strasse"], "Bare": None}), encoding="utf-8")
+    rows = settings.read_aliases(spark, str(home))
+    assert {(r.canonical, r.spelling) for r in rows.collect()} == {("Stra\u00dfe", "Stra\u00dfe"), ("Stra\u00dfe", "STRASSE"), ("Stra\u00dfe", " Str. "), ("Other", "Other"), ("Other", "strasse"), ("Bare", "Bare")}
+    assert {r.key: r.canonical for r in consolidate.alias_keys(rows).collect()} == {"strasse": "Stra\u00dfe", "str.": "Stra\u00dfe", "other": "Other", "bare": "Bare"}
+    home.write_text("[1, 2]", encoding="utf-8")
+    assert settings.read_aliases(spark, str(home)).collect() == []
+    assert settings.read_aliases(spark, str(tmp_path / "none.json")).collect() == []
+
+
+def test_settings_file(tmp_path):
+    home = tmp_path / "settings.json"
+    home.write_text('{"alpha": 0.5, "k_bounds": [1, 9]}')
+    cfg = settings.read_settings(str(home))
+    assert (cfg.alpha, cfg.k_bounds, cfg.mu) == (0.5, (1, 9), 0.5)
+    home.write_text('{"alpha": 0.5, "alhpa": 1}')
+    with pytest.raises(TypeError):
+        settings.read_settings(str(home))
+
+
+def test_columns_by_name(spark):
+    df = spark.createDataFrame([(3, " X ", "oops", 0.4)], "n int, Archetype string, Usage string, v double")
+    assert settings.entity_and_share(df).first()[:] == ("X", 3.0)
+    assert settings.declared_column(df) == "Usage"
+    with pytest.raises(KeyError):
+        settings.entity_and_share(df.select("n"))
+
+
+def test_latest_by_name():
+    assert matchups.latest(["o/flat_latest.csv", "o/flat_b_latest", "o/flat_20240101_000000.csv", "o/wr_latest.csv"], "flat") == "o/flat_latest.csv"
+    assert matchups.latest([], "flat") is None
+
+
+def test_scan_takes_fresh_pages_from_the_cache(spark):
+    wanted = spark.createDataFrame([(1, "u"), (2, " u "), (3, "v"), (4, ""), (5, "w"), (6, None)], "seq int, url string")
+    cache = spark.createDataFrame([("u", "old", "2024-01-01 00:00:00"), ("u", "new", "2024-01-02 00:00:00"), ("v", "late", "2024-01-01 00:00:00")], "url string, html string, at string")
+    cache = cache.select(pages.cache_key(F.col("url")).alias("cache_key"), "html", F.col("at").cast("timestamp").alias("fetched_at"))
+    fetched = spark.createDataFrame([("v", "fetched"), ("u", "not asked for")], "url string, html string")
+    got = pages.scan(wanted, "seq", cache, fetched, F.lit("2024-01-02 06:00:00").cast("timestamp"), 720)
+    assert {(r.seq, r.html, r.from_cache) for r in got.collect()} == {(1, "new", True), (3, "fetched", False), (5, None, False)}
+    assert pages.scan_counts(got).first()[:] == (3, 1)
+
+
+def test_coverage_recomputation_and_weight_checks(spark):
+    cells = spark.createDataFrame([("A", "A", None, None, None, None, None), ("A", "B", 3, 1, 0, 4, 75.0), ("B", "A", 1, 3, 0, 4, 30.0), ("B", "B", None, None, None, None, None)], "a string, b string, w long, l long, t long, n_dir long, wr double")
+    score = spark.createDataFrame([("A", "B", 3, 1), ("B", "A", 1, 3), ("B", "C", 1, 1)], "a string, b string, w long, l long")
+    found = lambda df: {r.check: r.n_bad for r in df.collect()}
+    assert found(validate.validate_coverage(score, cells, 0.1)) == {"rows_are_cells": 1, "overfill": 1, "missing_rate": 0}
+    assert found(validate.validate_recomputed(cells, score)) == {"wr_recomputed": 1, "n_recomputed": 0}
+    soft = spark.createDataFrame([(2.0, 1.5, 0.5), (2.0, 2.5, -0.5), (2.0, 1.0, 0.5)], "n_eff double, w_ij double, w_ji double")
+    assert found(validate.validate_bt_weights(soft)) == {"sum_is_n_eff": 1, "in_range": 1}
+    assert validate.verdict([validate.validate_bt_weights(soft)]).first().passed is False
+
+
+def test_report_workbook(spark, tmp_path):
+    names = ["A", "B/x", "Bx"]
+    records = [(a, b, 10 + i, 10 + j, 0) for i, a in enumerate(names) for j, b in enumerate(names) if a < b]
+    raw = spark.createDataFrame(records, "a string, b string, w long, l long, t long")
+    axis = spark.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "deck string, ord int")
+    ranked = plan.rank_entities(consolidate.symmetrize(consolidate.max_n(raw)), axis, None, RankingConfig(fixed_k=6.0))
+    stamped, latest = book.write_report(ranked, str(tmp_path / "out"), "report", datetime(2024, 1, 15))
+    assert stamped.endswith("report_20240115_000000.xlsx") and latest.endswith("report_latest.xlsx")
+    with zipfile.ZipFile(latest) as z:
+        text = z.read("xl/workbook.xml").decode()
+        order = [s.split('"')[0] for s in text.split('<sheet name="')[1:]]
+        last = z.read("xl/worksheets/sheet3.xml").decode()
+    best = [r.deck for r in ranked.ranking.orderBy("rank").collect()]
+    assert order[:2] == ["00_Legenda", "01_Summary"] and len(set(order)) == 5
+    assert [o.split("~")[0] for o in order[2:]] == [n.replace("/", "") for n in best]
+    assert last.count("<row>") == 4 and "Mirror" in last and "contrib" not in last
+    with pytest.raises(ValueError):
+        plan.rank_entities(raw, axis.where("ord > 9"), None, RankingConfig(fixed_k=6.0))
