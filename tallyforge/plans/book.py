@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import shutil
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,15 @@ from tallyforge.plans.ranking import Ranking
 from tallyforge.sources import sinks
 
 #: Rows of all sheets together that the driver takes: T squared of at most 1,000 entities.
-MAX_ROWS = 1_000_000
+MAX_ROWS, MAX_ENTITIES = 1_000_000, 1_000
+
+
+def settled(ranked: Ranking) -> Ranking:
+    """``ranked`` with its ranking worked out once: T rows, read by several branches of a report."""
+    rows = ranked.ranking.limit(MAX_ENTITIES + 1).collect()
+    if len(rows) > MAX_ENTITIES:
+        raise ValueError(f"more than {MAX_ENTITIES} entities")
+    return replace(ranked, ranking=ranked.ranking.sparkSession.createDataFrame(rows, ranked.ranking.schema))
 
 
 def report_pairs(ranked: Ranking) -> DataFrame:
@@ -33,7 +42,8 @@ def write_report(ranked: Ranking, folder: str, prefix: str, now: datetime, **sho
     Sheets are the legend, the summary and one for each entity by rank, with the columns that ``shown`` asks for
     (see ``report.pairs_view``). A ranking without rows is an error.
     """
-    ranking = ranked.ranking.cache()
+    ranked = settled(ranked)
+    ranking = ranked.ranking
     if ranking.isEmpty():
         raise ValueError("the ranking has no rows")
     view = report.pairs_view(report_pairs(ranked), **shown).drop("gap_flag", "is_mirror", "is_topk")
@@ -52,5 +62,4 @@ def write_report(ranked: Ranking, folder: str, prefix: str, now: datetime, **sho
     stamped, latest = f"{folder}/{prefix}_{now:%Y%m%d_%H%M%S}.xlsx", f"{folder}/{prefix}_latest.xlsx"
     sinks.write_workbook(sheets, stamped)
     shutil.copyfile(stamped, latest)
-    ranking.unpersist()
     return stamped, latest

@@ -233,7 +233,7 @@ ORACLES = {
     "page_decklist": "SELECT row_number() OVER (ORDER BY q DESC, deck) AS rank, deck, floor(q * 100 / sum(q) OVER ())::BIGINT || ' %' AS share, q AS count, 'https://example.com/decks/' || deck AS url FROM (SELECT p_brand AS deck, sum(l_quantity)::BIGINT AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)",
     "cached_fetch": "SELECT page_id, coalesce(TIMESTAMP '2024-01-15 12:00:00' - seen < INTERVAL 720 MINUTE, FALSE) AS from_cache, coalesce(TIMESTAMP '2024-01-15 12:00:00' - seen < INTERVAL 720 MINUTE, FALSE) AS has_html FROM pages LEFT JOIN (SELECT url, max(ts) AS seen FROM pages JOIN events ON user_id = page_id WHERE ts < TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1) USING (url)",
     "pairs_report": sql("SELECT a, b_rank, opponent, w, l, n, wr_real, p_hat, se_binom, gap FROM pairs"),
-    "report_sheets": sql("SELECT (row_number() OVER (ORDER BY o, sheet))::INT AS place, sheet, deck, n_rows FROM (SELECT rank AS o, deck AS sheet, deck, (SELECT count(*) FROM ranked) AS n_rows FROM ranked UNION ALL SELECT -1, '00_Legenda', NULL, 10 UNION ALL SELECT 0, '01_Summary', NULL, (SELECT count(*) FROM ranked))"),
+    "report_sheets": sql("SELECT (row_number() OVER (ORDER BY r.o, r.sheet))::INT AS place, r.sheet AS sheet, r.deck AS deck, r.n AS n_rows FROM (SELECT unnest([{'o': -1, 'sheet': '00_Legenda', 'deck': NULL::VARCHAR, 'n': 10::BIGINT}, {'o': 0, 'sheet': '01_Summary', 'deck': NULL::VARCHAR, 'n': count(*)}] || list({'o': rank, 'sheet': deck, 'deck': deck, 'n': t})) AS r FROM (SELECT *, count(*) OVER () AS t FROM ranked))"),
     "legend": "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(_LEGEND)) + ") v(ord, item, meaning)",
     "sheet_order": """WITH decks AS (SELECT deck, row_number() OVER (ORDER BY deck DESC) AS ord FROM (SELECT DISTINCT p_brand AS deck FROM part)),
       sheets AS (SELECT unnest([deck, deck || ' b', 'x ' || lower(deck)]) AS sheet FROM decks UNION ALL SELECT DISTINCT p_type FROM part UNION ALL VALUES ('00_Legenda'), ('01_Summary')),

@@ -364,9 +364,8 @@ def pairs_report(spark, d):
 
 @query
 def report_sheets(spark, d):
-    r = Data(spark, d).ranked()
-    ranked = r.ranking.cache()  # T rows, read by three branches
-    return report.book_sheets(book.report_pairs(r), ranked, report.legend(spark, book.settings_of(r)).count())
+    r = book.settled(Data(spark, d).ranked())
+    return report.book_sheets(book.report_pairs(r), r.ranking, report.legend(spark, book.settings_of(r)).count())
 
 
 @query
