@@ -41,4 +41,22 @@ k AS (SELECT d.doc_id, d.size, t.source_size, t.target, row_number() OVER (PARTI
 SELECT doc_id, size, source_size, target, ((floor(rate * i + u) - floor(rate * (i - 1) + u)) * size)::BIGINT AS taken FROM k
 """
 
-ORACLES = {"op1_url_filter": OP1, "op6_chat_format": OP6, "op7_mixing": OP7}
+
+
+def _centroids_sql(rounds: int = 5) -> str:
+    """k-means as ``rounds`` moves and a last assignment, each a comparison of all vectors with all centroids."""
+    steps = ["v AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: greatest(least(floor(256 * x::DOUBLE), 134217728), -134217728)::BIGINT) AS x FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = 64)"]
+    steps += ["c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS j, x AS c FROM (SELECT sha256('2:' || vec_id) AS h, x FROM v ORDER BY h NULLS LAST, x LIMIT 40))"]
+    for i in range(rounds + 1):
+        steps.append(f"d{i} AS (SELECT id, j, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM v, c{i})")
+        steps.append(f"a{i} AS MATERIALIZED (SELECT id, arg_min(j, (d, j)) AS j, min(d) AS d FROM d{i} GROUP BY id)")
+        if i < rounds:
+            steps.append(f"e{i} AS (SELECT j, unnest(x) AS x, generate_subscripts(x, 1) AS k FROM a{i} JOIN v USING (id))")
+            steps.append(f"s{i} AS (SELECT j, k, sum(x) AS s, count(*) AS n FROM e{i} GROUP BY j, k)")
+            steps.append(f"m{i} AS (SELECT j, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY k) AS c FROM s{i} GROUP BY j)")
+            steps.append(f"c{i + 1} AS MATERIALIZED (SELECT j, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (j))")
+    last = f"a{rounds} JOIN v USING (id) JOIN c{rounds} USING (j)"
+    return f"WITH {', '.join(steps)} SELECT vec_id, j::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY j))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM {last}"
+
+
+ORACLES = {"op1_url_filter": OP1, "op6_chat_format": OP6, "op7_mixing": OP7, "op13_centroids": _centroids_sql()}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat_format, decontamination, language_id, mixing, ngram_jaccard, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from tallyforge.llm import centroids, chat_format, decontamination, language_id, mixing, ngram_jaccard, runs, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from tallyforge.llm.shared import held_out, saved, table
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -80,4 +83,37 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op4_decontamination, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_ngram_jaccard, simhash_near)}
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In one document of ten, by a hash of the id, the words go on periodically after a prefix."""
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [*words[:a], *(words[a + (i - a) % p] for i in range(a, n))]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.periodic(docs, repeated_tail)
+    ahead = lambda a, b: a["length"] * b["period"] - b["length"] * a["period"]  # noqa: E731  over 0: a has the greater exponent
+    order = lambda a, b: F.when(ahead(a, b) != 0, -F.signum(ahead(a, b))).when(a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(F.signum(a["period"] - b["period"])).cast("int")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    best = F.get(F.array_sort("runs", order), F.lit(0))
+    named = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("").alias("lines"), "collapsed")
+    return named.select("doc_id", "n_runs", "best.start", "best.length", "best.period", F.floor(F.expr("1000 * best.length div best.period")).alias("exponent_milli"), F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    final = centroids.fit(vectors)
+    found = saved(centroids.assigned(vectors, final))
+    inertia = centroids.inertias(found)
+    long = lambda x: x if x < 1 << 63 else None  # noqa: E731  a sum beyond a long is null
+    about = [(j, long(d), long(sum(inertia.values())), hashlib.sha256(",".join(map(str, final[j].tolist())).encode()).hexdigest()) for j, d in inertia.items()]
+    named = spark.createDataFrame(about, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return found.join(F.broadcast(named), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op4_decontamination, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_ngram_jaccard, op12_periodic_runs, op13_centroids, simhash_near)}
