@@ -8,7 +8,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import centroids, chat_format, decontamination, language_id, mixing, ngram_jaccard, runs, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from tallyforge.llm import centroids, chat_format, decontamination, language_id, mixing, ngram_jaccard, perplexity, runs, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from tallyforge.llm.shared import held_out, saved, table
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -83,6 +83,11 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = perplexity.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *perplexity.METRICS, "base_failed", "kept", "perplexity")
+
+
 def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """In one document of ten, by a hash of the id, the words go on periodically after a prefix."""
     n, h = len(words), zlib.crc32(str(doc_id).encode())
@@ -116,4 +121,4 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(F.broadcast(named), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op4_decontamination, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_ngram_jaccard, op12_periodic_runs, op13_centroids, simhash_near)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_suffix_dedup, op4_decontamination, op5_substring_dedup, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_ngram_jaccard, op11_perplexity, op12_periodic_runs, op13_centroids, simhash_near)}
