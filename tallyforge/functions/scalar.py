@@ -12,8 +12,17 @@ from pyspark.sql import types as T
 
 
 def count_of(x: Column) -> Column:
-    """Text or number to a count: what is no number is 0, negatives are 0."""
-    return F.greatest(F.coalesce(x.cast("string").try_cast("bigint"), F.lit(0)), F.lit(0)).cast("bigint")
+    """Text or number to a count: what is no number is 0, negatives are 0; fractions and what no long holds are errors.
+
+    Numbers may be written as 12, "12.0", 1e3 or " 7 ".
+    """
+    text = F.trim(x.cast("string"))
+    whole = text.try_cast("bigint")
+    number = F.when(F.rlike(text, F.lit(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity)$")), text.try_cast("double"))
+    number = F.greatest(F.coalesce(number, F.lit(0.0)), F.lit(0.0))
+    wrong = (number != F.rint(number)) | (number >= F.lit(2.0**63))
+    read = F.when(wrong, F.raise_error(F.concat(F.lit("not a whole count: "), text))).otherwise(number.cast("bigint"))
+    return F.when(whole.isNotNull(), F.greatest(whole, F.lit(0))).otherwise(read).cast("bigint")
 
 
 def win_rate(w: Column, l: Column, t: Column | None = None, mode: str = "exclude") -> Column:

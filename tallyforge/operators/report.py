@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.sources.sinks import FIXED_SHEETS
+
 
 def pairs_by_entity(cells: DataFrame, weights: DataFrame, ranking: DataFrame) -> DataFrame:
     """(a, b_rank, opponent, w, l, n, wr_real, p_hat, se_dir, se_binom, gap, weight, contrib), a row per opponent in
@@ -56,15 +58,16 @@ def heatmap(cells: DataFrame, ranking: DataFrame, top_n: int = 20, mask_mirror:
 
 
 def sheet_names(names: DataFrame) -> DataFrame:
-    """(deck, sheet): names that a workbook allows; the second and later of equal ones get a number.
+    """(deck, sheet): names that a workbook allows, unlike each other and the fixed sheets, case aside; later ones get a number.
 
     A numbered name keeps within 31 characters, and ``~`` in a clean name becomes ``-``, so that none can meet another.
     """
-    clean = F.substring(F.trim(F.replace(F.regexp_replace("deck", r"[\[\]:*?/\\]", ""), F.lit("~"), F.lit("-"))), 1, 31)
-    rows = names.select("deck", F.when(clean == "", "Sheet").otherwise(clean).alias("base"))
-    n = F.row_number().over(Window.partitionBy("base").orderBy("deck"))
-    rows = rows.withColumn("n", n)
-    return rows.select("deck", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat(F.substr("base", F.lit(1), 30 - F.length(F.col("n").cast("string"))), F.lit("~"), F.col("n").cast("string"))).alias("sheet"))
+    clean = F.trim(F.substring(F.trim(F.replace(F.regexp_replace("deck", r"[\[\]:*?/\\]", ""), F.lit("~"), F.lit("-"))), 1, 31))
+    rows = names.select("deck", F.when(clean == "", "Sheet").otherwise(clean).alias("base")).withColumn("key", F.lower("base"))
+    taken = F.when(F.col("key").isin([s.lower() for s in FIXED_SHEETS]), 1).otherwise(0)
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("deck")) + taken)
+    number = F.col("n").cast("string")
+    return rows.select("deck", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat(F.substr("base", F.lit(1), 30 - F.length(number)), F.lit("~"), number)).alias("sheet"))
 
 
 def sheet_order(sheets: DataFrame, decks: DataFrame) -> DataFrame:
@@ -72,7 +75,7 @@ def sheet_order(sheets: DataFrame, decks: DataFrame) -> DataFrame:
     (equal, then prefix, then contained), then the rest. Both sides are a workbook's sheets: few rows."""
     s, d = F.lower("sheet"), F.lower("deck")
     kind = F.when(F.col("sheet") == F.col("deck"), 0).when(F.startswith(d, s) | F.startswith(s, d), 1).when(F.contains(s, d) | F.contains(d, s), 2)
-    fixed = F.col("sheet").isin("00_Legenda", "01_Summary")
+    fixed = F.col("sheet").isin(*FIXED_SHEETS)
     met = sheets.where(~fixed).join(F.broadcast(decks), kind.isNotNull()).withColumn("kind", kind)
     best = met.groupBy("sheet").agg(F.min(F.struct("kind", "ord")).alias("m")).select("sheet", F.col("m.ord").alias("ord"))
     rows = sheets.join(best, "sheet", "left").withColumn("grp", F.when(fixed, 0).when(F.col("ord").isNotNull(), 1).otherwise(2))

@@ -167,7 +167,23 @@ _LEGEND = [
 
 BRANDS = sorted(f"Brand#{i}" for i in range(1, 26) if i not in (21, 22))
 
+
+def _digest(table: str, kinds: dict[str, str]) -> str:
+    """The digest of ``table``: columns by name, each with its JSON form in quotes or not."""
+    parts = [f"'{len(c)}:{c}=' || CASE WHEN {c} IS NULL THEN '-' ELSE length({v})::VARCHAR || ':' || {v} END" for c, v in sorted((c, "('{\"v\":' || " + x + " || '}')") for c, x in kinds.items())]
+    return f"SELECT count(*) AS n_rows, sum(('0x' || substr(sha256({' || '.join(parts)}), 1, 15))::BIGINT)::VARCHAR AS content FROM {table}"
+
+
+_TEXT = "'\"' || {} || '\"'"
+_DIGESTS = {
+    "region": _digest("region", {"r_regionkey": "r_regionkey", "r_name": _TEXT.format("r_name")}),
+    "kinds": _digest("part", {"p_brand": _TEXT.format("p_brand"), "p_size": "p_size"}),
+    "holes": _digest("(SELECT nullif(p_brand, 'Brand#11') AS x, nullif(p_type, 'SMALL') AS y FROM part)", {"x": _TEXT.format("x"), "y": _TEXT.format("y")}),
+}
+
 ORACLES = {
+    "count_numbers": "SELECT a, b, sum(w)::BIGINT AS w, sum(l)::BIGINT AS l, sum(t)::BIGINT AS t, sum(w + l + t)::BIGINT AS n FROM (SELECT l_returnflag AS a, l_linestatus AS b, l_quantity::BIGINT AS w, l_linenumber::BIGINT AS l, CASE WHEN l_linenumber = 1 THEN 0 ELSE 100 * l_linenumber END::BIGINT AS t FROM lineitem) GROUP BY a, b",
+    "content_digest": " UNION ALL ".join(f"SELECT '{k}' AS \"of\", n_rows, content FROM ({v})" for k, v in _DIGESTS.items()),
     "raw_matchups": sql("SELECT * FROM raw"),
     "maxn_flat": sql("SELECT * FROM maxn"),
     "alias_index": sql("SELECT * FROM aliases"),
@@ -214,7 +230,7 @@ ORACLES = {
     "heatmap_cells": sql("SELECT x.rank AS a_rank, y.rank AS b_rank, c.a, c.b, wr FROM cells c JOIN ranked x ON x.deck = c.a JOIN ranked y ON y.deck = c.b WHERE x.rank <= 12 AND y.rank <= 12 AND x.rank >= y.rank"),
     "gap_flags": "SELECT CASE WHEN abs(l_quantity - 25) >= 8 THEN 'RED' WHEN abs(l_quantity - 25) >= 4 THEN 'YELLOW' END AS gap_flag, count(*) AS n FROM lineitem GROUP BY 1",
     "topk_contrib": sql("SELECT a, opponent, contrib FROM styled WHERE is_topk"),
-    "sheet_names": r"WITH b AS (SELECT deck, CASE WHEN c = '' THEN 'Sheet' ELSE c END AS base FROM (SELECT DISTINCT p_type || '/' || p_name AS deck, substr(trim(replace(regexp_replace(p_type || '/' || p_name, '[\[\]:*?/\\]', '', 'g'), '~', '-')), 1, 31) AS c FROM part)), n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY deck) AS i FROM b) SELECT deck, CASE WHEN i = 1 THEN base ELSE substr(base, 1, 30 - length(i::VARCHAR)) || '~' || i END AS sheet FROM n",
+    "sheet_names": r"WITH b AS (SELECT deck, CASE WHEN c = '' THEN 'Sheet' ELSE c END AS base FROM (SELECT DISTINCT p_type || '/' || p_name AS deck, trim(substr(trim(replace(regexp_replace(p_type || '/' || p_name, '[\[\]:*?/\\]', '', 'g'), '~', '-')), 1, 31)) AS c FROM part)), n AS (SELECT *, row_number() OVER (PARTITION BY lower(base) ORDER BY deck) AS i FROM b) SELECT deck, CASE WHEN i = 1 THEN base ELSE substr(base, 1, 30 - length(i::VARCHAR)) || '~' || i END AS sheet FROM n",
     "validate_matrix": sql(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER ({c}) AS n_bad FROM cells x JOIN cells y ON x.a = y.b AND x.b = y.a" for k, c in _CHECKS.items())),
     "validate_score": sql(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER ({c}) AS n_bad FROM score x LEFT JOIN score y ON x.a = y.b AND x.b = y.a" for k, c in _SCORE_CHECKS.items())),
     "validate_missing": sql("SELECT a, n_missing, allowed, n_missing <= allowed AS ok FROM (SELECT a, count(*) FILTER (wr IS NULL) AS n_missing, greatest(1, floor(count(*) * 0.02::DOUBLE)::BIGINT) AS allowed FROM scells WHERE a <> b GROUP BY a)"),

@@ -14,7 +14,7 @@ from tallyforge.functions import scalar
 from tallyforge.operators import composite, consolidate, matrix, missing_filter, posterior, prior, report, strength, validate, weights
 from tallyforge.plans import book
 from tallyforge.plans import ranking as plan
-from tallyforge.sources import matchups, pages, settings, sinks
+from tallyforge.sources import matchups, pages, settings, sinks, state
 
 ALIASES = {"Brand#2": ["Brand#21", " brand#22 "], "Brand#3": ["BRAND#31"]}
 #: Of the finer names (brand and first word of the type) some pairs never meet at small scale; this share may be missing.
@@ -137,6 +137,23 @@ def count_coercion(spark, d):
     return consolidate.with_counts(rows).groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in "wltn"])
 
 
+@query
+def count_numbers(spark, d):
+    """Counts as doubles, as text with a fraction of zero and with an exponent, and as text that is no number."""
+    line = Data(spark, d).table("lineitem")
+    rows = line.select(F.col("l_returnflag").alias("a"), F.col("l_linestatus").alias("b"), F.col("l_quantity").cast("double").alias("w"), F.concat(F.lit(" "), F.col("l_linenumber").cast("string"), F.lit(".0 ")).alias("l"), F.when(F.col("l_linenumber") == 1, "x1").otherwise(F.concat(F.col("l_linenumber").cast("string"), F.lit("e2"))).alias("t"))
+    return consolidate.with_counts(rows).groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in "wltn"])
+
+
+@query
+def content_digest(spark, d):
+    """Digests of three tables, one with NULLs and one with repeated rows."""
+    x = Data(spark, d)
+    tables = {"region": x.table("region").select("r_regionkey", "r_name"), "kinds": x.table("part").select("p_brand", "p_size"), "holes": x.table("part").select(F.nullif("p_brand", F.lit("Brand#11")).alias("x"), F.nullif("p_type", F.lit("SMALL")).alias("y"))}
+    rows = [sinks.content_hash(df).select(F.lit(name).alias("of"), "n_rows", "content") for name, df in tables.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query
 def symmetrize(spark, d):
     return consolidate.symmetrize(consolidate.max_n(Data(spark, d).raw))
@@ -476,7 +493,7 @@ def usage_columns(spark, d):
 
 def stored(spark, df, name: str) -> str:
     """The path of ``df``, written as versioned CSV."""
-    home = sinks.shared_home(spark)
+    home = state.shared_home(spark)
     written = [sinks.write_csv_versioned(df, home, name, False, datetime(2024, 1, 15))]
     return matchups.latest(written, name)
 

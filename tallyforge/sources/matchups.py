@@ -37,8 +37,9 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     """A wide CSV with row labels in its first column, as cells (a, b, value)."""
     wide = spark.read.csv(path, header=True)
     label, *names = wide.columns
-    cells = wide.select(F.col(f"`{label}`").alias("a"), *[F.col(f"`{c}`").try_cast("double").alias(c) for c in names])
-    return cells.unpivot("a", names, "b", "value")
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")  # noqa: E731  names may hold dots and quotes
+    cells = wide.select(quoted(label).alias("a"), F.explode(F.array(*[F.struct(F.lit(c).alias("b"), quoted(c).try_cast("double").alias("value")) for c in names])).alias("c"))
+    return cells.select("a", "c.b", "c.value")
 
 
 def latest(paths: list[str], prefix: str) -> str | None:

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import os
 import re
-import tempfile
-import uuid
 import zipfile
 from datetime import datetime
 from xml.sax.saxutils import escape
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,20 +27,22 @@ def write_csv_versioned(df: DataFrame, base: str, prefix: str, changed: bool, no
     return targets[-1]
 
 
-def shared_home(spark: SparkSession) -> str:
-    """A folder that driver and executors see; in local mode a temporary one where spark.checkpoint.dir is unset."""
-    home = spark.conf.get("spark.checkpoint.dir", None)
-    if home:
-        return f"{home}/csv-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return "file://" + tempfile.mkdtemp(prefix="tallyforge-")
+def encoded(name: str) -> Column:
+    """A column's value as text that tells its name, type-neutral form and NULL apart from every other: name, length and value, or a bare mark."""
+    column = F.col("`" + name.replace("`", "``") + "`")
+    value = F.coalesce(F.to_json(F.struct(column.alias("v")), {"ignoreNullFields": "false"}), F.lit(""))
+    return F.concat(F.lit(f"{len(name)}:{name}="), F.when(column.isNull(), "-").otherwise(F.concat(F.length(value).cast("string"), F.lit(":"), value)))
 
 
 def content_hash(df: DataFrame) -> DataFrame:
-    """One row (n_rows, content): equal for equal rows in any order, repeated rows counted."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("content"))
+    """One row (n_rows, content): equal for equal rows in any order, repeated rows counted, whatever the order of columns.
+
+    A row is written injectively (names, lengths, marks for NULL), so that rows which differ anywhere have different
+    texts; the first 60 bits of their SHA-256 are summed, which needs no order and combines before the shuffle.
+    """
+    row = F.sha2(F.concat(F.lit(""), *[encoded(c) for c in sorted(df.columns)]), 256)
+    part = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.select(part.alias("part")).agg(F.count("*").alias("n_rows"), F.coalesce(F.sum("part"), F.lit(0)).cast("string").alias("content"))
 
 
 def retention(files: DataFrame, archives: bool = False) -> DataFrame:
@@ -56,9 +56,13 @@ def retention(files: DataFrame, archives: bool = False) -> DataFrame:
 MAX_SHEET_ROWS, MAX_NAME = 100_000, 31
 
 
-def workbook_names(names: list[str]) -> list[str]:
-    """Each name without ``[]:*?/\\``, of at most MAX_NAME characters and unlike all others, case aside."""
-    taken: set[str] = set()
+#: Sheets that a report always has; an entity's sheet never takes their names.
+FIXED_SHEETS = ("00_Legenda", "01_Summary")
+
+
+def workbook_names(names: list[str], reserved: tuple[str, ...] = ()) -> list[str]:
+    """Each name without ``[]:*?/\\``, of at most MAX_NAME characters and unlike all others and ``reserved``, case aside."""
+    taken = {r.lower() for r in reserved}
     out = []
     for name in names:
         base = re.sub(r"[\[\]:*?/\\]", "", name).strip()[:MAX_NAME] or "Sheet"

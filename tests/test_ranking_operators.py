@@ -54,6 +54,45 @@ def test_labels_and_numbers(spark):
     assert abs(one(spark, scalar.normal_cdf(F.col("x")), x=1.224745 * 0.72) - 0.5 * (1 + math.erf(1.224745 * 0.72 / math.sqrt(2)))) < 1e-12
 
 
+@pytest.mark.parametrize(("x", "want"), [("12", 12), ("12.0", 12), (" 7 ", 7), ("1e3", 1000), (12.0, 12), (1e7, 10**7), ("9007199254740993", 2**53 + 1), ("", 0), ("12d", 0), ("nan", 0), (float("nan"), 0), (-2.5, 0), ("-inf", 0), (None, 0), (".5e1", 5)])
+def test_counts_of_any_form(spark, x, want):
+    assert one(spark, scalar.count_of(F.col("x")), x=x) == want
+
+
+@pytest.mark.parametrize("x", ["2.5", 0.1, "inf", 1e30])
+def test_counts_that_are_none(spark, x):
+    with pytest.raises(Exception, match="not a whole count"):
+        one(spark, scalar.count_of(F.col("x")), x=x)
+
+
+def test_max_n_of_doubles(spark):
+    r = consolidate.max_n(spark.createDataFrame([("a", "b", 3.0, 1.0, 0.0)], "a string, b string, w double, l double, t double")).first()
+    assert (r.w, r.l, r.t, r.n) == (3, 1, 0, 4)
+
+
+def test_matrix_with_any_names(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_text("deck,Mr. Mime,a`b,plain\nMr. Mime,,1.5,x\na`b,2,,3\n")
+    cells = {(r.a, r.b): r.value for r in matchups.read_matrix(spark, str(path)).collect()}
+    assert cells == {("Mr. Mime", "Mr. Mime"): None, ("Mr. Mime", "a`b"): 1.5, ("Mr. Mime", "plain"): None, ("a`b", "Mr. Mime"): 2.0, ("a`b", "a`b"): None, ("a`b", "plain"): 3.0}
+
+
+def test_sheet_names_reserve_and_ignore_case(spark):
+    names = spark.createDataFrame([("Abc",), ("abc",), ("01_Summary",), ("00_legenda",), ("ABC",), ("x" * 40,), ("X" * 33,)], "deck string")
+    out = {r.deck: r.sheet for r in report.sheet_names(names).collect()}
+    assert out["01_Summary"] == "01_Summary~2" and out["00_legenda"] == "00_legenda~2" and len({s.lower() for s in out.values()}) == 7
+    assert {out["ABC"], out["Abc"], out["abc"]} == {"ABC", "Abc~2", "abc~3"} and max(map(len, out.values())) == 31
+    assert sinks.workbook_names(["01_Summary", "a", "A"], sinks.FIXED_SHEETS) == ["01_Summary~2", "a", "A~2"]
+
+
+def test_content_hash_tells_nulls_and_columns_apart(spark):
+    digest = lambda rows, schema="a string, b string": sinks.content_hash(spark.createDataFrame(rows, schema)).first().content
+    rows = [[("x", None)], [(None, "x")], [("x", "")], [("", "x")], [("x", "null")], [(None, None)], [("-", None)], [("x", None)] * 2, []]
+    assert len({digest(r) for r in rows}) == len(rows)
+    assert digest([("1",)], "a string") != digest([(1,)], "a int") and digest([("x", None)]) == digest([(None, "x")], "b string, a string")
+    assert digest([("x", "y"), ("z", None)]) == digest([("z", None), ("x", "y")])
+
+
 def test_top_meta_keeps_through_the_threshold(spark):
     shares = spark.createDataFrame([("a", 50.0), ("b", 25.0), ("c", 10.0), ("d", 8.0)], "deck string, share double")
     assert [r.deck for r in matrix.top_meta(shares).orderBy("share_cum").collect()] == ["a", "b", "c"]
