@@ -116,10 +116,28 @@ CTES = {
       UNION ALL SELECT i + 1, list_filter(d, lambda x: NOT list_contains(out, x)), list_append(gone, out), allowed, len(out) > 0 FROM (
         SELECT i, d, gone, allowed, CASE WHEN len(d) > 2 AND list_max(ex) > 0 THEN list_filter(d, lambda x, k: ex[k] = list_max(ex)) ELSE []::VARCHAR[] END AS out FROM (
           SELECT *, list_transform(d, lambda x: len(list_filter(holes, lambda h: h.a = x AND list_contains(d, h.b))) - allowed) AS ex FROM alive CROSS JOIN (SELECT list({'a': a, 'b': b}) AS holes FROM scells WHERE a <> b AND wr IS NULL) WHERE moved))""",
+    "lmet": """SELECT r_name AS league, printf('S%06d', x.l_suppkey) AS a, printf('S%06d', y.l_suppkey) AS b, count(*) FILTER (x.l_quantity > y.l_quantity) AS w, count(*) FILTER (x.l_quantity < y.l_quantity) AS l
+      FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_suppkey < y.l_suppkey JOIN orders ON o_orderkey = x.l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY ALL""",
+    "laxis": "SELECT league, deck, row_number() OVER (PARTITION BY league ORDER BY deck) AS ord FROM (SELECT league, a AS deck FROM lmet UNION SELECT league, b FROM lmet)",
+    "lsoft": "SELECT league, a, b, m AS n_eff, p * m AS w_ij, (1 - p) * m AS w_ji FROM (SELECT league, a, b, (w + 3.0::DOUBLE) / (n + 6.0::DOUBLE) AS p, greatest(n * pow(n / (n + 6.0::DOUBLE), 1.5::DOUBLE), 1e-9) AS m FROM (SELECT *, w + l AS n FROM lmet) WHERE n > 0 AND n / (n + 6.0::DOUBLE) >= 5 / 11.0::DOUBLE)",
+    "lsides": "SELECT league, a AS deck, b AS other, n_eff, w_ij AS won FROM lsoft UNION ALL SELECT league, b, a, n_eff, w_ji FROM lsoft",
+    "lnodes": """SELECT league, list(wins ORDER BY ord) AS wins, list(js ORDER BY ord) AS js, list(ns ORDER BY ord) AS ns, count(*) AS t FROM (
+      SELECT x.league, x.ord, coalesce(sum(won), 0)::DOUBLE AS wins, coalesce(list(o.ord ORDER BY o.ord) FILTER (o.ord IS NOT NULL), []) AS js, coalesce(list(n_eff ORDER BY o.ord) FILTER (o.ord IS NOT NULL), []) AS ns
+      FROM laxis x LEFT JOIN lsides s ON s.deck = x.deck AND s.league = x.league LEFT JOIN laxis o ON o.deck = s.other AND o.league = s.league GROUP BY x.league, x.ord) GROUP BY league""",
+    "lsteps": """SELECT league, 0 AS i, list_transform(range(0, t), lambda x: 1.0::DOUBLE) AS pi, 1e9::DOUBLE AS moved FROM lnodes
+      UNION ALL SELECT league, i + 1, list_transform(fresh, lambda x: greatest(x, 1e-8)), list_max(list_transform(range(1, len(pi) + 1), lambda k: abs(fresh[k] - pi[k]) / (pi[k] + 1e-9))) FROM (
+        SELECT s.league, i, pi, moved, list_transform(range(1, t + 1), lambda k: (wins[k] + 1.5::DOUBLE) / (coalesce(list_sum(list_transform(range(1, len(js[k]) + 1), lambda m: ns[k][m] / (pi[k] + pi[js[k][m]] + 1e-12::DOUBLE))), 0) + 1.5::DOUBLE + 1e-12)) AS fresh
+        FROM lsteps s JOIN lnodes n ON n.league = s.league WHERE i < 500 AND moved >= 1e-6 AND len(list_filter(js, lambda x: len(x) > 0)) > 0)""",
+    "lsolved": "SELECT x.league, x.deck, s.pi[x.ord] AS pi FROM laxis x JOIN (SELECT league, arg_max(pi, i) AS pi FROM lsteps GROUP BY league) s ON s.league = x.league",
+    "lholes": "SELECT x.league, list({'a': x.deck, 'b': y.deck}) AS holes FROM laxis x JOIN laxis y ON x.league = y.league AND x.deck <> y.deck LEFT JOIN lmet m ON m.league = x.league AND m.a = least(x.deck, y.deck) AND m.b = greatest(x.deck, y.deck) AND m.w + m.l > 0 WHERE m.a IS NULL GROUP BY x.league",
+    "lalive": """SELECT league, 0 AS i, list(deck ORDER BY ord) AS d, [[]::VARCHAR[]] AS gone, greatest(1, floor((count(*) - 1) * 0.05::DOUBLE)::INT) AS allowed, TRUE AS moved FROM laxis GROUP BY league
+      UNION ALL SELECT league, i + 1, list_filter(d, lambda x: NOT list_contains(out, x)), list_append(gone, out), allowed, len(out) > 0 FROM (
+        SELECT league, i, d, gone, allowed, CASE WHEN len(d) > 2 AND list_max(ex) > 0 THEN list_filter(d, lambda x, k: ex[k] = list_max(ex)) ELSE []::VARCHAR[] END AS out FROM (
+          SELECT s.*, list_transform(d, lambda x: len(list_filter(holes, lambda h: h.a = x AND list_contains(d, h.b))) - allowed) AS ex FROM lalive s JOIN lholes h ON h.league = s.league WHERE moved))""",
 }
 CTES["scover"] = CTES["cover"].replace("{cells}", "scells")
 CTES["cover"] = CTES["cover"].replace("{cells}", "cells")
-_RECURSIVE = {"steps", "alive"}
+_RECURSIVE = {"steps", "alive", "lsteps", "lalive"}
 
 
 def sql(final: str) -> str:
@@ -219,6 +237,9 @@ ORACLES = {
     "bt_diagnostics": sql("SELECT * FROM diag"),
     "bt_soft_weights": sql("SELECT * FROM soft"),
     "bt_strength": sql("SELECT deck, pi / (exp(avg(ln(pi)) OVER ()) + 1e-12) AS pi FROM solved"),
+    "league_weights": sql("SELECT * FROM lsoft"),
+    "league_strength": sql("SELECT league, deck, pi / (exp(avg(ln(pi)) OVER (PARTITION BY league)) + 1e-12) AS pi FROM lsolved"),
+    "league_filter": sql("SELECT x.league, x.deck, list_position(list_transform(gone, lambda g: list_contains(g, x.deck)), TRUE)::BIGINT - 1 AS dropped_round FROM laxis x LEFT JOIN (SELECT league, arg_max(gone, i) AS gone FROM lalive GROUP BY league) g ON g.league = x.league"),
     "bt_percent": sql("SELECT * FROM btp"),
     "composite_score": "SELECT deck, " + _PHI + " AS score FROM (SELECT deck, 0.72::DOUBLE * (" + _Z.format(x="lb") + ") + (1 - 0.72::DOUBLE) * (" + _Z.format(x="bt") + ") AS z FROM (SELECT s_name AS deck, s_acctbal AS lb, (s_suppkey % 17)::DOUBLE AS bt FROM supplier))",
     "ranking": sql("SELECT * FROM ranked"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.config import RankingConfig
 from tallyforge.functions import scalar
-from tallyforge.operators import composite, consolidate, matrix, missing_filter, posterior, prior, report, strength, validate, weights
+from tallyforge.operators import composite, consolidate, leagues, matrix, missing_filter, posterior, prior, report, strength, validate, weights
 from tallyforge.plans import book
 from tallyforge.plans import ranking as plan
 from tallyforge.sources import matchups, pages, settings, sinks, state
@@ -332,6 +332,53 @@ def bt_percent(spark, d):
     return strength.bt_percent(bt_strength(spark, d), x.edges)
 
 
+class Regions:
+    """Suppliers meet in the orders of one region's customers: a league for each region."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        x = Data(spark, sf_dir)
+        where = x.table("customer").join(x.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(x.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("c_custkey").alias("o_custkey"), F.col("r_name").alias("league"))
+        orders = x.table("orders").select("o_orderkey", "o_custkey").join(where, "o_custkey")
+        lines = x.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.format_string("S%06d", "l_suppkey").alias("deck"), F.col("l_quantity").alias("value"))
+        self.pairs = matchups.league_matchups(lines.join(orders, "o_orderkey").withColumnRenamed("o_orderkey", "event")).cache()
+        self.axis = self.pairs.select("league", F.explode(F.array("a", "b")).alias("deck")).distinct()
+
+    def both(self) -> DataFrame:
+        """Both directions of each pair, entities named by league and name."""
+        sides = F.inline(F.array(F.struct("a", "b", "w", "l"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("l").alias("w"), F.col("w").alias("l"))))
+        return self.pairs.where("w + l > 0").select("league", sides)
+
+    def weights(self) -> DataFrame:
+        """(league, a, b, n_eff, w_ij, w_ji) by the edges' usual rules, at a fixed power."""
+        name = lambda c: F.concat_ws("/", "league", c).alias(c)
+        n, k = F.col("w") + F.col("l"), FIXED.fixed_k
+        post = self.both().select(name("a"), name("b"), name("a").alias("a_ord"), name("b").alias("b_ord"), n.alias("n_dir"), ((F.col("w") + FIXED.mu * k) / (n + k)).alias("p_hat"))
+        power = self.pairs.sparkSession.createDataFrame([(1.5,)], "power double")
+        soft = strength.soft_weights(strength.bt_edges(post, k, FIXED), power)
+        bare = lambda c: F.substring_index(c, "/", -1).alias(c)
+        return soft.select(F.substring_index("a", "/", 1).alias("league"), bare("a"), bare("b"), "n_eff", "w_ij", "w_ji")
+
+
+@query
+def league_weights(spark, d):
+    return Regions(spark, d).weights()
+
+
+@query
+def league_strength(spark, d):
+    """Bradley-Terry strengths of each region's suppliers."""
+    x = Regions(spark, d)
+    axis = x.axis.withColumn("ord", F.row_number().over(Window.partitionBy("league").orderBy("deck")))
+    return leagues.strengths(x.weights(), axis, FIXED).select("league", "deck", "pi")
+
+
+@query
+def league_filter(spark, d):
+    """Of each region's suppliers, those that have met too few others go, round by round."""
+    x = Regions(spark, d)
+    return leagues.kept_entities(x.both(), x.axis, 0.05)
+
+
 @query
 def composite_score(spark, d):
     rows = Data(spark, d).table("supplier").select(F.col("s_name").alias("deck"), F.col("s_acctbal").alias("lb"), (F.col("s_suppkey") % 17).cast("double").alias("bt"))

@@ -22,6 +22,15 @@ def raw_matchups(lines: DataFrame, parts: DataFrame) -> DataFrame:
     return out.withColumn("n", F.col("w") + F.col("l") + F.col("t"))
 
 
+def league_matchups(rows: DataFrame) -> DataFrame:
+    """(league, a, b, w, l, t) with a < b of ``rows`` (event, league, deck, value): entities meet in an event of their
+    league, once for each two rows of theirs, and the larger value wins. One shuffle by event."""
+    one = rows.select("event", "league", F.col("deck").alias("a"), F.col("value").alias("va"))
+    other = rows.select("event", "league", F.col("deck").alias("b"), F.col("value").alias("vb"))
+    met = one.join(other, ["event", "league"]).where("a < b")
+    return met.groupBy("league", "a", "b").agg(F.count_if(F.col("va") > F.col("vb")).alias("w"), F.count_if(F.col("va") < F.col("vb")).alias("l"), F.count_if(F.col("va") == F.col("vb")).alias("t"))
+
+
 def usage_share(lines: DataFrame, parts: DataFrame) -> DataFrame:
     """(deck, share): percent of all quantity by brand."""
     sold = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("p_brand").alias("deck")).agg(F.sum("l_quantity").alias("q"))
