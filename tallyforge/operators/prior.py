@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.scalar import log_beta, split_counts
+from tallyforge.operators.order import running
 
 
 def observed(cells: DataFrame) -> DataFrame:
@@ -45,6 +46,20 @@ def pick(ll: dict[float, float], tol: float) -> float:
     return min(k for k, v in ll.items() if best - v <= tol * max(1.0, abs(best)))
 
 
+def decision(star: float, boot: np.ndarray, ks: list[float], beta: float, floor: float, most: float) -> tuple[float, str]:
+    """(K to use, reason): the best one, held within bounds, or the median of its resamples where those disagree with it."""
+    med = float(np.median(boot))
+    spread = float(np.percentile(boot, 75) - np.percentile(boot, 25))
+    mode = float(np.mean(np.isclose(boot, star, rtol=0, atol=1e-12)))
+    edge = abs(star - ks[0]) <= 1e-12 or abs(star - ks[-1]) <= 1e-12
+    low, high = max(ks[0], floor), min(ks[-1], most, beta * 4)
+    if edge and mode >= 0.8 and med > 0 and spread / med <= 0.05:
+        return float(np.clip(star, low, high)), "best-boundary-override"
+    if edge or (med > 0 and spread / med > 0.35) or mode < 0.5:
+        return float(np.clip(med, max(beta / 4, low), high)), "boot-clipped"
+    return float(np.clip(star, low, high)), "best"
+
+
 def choose_k(cells: DataFrame, cfg) -> dict:
     """Grid, choice and its bootstrap check. All likelihoods are Spark jobs; the driver sees a few numbers."""
     if cfg.fixed_k is not None:
@@ -74,40 +89,41 @@ def choose_k(cells: DataFrame, cfg) -> dict:
         steps += 1
     base = min(max(beta, ks[0]), ks[-1])
     local = sorted({min(max(star * m, ks[0]), ks[-1]) for m in cfg.boot_multiples})
-    boot = bootstrap(cells, local, cfg)
-    med = float(np.median(boot))
-    spread = float(np.percentile(boot, 75) - np.percentile(boot, 25))
-    mode = float(np.mean(np.isclose(boot, star, rtol=0, atol=1e-12)))
-    edge = abs(star - ks[0]) <= 1e-12 or abs(star - ks[-1]) <= 1e-12
-    low, high = max(ks[0], cfg.k_min, cfg.k_bounds[0]), min(ks[-1], cfg.k_bounds[1], beta * 4)
-    if edge and mode >= 0.8 and med > 0 and spread / med <= 0.05:
-        used, reason = float(np.clip(star, low, high)), "best-boundary-override"
-    elif edge or (med > 0 and spread / med > 0.35) or mode < 0.5:
-        used, reason = float(np.clip(med, max(beta / 4, low), high)), "boot-clipped"
-    else:
-        used, reason = float(np.clip(star, low, high)), "best"
+    boot = np.array([r["k"] for r in bootstrap(cells, local, cfg).collect()])
+    used, reason = decision(star, boot, ks, beta, floor, cfg.k_bounds[1])
     tested = splits(cells, cfg.rho_test).agg(F.sum(F.col("w_test") + F.col("l_test"))).first()[0] or 0
     ll_base = ll[base] if base in ll else ll_of([base])[base]
     return {"k_grid": ks, "k_star": star, "k_used": used, "reason": reason, "beta": beta, "n_med": top["n_med"], "n_75": top["n_75"], "expansions": steps, "delta_ll_100": 100 * (ll[star] - ll_base) / tested if tested else 0.0}
 
 
-def bootstrap(cells: DataFrame, ks: list[float], cfg) -> np.ndarray:
-    """The best K of each resample of the test cells. Cells are numbered in axis order; draws become
-    multiplicities (replicate, cell, times), so a replicate is a weighted sum over one likelihood table."""
-    from pyspark.sql import Window
+#: Digits of the hash that make a draw: 52 bits, which a double holds.
+DRAW_DIGITS = 13
 
-    spark = cells.sparkSession
-    used = splits(cells, cfg.rho_test).where("w_test + l_test > 0").withColumn("cell", F.row_number().over(Window.orderBy("a_ord", "b_ord")) - 1)
-    a, b = F.col("k") * cfg.mu + F.col("w_train"), F.col("k") * (1 - cfg.mu) + F.col("l_train")
-    rows = used.crossJoin(F.broadcast(spark.createDataFrame([(k,) for k in ks], "k double")))
-    per_cell = rows.select("cell", "k", (log_beta(a + F.col("w_test"), b + F.col("l_test")) - log_beta(a, b)).alias("ll"))
+
+def draws(spark, replicates: int, n: int, seed: int) -> DataFrame:
+    """(replicate, cell, times): ``n`` draws with replacement of the cells 0 to n - 1 in each replicate.
+
+    Draw d of replicate r is a hash of (seed, r, d), so any task can make it, again and in any order, and no draw is
+    made on the driver.
+    """
+    ids = spark.range(replicates * n).select((F.col("id") / n).cast("bigint").alias("replicate"), (F.col("id") % n).alias("draw"))
+    key = F.md5(F.concat_ws("/", F.lit(str(seed)), "replicate", "draw"))
+    u = F.conv(F.substring(key, 1, DRAW_DIGITS), 16, 10).cast("bigint").cast("double")
+    cell = F.least(F.floor(u * n / F.lit(float(16**DRAW_DIGITS))), F.lit(n - 1)).cast("bigint")
+    return ids.select("replicate", cell.alias("cell")).groupBy("replicate", "cell").agg(F.count("*").alias("times"))
+
+
+def bootstrap(cells: DataFrame, ks: list[float], cfg) -> DataFrame:
+    """(replicate, k): the best K of each resample of the test cells, which are numbered in axis order; the smallest of equal ones."""
+    ks = sorted(ks)
+    used = splits(cells, cfg.rho_test).where("w_test + l_test > 0")
+    a, b = (lambda k: F.lit(k * cfg.mu) + F.col("w_train")), (lambda k: F.lit(k * (1 - cfg.mu)) + F.col("l_train"))
+    gain = [(log_beta(a(k) + F.col("w_test"), b(k) + F.col("l_test")) - log_beta(a(k), b(k))).alias(f"ll_{i}") for i, k in enumerate(ks)]
+    placed = running(used.select("a_ord", "b_ord", *gain), [F.col("a_ord"), F.col("b_ord")]).withColumn("cell", F.col("place") - 1)
     n = used.count()
-    rng = np.random.default_rng(cfg.seed)
-    draws = [(i, int(c), int(m)) for i in range(cfg.boot_n) for c, m in zip(*np.unique(rng.integers(0, n, n), return_counts=True), strict=True)]
-    times = spark.createDataFrame(draws, "replicate int, cell int, times int")
-    sums = per_cell.join(times, "cell").groupBy("replicate", "k").agg(F.sum(F.col("ll") * F.col("times")).alias("ll"))
-    best = sums.groupBy("replicate").agg(F.min_by("k", F.struct(-F.col("ll"), "k")).alias("k")).orderBy("replicate")
-    return np.array([r["k"] for r in best.collect()])
+    sums = draws(cells.sparkSession, cfg.boot_n, n, cfg.seed).join(placed, "cell").groupBy("replicate").agg(*[F.sum(F.col("times") * F.col(f"ll_{i}")).alias(f"ll_{i}") for i in range(len(ks))])
+    best = F.array_min(F.array(*[F.struct((-F.col(f"ll_{i}")).alias("loss"), F.lit(k).alias("k")) for i, k in enumerate(ks)]))
+    return sums.select("replicate", best["k"].alias("k"))
 
 
 def shrink_quantiles(cells: DataFrame, k: float) -> DataFrame:

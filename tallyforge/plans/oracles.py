@@ -135,9 +135,55 @@ CTES = {
         SELECT league, i, d, gone, allowed, CASE WHEN len(d) > 2 AND list_max(ex) > 0 THEN list_filter(d, lambda x, k: ex[k] = list_max(ex)) ELSE []::VARCHAR[] END AS out FROM (
           SELECT s.*, list_transform(d, lambda x: len(list_filter(holes, lambda h: h.a = x AND list_contains(d, h.b))) - allowed) AS ex FROM lalive s JOIN lholes h ON h.league = s.league WHERE moved))""",
 }
+_DRAW = "least(floor(('0x' || substr(md5('42/' || r || '/' || d), 1, 13))::BIGINT::DOUBLE * n / 4503599627370496.0::DOUBLE), n - 1)::BIGINT"
+_LL = _LB.format(a="k * 0.5::DOUBLE + w_train + w_test", b="k * 0.5::DOUBLE + l_train + l_test") + " - (" + _LB.format(a="k * 0.5::DOUBLE + w_train", b="k * 0.5::DOUBLE + l_train") + ")"
+CTES |= {
+    "tests": "SELECT row_number() OVER (ORDER BY a_ord, b_ord) - 1 AS cell, w - w_test AS w_train, l - l_test AS l_train, w_test, l_test FROM (SELECT *, least(greatest(test - w_test, 0), l) AS l_test FROM split2) WHERE w_test + l_test > 0",
+    "lowest": "SELECT greatest(min(k) / 2, 0.1::DOUBLE) AS l1, greatest(greatest(min(k) / 2, 0.1::DOUBLE) / 2, 0.1::DOUBLE) AS l2 FROM ks",
+    "tried": "SELECT k, min(lev) AS lev FROM (SELECT k, 0 AS lev FROM ks UNION ALL SELECT l1, 1 FROM lowest UNION ALL SELECT l2, 2 FROM lowest) GROUP BY k",
+    "klls": "SELECT k, lev, sum(" + _LL + ") AS ll FROM tests CROSS JOIN tried GROUP BY k, lev",
+    "picks": """SELECT j, min(k) AS star, min(lo) AS lo, min(hi) AS hi FROM (SELECT *, max(ll) OVER (PARTITION BY j) AS best, min(k) OVER (PARTITION BY j) AS lo, max(k) OVER (PARTITION BY j) AS hi
+      FROM klls JOIN (VALUES (0), (1), (2)) v(j) ON lev <= j) WHERE best - ll <= 0.001::DOUBLE * greatest(1, abs(best)) GROUP BY j""",
+    "expanded": """SELECT CASE WHEN x.star = x.lo AND x.lo > 0.1::DOUBLE + 1e-12 THEN CASE WHEN y.star = y.lo AND y.lo > 0.1::DOUBLE + 1e-12 THEN 2 ELSE 1 END ELSE 0 END AS steps
+      FROM (SELECT * FROM picks WHERE j = 0) x CROSS JOIN (SELECT * FROM picks WHERE j = 1) y""",
+    "starred": "SELECT steps, star, lo, hi FROM expanded JOIN picks ON j = steps",
+    "near_ks": "SELECT DISTINCT least(greatest(star * m, lo), hi) AS k FROM starred CROSS JOIN (VALUES (pow(2::DOUBLE, -0.5::DOUBLE)), (1.0::DOUBLE), (pow(2::DOUBLE, 0.5::DOUBLE))) v(m)",
+    "gains": "SELECT cell, k, " + _LL + " AS ll FROM tests CROSS JOIN near_ks",
+    "drawn": "SELECT r, " + _DRAW + " AS cell FROM (SELECT count(*) AS n FROM tests) CROSS JOIN range(50) a(r) CROSS JOIN (SELECT unnest(range(count(*))) AS d FROM tests)",
+    "resampled": "SELECT r, arg_min(k, (-ll, k)) AS k FROM (SELECT r, k, sum(ll) AS ll FROM drawn JOIN gains USING (cell) GROUP BY r, k) GROUP BY r",
+    "booted": "SELECT median(k) AS med, quantile_cont(k, 0.75) - quantile_cont(k, 0.25) AS spread, avg(CASE WHEN abs(k - star) <= 1e-12 THEN 1.0::DOUBLE ELSE 0 END) AS mode FROM resampled CROSS JOIN starred",
+    "bounds": """SELECT *, abs(star - lo) <= 1e-12 OR abs(star - hi) <= 1e-12 AS edge, greatest(lo, 0.1::DOUBLE) AS low, least(hi, 50.0::DOUBLE, beta * 4) AS high,
+      (SELECT ll FROM klls WHERE k = star) - (SELECT arg_min(ll, abs(k - least(greatest(beta, lo), hi))) FROM klls) AS gain, (SELECT sum(w_test + l_test) FROM tests) AS tested FROM starred CROSS JOIN booted CROSS JOIN scale""",
+    "reasoned": """SELECT *, CASE WHEN edge AND mode >= 0.8 AND med > 0 AND spread / med <= 0.05 THEN 'best-boundary-override' WHEN edge OR (med > 0 AND spread / med > 0.35) OR mode < 0.5 THEN 'boot-clipped' ELSE 'best' END AS reason FROM bounds""",
+    "kchosen": "SELECT star AS k_star, CASE WHEN reason = 'boot-clipped' THEN least(greatest(med, greatest(beta / 4, low)), high) ELSE least(greatest(star, low), high) END AS k_used, reason, beta, steps AS expansions, 100 * gain / tested AS delta_ll_100 FROM reasoned",
+}
 CTES["scover"] = CTES["cover"].replace("{cells}", "scells")
 CTES["cover"] = CTES["cover"].replace("{cells}", "cells")
-_RECURSIVE = {"steps", "alive", "lsteps", "lalive"}
+
+
+def _variant(mark: str, own: dict[str, str], swap: dict[str, str]) -> None:
+    """Adds a copy of every expression, its name led by ``mark``, that reads the copies; ``own`` stand for some, ``swap`` for texts."""
+    names = [n for n in CTES if n not in _SHARED]
+    for name in names:
+        text = own.get(name, CTES[name])
+        for a, b in swap.items():
+            text = text.replace(a, b)
+        for other in names:
+            text = re.sub(rf"\b(FROM|JOIN)\s+{other}\b(\s+[a-z]\b)?", lambda m, o=other: f"{m[1]} {mark}{o}" + (m[2] or f" AS {o}"), text)
+        _COPIES[mark + name] = text
+
+
+_SHARED = {"raw", "fparts", "aliases", "maxn", "named", "best", "flat", "shares", "fshares", "cut", "fcut", "canonical", "fcanonical", "sparse", "smaxn", "snamed", "sbest", "mbest", "sflat", "faxis", "scells", "score", "scover", "lmet", "laxis", "lsoft", "lsides", "lnodes", "lsteps", "lsolved", "lholes", "lalive"}
+_COPIES: dict[str, str] = {}
+_K = "(SELECT k_used FROM kchosen)"
+# The whole way: entities with over 15 percent of cells missing go first, and the prior strength is the chosen one.
+_variant("w_", {
+    "axis": "SELECT deck, row_number() OVER (ORDER BY ord) AS ord FROM canonical WHERE deck IN (SELECT unnest(d) FROM (SELECT d FROM alive ORDER BY i DESC LIMIT 1))",
+    "alive": CTES["alive"].replace("0.02::DOUBLE", "0.15::DOUBLE").replace("faxis", "canonical").replace("FROM scells", "FROM (" + _CELLS.format(flat="flat", axis="(SELECT deck, ord FROM canonical)") + ")"),
+    "post": CTES["post"].replace("3.0::DOUBLE", f"{_K} / 2"), "edges": CTES["edges"].replace("6.0::DOUBLE", _K), "diag": CTES["diag"].replace("5 / 11.0::DOUBLE", f"5 / (5 + {_K})"),
+}, {})
+CTES |= _COPIES
+_RECURSIVE = {"w_steps", "w_alive", "steps", "alive", "lsteps", "lalive"}
 
 
 def sql(final: str) -> str:
@@ -213,6 +259,11 @@ ORACLES = {
     "usage_share": sql("SELECT * FROM shares"),
     "top_meta_cut": sql("SELECT * FROM cut"),
     "top_meta_canonical": sql("SELECT * FROM canonical"),
+    "top_meta_parts": "WITH q AS (SELECT p_name || '/' || p_partkey AS deck, sum(l_quantity) AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1), s AS (SELECT deck, 100.0::DOUBLE * q / sum(q) OVER () AS share FROM q), c AS (SELECT *, sum(share) OVER (ORDER BY share DESC, deck ROWS UNBOUNDED PRECEDING) AS share_cum FROM s) SELECT deck, share, share_cum FROM c WHERE share_cum - share < 80",
+    "order_ranks": "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place, (sum(o_totalprice::DECIMAL(18,2)) OVER (ORDER BY o_totalprice DESC, o_orderkey ROWS UNBOUNDED PRECEDING))::DOUBLE AS through FROM orders",
+    "bootstrap_draws": f"SELECT r AS replicate, cell, count(*) AS times FROM (SELECT r, {_DRAW} AS cell FROM (SELECT count(*) AS n FROM orders) CROSS JOIN range(5) a(r) CROSS JOIN (SELECT unnest(range(count(*))) AS d FROM orders)) GROUP BY ALL",
+    "k_choice": sql("SELECT * FROM kchosen"),
+    "ranking_auto": sql("SELECT * FROM w_ranked"),
     "parse_percent": "SELECT c_custkey, round_even(c_acctbal, 2) AS pct FROM customer",
     "wr_matrix_exclude": sql("SELECT a, b, w, l, t, wr FROM cells"),
     "wr_matrix_half": sql("SELECT a, b, CASE WHEN a = b THEN 50.0 WHEN w + l + t > 0 THEN round_even(100.0::DOUBLE * (w + 0.5::DOUBLE * t) / (w + l + t), 2) END::DOUBLE AS wr FROM cells"),

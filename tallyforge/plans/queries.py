@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.config import RankingConfig
 from tallyforge.functions import scalar
-from tallyforge.operators import composite, consolidate, leagues, matrix, missing_filter, posterior, prior, report, strength, validate, weights
+from tallyforge.operators import composite, consolidate, leagues, matrix, missing_filter, order, posterior, prior, report, strength, validate, weights
 from tallyforge.plans import book
 from tallyforge.plans import ranking as plan
 from tallyforge.sources import matchups, pages, settings, sinks, state
@@ -179,6 +179,28 @@ def top_meta_canonical(spark, d):
     return Data(spark, d).canonical
 
 
+@query
+def top_meta_parts(spark, d):
+    """The parts that make 80 percent of all quantity, by name: as many names as parts."""
+    x = Data(spark, d)
+    named = x.table("part").withColumn("p_brand", F.concat_ws("/", "p_name", "p_partkey"))
+    return order.top_share(matchups.usage_share(x.table("lineitem"), named))
+
+
+@query
+def order_ranks(spark, d):
+    """Place and running sum of every order by falling price."""
+    rows = Data(spark, d).table("orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    return order.running(rows, [F.desc("price"), F.col("o_orderkey")], "price").select("o_orderkey", "place", F.col("through").cast("double").alias("through"))
+
+
+@query
+def bootstrap_draws(spark, d):
+    """How often each replicate draws each of as many cells as there are orders."""
+    n = Data(spark, d).table("orders").count()
+    return prior.draws(spark, 5, n, FIXED.seed)
+
+
 @query
 def parse_percent(spark, d):
     rows = Data(spark, d).table("customer").select("c_custkey", F.concat(F.replace(F.format_string("%.2f", F.col("c_acctbal")), F.lit("."), F.lit(",")), F.lit(" %")).alias("x"))
@@ -282,7 +304,7 @@ def shrink_quantiles(spark, d):
 
 @query
 def k_choice(spark, d):
-    """The chosen prior strength; its bootstrap draws come from NumPy, so SQL can't follow."""
+    """The chosen prior strength."""
     k = prior.choose_k(Data(spark, d).cells, RankingConfig())
     return spark.createDataFrame([(k["k_star"], k["k_used"], k["reason"], k["beta"], k["expansions"], k["delta_ll_100"])], "k_star double, k_used double, reason string, beta double, expansions int, delta_ll_100 double")
 
@@ -392,7 +414,7 @@ def ranking(spark, d):
 
 @query
 def ranking_auto(spark, d):
-    """The whole way with missing-cell filter and cross-validated prior; SQL can't follow the bootstrap."""
+    """The whole way, with the missing-cell filter and the cross-validated prior."""
     x = Data(spark, d)
     cfg = RankingConfig()
     score, kept, canonical = plan.records_to_score(x.raw, x.shares, x.aliases, cfg)
