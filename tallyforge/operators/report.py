@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tallyforge.sources.sinks import FIXED_SHEETS
 
@@ -27,11 +28,19 @@ def pairs_by_entity(cells: DataFrame, weights: DataFrame, ranking: DataFrame) ->
     )
 
 
-def pairs_view(pairs: DataFrame, counts: bool = True, posterior_se: bool = False, binom_se: bool = True, self_row: bool = True, weight: bool = False, contrib: bool = False) -> DataFrame:
-    """``pairs_by_entity`` with the columns and rows that a report shows."""
+def pairs_view(pairs: DataFrame, counts: bool = True, posterior_se: bool = False, binom_se: bool = True, self_row: bool = True, weight: bool = False, contrib: bool = False, sort_by: str | None = None, mirror_label: str = "Mirror") -> DataFrame:
+    """``pairs_by_entity`` with the columns and rows that a report shows.
+
+    Rows stand in ranking order (b_rank), or by ``sort_by``, largest first and NULLs last, ties in ranking order: then
+    b_rank is the row's place in its own sheet. A column that isn't shown can't sort.
+    """
     off = {c for c, shown in [("w", counts), ("l", counts), ("n", counts), ("se_dir", posterior_se), ("se_binom", binom_se), ("weight", weight), ("contrib", contrib)] if not shown}
-    rows = pairs if self_row else pairs.where("opponent <> 'Mirror'")
-    return rows.select([c for c in rows.columns if c not in off])
+    mirror = F.col("opponent") == "Mirror"
+    rows = pairs if self_row else pairs.where(~mirror)
+    if sort_by is not None and sort_by not in off and sort_by in rows.columns:
+        rows = rows.withColumn("b_rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc_nulls_last(sort_by), "b_rank")))
+    rows = rows.withColumn("opponent", F.when(mirror, mirror_label).otherwise(F.col("opponent")))
+    return rows.select([c for c in pairs.columns if c not in off])
 
 
 def gap_flag(gap: Column) -> Column:
@@ -49,8 +58,23 @@ def summary(ranking: DataFrame) -> DataFrame:
     return ranking.select("rank", "deck", *[F.bround(c, 2).alias(c) for c in shown], "opp_used", "opp_total")
 
 
+#: Decimal places of a shown ranking; all other numbers have none.
+SHOWN_PLACES = {c: 2 for c in ("score", "mas", "lb", "bt", "se", "coverage_pct")}
+
+
+def shown_ranking(ranking: DataFrame, top_n: int | None = 15, columns: list[str] | None = None, places: dict[str, int] | None = None) -> DataFrame:
+    """The first ``top_n`` ranks (all for None or less than 1) as text for people: numbers grouped by thousands, with ``places``
+    decimal places. ``columns`` that the ranking doesn't have are left out."""
+    digits = SHOWN_PLACES | (places or {})
+    rows = ranking.where(F.col("rank") <= top_n) if top_n and top_n > 0 else ranking
+    names = [c for c in columns or ranking.columns if c in ranking.columns]
+    text = {f.name: F.col(f.name) if isinstance(f.dataType, StringType) else F.format_number(f.name, digits.get(f.name, 0)) for f in ranking.schema}
+    return rows.orderBy("rank").select(*[text[c].alias(c) for c in names])
+
+
 def heatmap(cells: DataFrame, ranking: DataFrame, top_n: int = 20, mask_mirror: bool = False) -> DataFrame:
-    """(a_rank, b_rank, a, b, wr): the rates among the ``top_n`` first, optionally without the upper triangle."""
+    """(a_rank, b_rank, a, b, wr): the rates among the ``top_n`` first (two at least), optionally without the upper triangle."""
+    top_n = max(2, int(top_n))
     top = ranking.where(F.col("rank") <= top_n).select("deck", "rank")
     rows = cells.join(F.broadcast(top.select(F.col("deck").alias("a"), F.col("rank").alias("a_rank"))), "a").join(F.broadcast(top.select(F.col("deck").alias("b"), F.col("rank").alias("b_rank"))), "b")
     rows = rows.where("a_rank >= b_rank") if mask_mirror else rows
@@ -93,13 +117,24 @@ def book_sheets(pairs: DataFrame, ranking: DataFrame, n_legend: int) -> DataFram
     return both.select(F.row_number().over(Window.orderBy("rank", "sheet")).alias("place"), "sheet", "deck", "n_rows")
 
 
-def legend(spark, settings: dict) -> DataFrame:
-    """The legend as rows (ord, item, meaning)."""
-    # The columns' meanings.
-    texts = [
-        ("wr_real", "win rate as observed, in percent, without ties"), ("p_hat", "win rate with the prior, in percent"), ("gap", "p_hat minus wr_real, in points"),
-        ("weight", "share of the opponent in the entity's weighted mean"), ("contrib", "points that the opponent gives to the weighted mean"),
-        ("RED", "gap of 8 points or more"), ("YELLOW", "gap of 4 to 8 points"), ("Mirror", "the entity itself"),
-    ]
-    rows = [(i, a, b) for i, (a, b) in enumerate([*texts, *((k, str(v)) for k, v in settings.items())])]
-    return spark.createDataFrame(rows, "ord int, item string, meaning string")
+# The columns' meanings, and what the colours mark.
+COLUMN_TEXTS = [
+    ("w, l, n", "wins, losses and their sum against the opponent"), ("wr_real", "win rate as observed, in percent, without ties"), ("p_hat", "win rate with the prior, in percent"),
+    ("se_dir", "standard error of p_hat, in points"), ("se_binom", "standard error of wr_real, in points"), ("gap", "p_hat minus wr_real, in points"),
+    ("weight", "share of the opponent in the entity's weighted mean"), ("contrib", "points that the opponent gives to the weighted mean"), ("Mirror", "the entity itself"),
+]
+RANKING_TEXTS = [
+    ("score", "mark from 0 to 100, of lb and bt"), ("mas", "weighted mean of the win rates"), ("se", "standard error of mas"), ("lb", "careful estimate: mas less a multiple of se"), ("bt", "strength by direct meetings"),
+    ("coverage_pct", "share of opponents met"), ("n_eff", "decided matches in all"), ("opp_used, opp_total", "opponents met, and all"),
+]
+COLOUR_TEXTS = [("|gap| >= 8", "strong correction", "red"), ("4 <= |gap| < 8", "moderate correction", "yellow"), ("contrib", "among the largest of its sheet", "green"), ("Mirror", "the entity itself", "gray")]
+
+
+def legend(ranking: DataFrame, settings: dict) -> DataFrame:
+    """The legend as rows (ord, part, item, meaning, colour): columns, settings with the number of entities, ranking and colours."""
+    rows = [("columns", *x, None) for x in COLUMN_TEXTS] + [("settings", k, str(v), None) for k, v in settings.items()]
+    later = [("ranking", *x, None) for x in RANKING_TEXTS] + [("colours", *x) for x in COLOUR_TEXTS]
+    schema, n = "ord int, part string, item string, meaning string, colour string", len(rows)
+    known = [(i, *r) for i, r in enumerate(rows)] + [(n + 1 + i, *r) for i, r in enumerate(later)]
+    entities = ranking.agg(F.lit(n).alias("ord"), F.lit("settings").alias("part"), F.lit("entities").alias("item"), F.count("*").cast("string").alias("meaning"), F.lit(None).cast("string").alias("colour"))
+    return ranking.sparkSession.createDataFrame(known, schema).unionByName(entities)

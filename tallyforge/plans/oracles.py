@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from tallyforge.operators.report import COLOUR_TEXTS, COLUMN_TEXTS, RANKING_TEXTS
+
 _WR = "CASE WHEN w + l > 0 THEN round_even(100.0::DOUBLE * w / (w + l), 2) END"
 _PAGES = """SELECT a, b, page, w, l, t, w + l + t AS n FROM (
   SELECT x.brand AS a, y.brand AS b, x.page, count(*) FILTER (qa > qb) AS w, count(*) FILTER (qa < qb) AS l, count(*) FILTER (qa = qb) AS t
@@ -223,11 +225,8 @@ _AGAIN_CHECKS = {"wr_recomputed": "abs(c.wr - round_even(100.0::DOUBLE * s.w / (
 _AGAIN = "scells c LEFT JOIN score s ON s.a = c.a AND s.b = c.b WHERE c.a <> c.b"
 _BT_CHECKS = {"sum_is_n_eff": "abs(w_ij + w_ji - n_eff) > 1e-6", "in_range": "NOT (w_ij > 0 AND w_ij < n_eff AND w_ji > 0 AND w_ji < n_eff)"}
 _SCORED = "score x LEFT JOIN score y ON x.a = y.b AND x.b = y.a"
-_LEGEND = [
-    ("wr_real", "win rate as observed, in percent, without ties"), ("p_hat", "win rate with the prior, in percent"), ("gap", "p_hat minus wr_real, in points"),
-    ("weight", "share of the opponent in the entity''s weighted mean"), ("contrib", "points that the opponent gives to the weighted mean"),
-    ("RED", "gap of 8 points or more"), ("YELLOW", "gap of 4 to 8 points"), ("Mirror", "the entity itself"), ("prior strength", "6.0"),
-]
+_LEGEND = [("columns", *x, None) for x in COLUMN_TEXTS] + [("settings", "prior strength", "6.0", None), ("settings", "entities", None, None)] + [("ranking", *x, None) for x in RANKING_TEXTS] + [("colours", *x) for x in COLOUR_TEXTS]
+_TOLD = lambda x: "NULL::VARCHAR" if x is None else "'" + x.replace("'", "''") + "'"
 
 BRANDS = sorted(f"Brand#{i}" for i in range(1, 26) if i not in (21, 22))
 
@@ -321,8 +320,12 @@ ORACLES = {
     "page_decklist": "SELECT row_number() OVER (ORDER BY q DESC, deck) AS rank, deck, floor(q * 100 / sum(q) OVER ())::BIGINT || ' %' AS share, q AS count, 'https://example.com/decks/' || deck AS url FROM (SELECT p_brand AS deck, sum(l_quantity)::BIGINT AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)",
     "cached_fetch": "SELECT page_id, coalesce(TIMESTAMP '2024-01-15 12:00:00' - seen < INTERVAL 720 MINUTE, FALSE) AS from_cache, coalesce(TIMESTAMP '2024-01-15 12:00:00' - seen < INTERVAL 720 MINUTE, FALSE) AS has_html FROM pages LEFT JOIN (SELECT url, max(ts) AS seen FROM pages JOIN events ON user_id = page_id WHERE ts < TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1) USING (url)",
     "pairs_report": sql("SELECT a, b_rank, opponent, w, l, n, wr_real, p_hat, se_binom, gap FROM pairs"),
-    "report_sheets": sql("SELECT (row_number() OVER (ORDER BY r.o, r.sheet))::INT AS place, r.sheet AS sheet, r.deck AS deck, r.n AS n_rows FROM (SELECT unnest([{'o': -1, 'sheet': '00_Legenda', 'deck': NULL::VARCHAR, 'n': 10::BIGINT}, {'o': 0, 'sheet': '01_Summary', 'deck': NULL::VARCHAR, 'n': count(*)}] || list({'o': rank, 'sheet': deck, 'deck': deck, 'n': t})) AS r FROM (SELECT *, count(*) OVER () AS t FROM ranked))"),
-    "legend": "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(_LEGEND)) + ") v(ord, item, meaning)",
+    "report_sheets": sql("SELECT (row_number() OVER (ORDER BY r.o, r.sheet))::INT AS place, r.sheet AS sheet, r.deck AS deck, r.n AS n_rows FROM (SELECT unnest([{'o': -1, 'sheet': '00_Legenda', 'deck': NULL::VARCHAR, 'n': 23::BIGINT}, {'o': 0, 'sheet': '01_Summary', 'deck': NULL::VARCHAR, 'n': count(*)}] || list({'o': rank, 'sheet': deck, 'deck': deck, 'n': t})) AS r FROM (SELECT *, count(*) OVER () AS t FROM ranked))"),
+    "legend": sql("SELECT ord, part, item, coalesce(meaning, (SELECT count(*)::VARCHAR FROM ranked)) AS meaning, colour FROM (VALUES " + ", ".join(f"({i}, {', '.join(map(_TOLD, r))})" for i, r in enumerate(_LEGEND)) + ") v(ord, part, item, meaning, colour)"),
+    "ranking_display": sql("SELECT format('{:,}', rank) AS rank, deck, format('{:,.1f}', score) AS score, format('{:,.0f}', n_eff) AS n_eff, format('{:,.2f}', coverage_pct) AS coverage_pct FROM ranked WHERE rank <= 9"),
+    "pairs_sorted": sql("SELECT a, (row_number() OVER (PARTITION BY a ORDER BY gap DESC NULLS LAST, b_rank))::INT AS b_rank, opponent, gap FROM pairs WHERE opponent <> 'Mirror'"),
+    "workbook_cells": """WITH r AS (SELECT p_brand AS sheet, (row_number() OVER (PARTITION BY p_brand ORDER BY p_size))::INT AS row, p_size, count(*) AS parts, max(p_retailprice) AS price FROM part GROUP BY p_brand, p_size)
+      SELECT sheet, row, 0 AS col, p_size::DOUBLE AS number, '' AS style FROM r UNION ALL SELECT sheet, row, 1, parts, CASE WHEN parts >= 3 THEN 'red' WHEN parts = 2 THEN 'yellow' ELSE '' END FROM r UNION ALL SELECT sheet, row, 2, price, '' FROM r""",
     "sheet_order": """WITH decks AS (SELECT deck, row_number() OVER (ORDER BY deck DESC) AS ord FROM (SELECT DISTINCT p_brand AS deck FROM part)),
       sheets AS (SELECT unnest([deck, deck || ' b', 'x ' || lower(deck)]) AS sheet FROM decks UNION ALL SELECT DISTINCT p_type FROM part UNION ALL VALUES ('00_Legenda'), ('01_Summary')),
       met AS (SELECT sheet, ord, CASE WHEN sheet = deck THEN 0 WHEN starts_with(lower(deck), lower(sheet)) OR starts_with(lower(sheet), lower(deck)) THEN 1 WHEN contains(lower(sheet), lower(deck)) OR contains(lower(deck), lower(sheet)) THEN 2 END AS kind FROM sheets CROSS JOIN decks),

@@ -14,7 +14,7 @@ from tallyforge.functions import scalar
 from tallyforge.operators import composite, consolidate, leagues, matrix, missing_filter, order, posterior, prior, report, strength, validate, weights
 from tallyforge.plans import book
 from tallyforge.plans import ranking as plan
-from tallyforge.sources import matchups, pages, settings, sinks, state
+from tallyforge.sources import matchups, pages, settings, sinks, state, workbook
 
 ALIASES = {"Brand#2": ["Brand#21", " brand#22 "], "Brand#3": ["BRAND#31"]}
 #: Of the finer names (brand and first word of the type) some pairs never meet at small scale; this share may be missing.
@@ -451,12 +451,37 @@ def pairs_report(spark, d):
 @query
 def report_sheets(spark, d):
     r = book.settled(Data(spark, d).ranked())
-    return report.book_sheets(book.report_pairs(r), r.ranking, report.legend(spark, book.settings_of(r)).count())
+    return report.book_sheets(book.report_pairs(r), r.ranking, report.legend(r.ranking, book.settings_of(r)).count())
 
 
 @query
 def legend(spark, d):
-    return report.legend(spark, {"prior strength": FIXED.fixed_k})
+    return report.legend(ranking(spark, d), {"prior strength": FIXED.fixed_k})
+
+
+@query
+def ranking_display(spark, d):
+    return report.shown_ranking(ranking(spark, d), 9, ["rank", "deck", "nothing", "score", "n_eff", "coverage_pct"], {"score": 1})
+
+
+@query
+def pairs_sorted(spark, d):
+    """Each entity's opponents by gap."""
+    return report.pairs_view(pairs_by_entity(spark, d), self_row=False, sort_by="gap").select("a", "b_rank", "opponent", "gap")
+
+
+@query
+def workbook_cells(spark, d):
+    """A workbook with a sheet for each brand, written by tasks and read back as cells: sizes, parts, their highest price; many parts are marked."""
+    part = Data(spark, d).table("part")
+    rows = part.groupBy("p_brand", "p_size").agg(F.count("*").alias("parts"), F.max("p_retailprice").alias("price"))
+    brands = part.select("p_brand").distinct().withColumn("place", F.dense_rank().over(Window.orderBy("p_brand")) - 1)
+    cells = workbook.cells_of(rows, ["p_size", "parts", "price"], {"parts": F.when(F.col("parts") >= 3, "red").when(F.col("parts") == 2, "yellow")})
+    body = rows.join(brands, "p_brand").select("place", F.col("p_brand").alias("sheet"), F.col("p_size").cast("long").alias("row"), cells.alias("cells"))
+    heads = brands.select("place", F.col("p_brand").alias("sheet"), F.lit(-1).cast("long").alias("row"), workbook.header(["p_size", "parts", "price"]).alias("cells"))
+    path = f"{state.shared_home(spark)}.xlsx"
+    workbook.write(body.unionByName(heads), path)
+    return workbook.read(spark, path).where("row > 0").select("sheet", "row", "col", "number", "style")
 
 
 @query

@@ -1,12 +1,9 @@
-"""Versioned CSV folders, retention of old versions, and a small workbook writer."""
+"""Versioned CSV folders, retention of old versions, and the names of sheets."""
 
 from __future__ import annotations
 
-import os
 import re
-import zipfile
 from datetime import datetime
-from xml.sax.saxutils import escape
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +50,7 @@ def retention(files: DataFrame, archives: bool = False) -> DataFrame:
     return files.withColumn("action", F.when(stamped & ~latest & ~kept, "delete").otherwise("keep"))
 
 
-MAX_SHEET_ROWS, MAX_NAME = 100_000, 31
+MAX_NAME = 31
 
 
 #: Sheets that a report always has; an entity's sheet never takes their names.
@@ -73,35 +70,3 @@ def workbook_names(names: list[str], reserved: tuple[str, ...] = ()) -> list[str
         taken.add(new.lower())
         out.append(new)
     return out
-
-
-def write_workbook(sheets: dict[str, DataFrame | tuple[list[str], list]], path: str) -> None:
-    """An xlsx of report sheets (frames, or columns and rows) in their order. Reports are made for people; they are
-    written on the driver, so a sheet of more than MAX_SHEET_ROWS rows is an error. Names that a workbook doesn't allow are changed."""
-    tables = []
-    for name, df in zip(workbook_names(list(sheets)), sheets.values(), strict=True):
-        columns, rows = df if isinstance(df, tuple) else (df.columns, df.limit(MAX_SHEET_ROWS + 1).collect())
-        if len(rows) > MAX_SHEET_ROWS:
-            raise ValueError(f"sheet {name} has more than {MAX_SHEET_ROWS} rows")
-        tables.append((name, columns, rows))
-
-    def cell(v) -> str:
-        if v is None:
-            return "<c/>"
-        if isinstance(v, bool) or not isinstance(v, (int, float)):
-            return f'<c t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
-        return f"<c><v>{v}</v></c>"
-
-    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    draft = path + ".part"
-    with zipfile.ZipFile(draft, "w", zipfile.ZIP_DEFLATED) as z:
-        kinds = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(tables) + 1))
-        z.writestr("[Content_Types].xml", f'<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>{kinds}</Types>')
-        z.writestr("_rels/.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        z.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name="{escape(n, {chr(34): "&quot;"})}" sheetId="{i}" r:id="r{i}"/>' for i, (n, _, _) in enumerate(tables, 1)) + "</sheets></workbook>")
-        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="r{i}" Type="{rel}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(tables) + 1)) + "</Relationships>")
-        for i, (_, columns, rows) in enumerate(tables, 1):
-            body = "".join("<row>" + "".join(map(cell, r)) + "</row>" for r in [columns, *rows])
-            z.writestr(f"xl/worksheets/sheet{i}.xml", f"<worksheet {main}><sheetData>{body}</sheetData></worksheet>")
-    os.replace(draft, path)

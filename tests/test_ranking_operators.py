@@ -13,7 +13,7 @@ from tallyforge.functions import scalar
 from tallyforge.operators import composite, consolidate, matrix, missing_filter, posterior, prior, report, strength, validate, weights
 from tallyforge.plans import book
 from tallyforge.plans import ranking as plan
-from tallyforge.sources import matchups, pages, settings, sinks
+from tallyforge.sources import matchups, pages, settings, sinks, workbook
 from tallyforge.streaming import ingest
 
 
@@ -252,8 +252,6 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None)], "x int, y string")
     last = sinks.write_csv_versioned(df, str(tmp_path), "score_x", True, datetime(2024, 1, 2, 3, 4, 5), {"score": "scores", "s": "rest"})
     assert last.endswith("scores/score_x_20240102_030405") and spark.read.csv(last, header=True).count() == 2
-    sinks.write_workbook({"One": df}, str(tmp_path / "w.xlsx"))
-    assert (tmp_path / "w.xlsx").stat().st_size > 500
     assert sinks.content_hash(df).first() == sinks.content_hash(df.orderBy(F.desc("x"))).first()
     assert sinks.content_hash(df.limit(1).union(df.limit(1))).first() != sinks.content_hash(df.where("x = 2").union(df.where("x = 2"))).first()
     names = sinks.workbook_names(["a" * 40, "a" * 35, "A" * 31 + "b", "x/y", "xy", "*"])
@@ -348,6 +346,13 @@ def test_report_workbook(spark, tmp_path):
     best = [r.deck for r in ranked.ranking.orderBy("rank").collect()]
     assert order[:2] == ["00_Legenda", "01_Summary"] and len(set(order)) == 5
     assert [o.split("~")[0] for o in order[2:]] == [n.replace("/", "") for n in best]
-    assert last.count("<row>") == 4 and "Mirror" in last and "contrib" not in last
+    assert last.count("<row>") == 4 and "Mirror" in last and "contrib" not in last and " s=" in last
+    legend = {(r.row, r.col): (r.text, r.style) for r in workbook.read(spark, latest).where("place = 0").collect()}
+    assert ("red", "red") in legend.values() and ("3", "") in legend.values()
+    shown = book.write_report(ranked, str(tmp_path / "more"), "report", datetime(2024, 1, 15), sort_by="gap", mirror_label="itself", contrib=True)[0]
+    cells = workbook.read(spark, shown).where("place > 1")
+    assert cells.where("text = 'itself' and style = 'mirror'").count() == 3 and cells.where("style = 'green'").count() == 6
+    gaps = [r.number for r in cells.where("place = 2 and row > 0").orderBy("row", "col").collect() if r.col == 7]
+    assert gaps == sorted(gaps, reverse=True) and len(gaps) == 2
     with pytest.raises(ValueError):
         plan.rank_entities(raw, axis.where("ord > 9"), None, RankingConfig(fixed_k=6.0))
