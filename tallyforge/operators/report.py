@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tallyforge.operators.names import best_match
+from tallyforge.operators.order import running
 from tallyforge.sources.sinks import FIXED_SHEETS
 
 
@@ -96,14 +98,10 @@ def sheet_names(names: DataFrame) -> DataFrame:
 
 def sheet_order(sheets: DataFrame, decks: DataFrame) -> DataFrame:
     """(sheet, place): fixed sheets, then sheets in the order of ``decks`` (deck, ord) by their best match
-    (equal, then prefix, then contained), then the rest. Both sides are a workbook's sheets: few rows."""
-    s, d = F.lower("sheet"), F.lower("deck")
-    kind = F.when(F.col("sheet") == F.col("deck"), 0).when(F.startswith(d, s) | F.startswith(s, d), 1).when(F.contains(s, d) | F.contains(d, s), 2)
+    (equal, then prefix, then contained; see ``names.best_match``), then the rest."""
     fixed = F.col("sheet").isin(*FIXED_SHEETS)
-    met = sheets.where(~fixed).join(F.broadcast(decks), kind.isNotNull()).withColumn("kind", kind)
-    best = met.groupBy("sheet").agg(F.min(F.struct("kind", "ord")).alias("m")).select("sheet", F.col("m.ord").alias("ord"))
-    rows = sheets.join(best, "sheet", "left").withColumn("grp", F.when(fixed, 0).when(F.col("ord").isNotNull(), 1).otherwise(2))
-    return rows.select("sheet", F.row_number().over(Window.orderBy("grp", "ord", "sheet")).alias("place"))
+    rows = sheets.join(best_match(sheets.where(~fixed), decks), "sheet", "left").withColumn("grp", F.when(fixed, 0).when(F.col("ord").isNotNull(), 1).otherwise(2))
+    return running(rows, [F.col("grp"), F.col("ord"), F.col("sheet")]).select("sheet", F.col("place").cast("int").alias("place"))
 
 
 def book_sheets(pairs: DataFrame, ranking: DataFrame, n_legend: int) -> DataFrame:

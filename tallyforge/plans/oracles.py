@@ -331,6 +331,18 @@ ORACLES = {
       met AS (SELECT sheet, ord, CASE WHEN sheet = deck THEN 0 WHEN starts_with(lower(deck), lower(sheet)) OR starts_with(lower(sheet), lower(deck)) THEN 1 WHEN contains(lower(sheet), lower(deck)) OR contains(lower(deck), lower(sheet)) THEN 2 END AS kind FROM sheets CROSS JOIN decks),
       best AS (SELECT sheet, arg_min(ord, kind * 1000 + ord) AS ord FROM met WHERE kind IS NOT NULL GROUP BY 1)
       SELECT sheet, (row_number() OVER (ORDER BY CASE WHEN sheet IN ('00_Legenda', '01_Summary') THEN 0 WHEN ord IS NOT NULL THEN 1 ELSE 2 END, ord, sheet))::INT AS place FROM sheets LEFT JOIN best USING (sheet)""",
+    "sheet_order_parts": """WITH d AS (SELECT p_partkey AS ord, p_name || ' ' || p_partkey AS deck FROM part),
+      sheets AS (SELECT DISTINCT CASE ord % 4 WHEN 0 THEN upper(deck) WHEN 1 THEN 'my ' || deck WHEN 2 THEN substr(deck, 3, 60) ELSE 'none ' || ord || '?' END AS sheet FROM d),
+      met AS (SELECT sheet, ord, CASE WHEN sheet = deck THEN 0 WHEN starts_with(lower(deck), lower(sheet)) OR starts_with(lower(sheet), lower(deck)) THEN 1 WHEN contains(lower(sheet), lower(deck)) OR contains(lower(deck), lower(sheet)) THEN 2 END AS kind FROM sheets CROSS JOIN d),
+      best AS (SELECT sheet, arg_min(ord, (kind, ord)) AS ord FROM met WHERE kind IS NOT NULL GROUP BY 1)
+      SELECT sheet, (row_number() OVER (ORDER BY CASE WHEN ord IS NOT NULL THEN 1 ELSE 2 END, ord, sheet))::INT AS place FROM sheets LEFT JOIN best USING (sheet)""",
+    "report_workbook": sql("""SELECT 0 AS place, '00_Legenda' AS sheet, 23 AS n_rows, 1::BIGINT AS best, 1::BIGINT AS strong UNION ALL SELECT 1, '01_Summary', count(*)::INT, 0, 0 FROM ranked
+      UNION ALL SELECT (r.rank + 1)::INT, s.a, count(*)::INT, count(*) FILTER (is_topk AND NOT is_mirror), count(*) FILTER (gap_flag = 'RED') FROM styled s JOIN ranked r ON r.deck = s.a GROUP BY r.rank, s.a"""),
+    "cache_writeback": "SELECT page_id, bool_or(page_id % 2 = 0) OVER (PARTITION BY trim(url)) AS second, TRUE AS third, length(max(html) OVER (PARTITION BY trim(url))) AS chars FROM pages",
+    "retention_applied": "SELECT 'delete' AS action, TRUE AS done, count(*) FILTER (r_regionkey % 2 = 0) AS n FROM region UNION ALL SELECT 'keep', FALSE, count(*) FROM region UNION ALL SELECT 'left', FALSE, count(*) FROM region",
+    "alias_file": "SELECT DISTINCT p_type AS canonical, unnest([p_type, p_brand]) AS spelling FROM part",
+    "pivot_strict": sql("SELECT a, " + ", ".join(f"sum(winrate) FILTER (b = '{b}') AS \"{b}\"" for b in BRANDS if b != "Brand#31") + " FROM flat GROUP BY a"),
+    "bt_without_edges": sql("SELECT deck, 50.0::DOUBLE AS bt FROM axis"),
     "matchup_url": "SELECT page_id, h || CASE WHEN ends_with(p, '/matchups') THEN p ELSE p || '/matchups' END || CASE WHEN length(q) > 1 THEN q ELSE '' END || CASE WHEN length(f) > 1 THEN f ELSE '' END AS matchup_url FROM (SELECT page_id, regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) AS h, rtrim(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '/') AS p, regexp_extract(url, '^[^?#]*(\\?[^#]*)', 1) AS q, regexp_extract(url, '(#.*)$', 1) AS f FROM pages)",
     "cache_key": "SELECT page_id, substr(sha256(url), 1, 16) AS cache_key FROM pages",
     "cache_fresh": "SELECT event_id, TIMESTAMP '2024-01-15 12:00:00' - ts < INTERVAL 720 MINUTE AS fresh FROM events",

@@ -14,12 +14,14 @@ from tallyforge.functions import scalar
 from tallyforge.operators import composite, consolidate, leagues, matrix, missing_filter, order, posterior, prior, report, strength, validate, weights
 from tallyforge.plans import book
 from tallyforge.plans import ranking as plan
-from tallyforge.sources import matchups, pages, settings, sinks, state, workbook
+from tallyforge.sources import cleaning, matchups, page_cache, pages, settings, sinks, state, workbook
 
 ALIASES = {"Brand#2": ["Brand#21", " brand#22 "], "Brand#3": ["BRAND#31"]}
 #: Of the finer names (brand and first word of the type) some pairs never meet at small scale; this share may be missing.
 MISSING_RATIO = 0.02
 FIXED = RankingConfig(fixed_k=6.0)
+#: The canonical brands.
+BRANDS = sorted(f"Brand#{i}" for i in range(1, 26) if i not in (21, 22, 31))
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -494,6 +496,25 @@ def sheet_order(spark, d):
     return report.sheet_order(sheets, brands.withColumn("ord", F.row_number().over(Window.orderBy(F.desc("deck")))))
 
 
+@query
+def sheet_order_parts(spark, d):
+    """Names of parts, cut, spelt otherwise or inside others, as sheets in the order of all names: as many as parts."""
+    part = Data(spark, d).table("part").select("p_partkey", F.concat_ws(" ", "p_name", "p_partkey").alias("deck"))
+    name, key = F.col("deck"), F.col("p_partkey")
+    sheet = F.when(key % 4 == 0, F.upper(name)).when(key % 4 == 1, F.concat(F.lit("my "), name)).when(key % 4 == 2, F.substring(name, 3, 60)).otherwise(F.concat(F.lit("none "), key.cast("string"), F.lit("?")))
+    return report.sheet_order(part.select(sheet.alias("sheet")).distinct(), part.select("deck", key.alias("ord")))
+
+
+@query
+def report_workbook(spark, d):
+    """The report of the ranking as a workbook, read back: sheets in order, their rows without the header, marked cells."""
+    r = book.settled(Data(spark, d).ranked())
+    path = f"{state.shared_home(spark)}.xlsx"
+    workbook.write(book.report_rows(r, contrib=True), path)
+    cells = workbook.read(spark, path)
+    return cells.groupBy("place", "sheet").agg(F.max("row").alias("n_rows"), F.count_if(F.col("style") == "green").alias("best"), F.count_if(F.col("style") == "red").alias("strong"))
+
+
 @query
 def summary_sheet(spark, d):
     return report.summary(ranking(spark, d))
@@ -649,6 +670,59 @@ def cached_fetch(spark, d):
     return pages.with_cache(x.table("pages").select("page_id", "url"), cache, now, 720).select("page_id", "from_cache", F.col("html").isNotNull().alias("has_html"))
 
 
+@query
+def cache_writeback(spark, d):
+    """Pages are fetched through a new cache: those with an even number first, an hour later all; then all again."""
+    site = Data(spark, d).table("pages").select("page_id", "url", "html")
+    cache = page_cache.PageCache(spark, state.shared_home(spark))
+    fetcher = lambda urls: urls.join(site.groupBy(F.trim("url").alias("url")).agg(F.max("html").alias("html")), "url")
+    hour = lambda h: F.to_timestamp(F.lit(f"2024-01-15 {h}:00:00"))
+    wanted = site.select("page_id", "url")
+    cache.fetch(wanted.where("page_id % 2 = 0"), fetcher, hour(10), 720)
+    second = cache.fetch(wanted, fetcher, hour(11), 720).select("page_id", F.col("from_cache").alias("second"))
+    third = cache.fetch(wanted, fetcher, hour(12), 720).select("page_id", F.col("from_cache").alias("third"), F.length("html").cast("bigint").alias("chars"))
+    return second.join(third, "page_id")
+
+
+@query
+def retention_applied(spark, d):
+    """Nations' customers as versioned CSV for each region, and then only the latest versions left."""
+    x = Data(spark, d)
+    home = state.shared_home(spark)
+    rows = x.table("customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("n")).join(x.table("nation"), "n_nationkey")
+    for r in x.table("region").orderBy("r_regionkey").collect():
+        sinks.write_csv_versioned(rows.where(F.col("n_regionkey") == r.r_regionkey).select("n_name", "n"), home, f"score_{r.r_regionkey}", r.r_regionkey % 2 == 0, datetime(2024, 1, 15), {"score": "scores"})
+    done = cleaning.clean(spark, home, apply=True)
+    left = cleaning.listed(spark, home).select(F.lit("left").alias("action"), F.lit(False).alias("done"))
+    return done.select("action", "done").unionByName(left).groupBy("action", "done").agg(F.count("*").alias("n"))
+
+
+@query
+def alias_file(spark, d):
+    """A type's brands as spellings of its name, kept as a JSON file and read back."""
+    part = Data(spark, d).table("part")
+    makers = part.groupBy("p_type").agg(F.collect_set("p_brand").alias("brands"))
+    path = state.shared_home(spark)
+    makers.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("p_type", "brands")))).alias("value")).coalesce(1).write.text(path)
+    return settings.read_aliases(spark, path).select("canonical", "spelling")
+
+
+@query
+def pivot_strict(spark, d):
+    """The wide win rates of cells that must occur once."""
+    return matrix.pivoted(Data(spark, d).flat, "winrate", BRANDS, strict=True)
+
+
+@query
+def bt_without_edges(spark, d):
+    """No pair has enough matches for an edge: all are of even strength."""
+    x = Data(spark, d)
+    cfg = RankingConfig(fixed_k=6.0, n_min_bt=1e9)
+    none = strength.bt_edges(x.post, 6.0, cfg)
+    soft = strength.soft_weights(none, strength.bt_diagnostics(none, x.axis, 6.0, cfg))
+    return strength.bt_percent(strength.bt_strength(soft, x.axis, cfg), none)
+
+
 @query
 def matchup_url(spark, d):
     return Data(spark, d).table("pages").select("page_id", pages.matchup_url(F.col("url")).alias("matchup_url"))

@@ -12,13 +12,18 @@ def raw_matchups(lines: DataFrame, parts: DataFrame) -> DataFrame:
     """(a, b, page, w, l, t, n): brands meet where an order has lines of both; the larger quantity wins.
 
     Pages are the years in which a's line shipped. Only a's finished lines count, so that (a, b)
-    and (b, a) may disagree, as scraped records do. One shuffle by order; the brand is joined before it.
+    and (b, a) may disagree, as scraped records do. One shuffle by order, and no self-join: an order's lines are summed
+    by brand and quantity, so that a long one is short, and its own entries are met with each other where they are.
     """
-    rows = lines.select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate", "l_linestatus").join(parts.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand")), "l_partkey")
-    ours = rows.where("l_linestatus = 'F'").select("l_orderkey", F.col("brand").alias("a"), F.col("l_quantity").alias("qa"), F.year("l_shipdate").alias("page"))
-    theirs = rows.select("l_orderkey", F.col("brand").alias("b"), F.col("l_quantity").alias("qb"))
-    met = ours.join(theirs, "l_orderkey").where("a <> b")
-    out = met.groupBy("a", "b", "page").agg(F.count_if(F.col("qa") > F.col("qb")).alias("w"), F.count_if(F.col("qa") < F.col("qb")).alias("l"), F.count_if(F.col("qa") == F.col("qb")).alias("t"))
+    rows = lines.select("l_orderkey", "l_partkey", "l_quantity", F.when(F.col("l_linestatus") == "F", F.year("l_shipdate")).alias("page"), (F.col("l_linestatus") == "F").alias("ours"))
+    rows = rows.join(parts.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand")), "l_partkey").repartition("l_orderkey")
+    lots = rows.groupBy("l_orderkey", "brand", F.col("l_quantity").alias("q"), "page", "ours").agg(F.count("*").alias("k"))
+    orders = lots.groupBy("l_orderkey").agg(F.collect_list(F.struct("brand", "q", "page", "ours", "k")).alias("all")).where(F.size("all") > 1)
+    one = orders.select("all", F.explode(F.filter("all", lambda x: x["ours"])).alias("x"))
+    met = one.select("x", F.explode("all").alias("y")).where("x.brand <> y.brand")
+    times = F.col("x.k") * F.col("y.k")
+    won = lambda test: F.coalesce(F.sum(F.when(test, times)), F.lit(0))
+    out = met.groupBy(F.col("x.brand").alias("a"), F.col("y.brand").alias("b"), F.col("x.page").alias("page")).agg(won(F.col("x.q") > F.col("y.q")).alias("w"), won(F.col("x.q") < F.col("y.q")).alias("l"), won(F.col("x.q") == F.col("y.q")).alias("t"))
     return out.withColumn("n", F.col("w") + F.col("l") + F.col("t"))
 
 

@@ -45,8 +45,8 @@ def content_hash(df: DataFrame) -> DataFrame:
 def retention(files: DataFrame, archives: bool = False) -> DataFrame:
     """``files`` (path) plus action: stamped versions go, latest ones and archives (unless asked) stay."""
     name = F.element_at(F.split("path", "/"), -1)
-    stamped, latest = F.rlike(name, F.lit(r"_\d{8}_\d{6}(\.[A-Za-z0-9]+)?$")), F.rlike(name, F.lit(r"_latest(\.[A-Za-z0-9]+)?$"))
-    kept = F.lit(False) if archives else F.rlike("path", F.lit(r"(^|/)archives/"))
+    stamped, latest = F.rlike(name, F.lit(r"_\d{8}_\d{6}(\.[A-Za-z0-9]+)?$")), F.rlike(name, F.lit(r"(?i)_latest(\.[A-Za-z0-9]+)?$"))
+    kept = F.lit(False) if archives else F.rlike("path", F.lit(r"(?i)(^|/)archives/"))
     return files.withColumn("action", F.when(stamped & ~latest & ~kept, "delete").otherwise("keep"))
 
 
