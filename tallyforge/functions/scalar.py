@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,10 +70,15 @@ def outer_key(x: Column) -> Column:
     return F.lower(F.trim(F.coalesce(x, F.lit(""))))
 
 
-@F.pandas_udf(T.StringType())
-def label_key_unicode(x: pd.Series) -> pd.Series:
+def label_key_text(label: str) -> str:
+    """NFKC, white space single, case folded."""
+    return " ".join(unicodedata.normalize("NFKC", label).split()).casefold()
+
+
+@F.arrow_udf(T.StringType())
+def label_key_unicode(x: pa.Array) -> pa.Array:
     """As ``label_key``, for all of Unicode: NFKC and case folding, which Spark has no function for."""
-    return x.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFKC", s).split()).casefold())
+    return pa.array([None if s is None else label_key_text(s) for s in x.to_pylist()], pa.string())
 
 
 def any_label_key(x: Column) -> Column:
@@ -89,7 +94,9 @@ LEAST_ARGUMENT = 10
 def log_gamma(x: Column) -> Column:
     """ln Gamma(x) for x > 0 by Stirling's series, in the JVM; NULL elsewhere. Good to about 1e-13 of its size."""
     raised = F.when(x < LEAST_ARGUMENT, x + LEAST_ARGUMENT).otherwise(x)
-    product = F.aggregate(F.sequence(F.lit(0), F.lit(LEAST_ARGUMENT - 1)), F.lit(1.0), lambda s, k: s * (x + k))
+    product = x
+    for k in range(1, LEAST_ARGUMENT):
+        product = product * (x + k)
     inverse = 1 / (raised * raised)
     series = F.lit(0.0)
     # B(2k) / (2k (2k - 1)) of Stirling's series, k from 8 to 1.

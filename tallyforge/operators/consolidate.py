@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.scalar import any_label_key as label_key
-from tallyforge.functions.scalar import count_of, win_rate, win_rate_all
+from tallyforge.functions.scalar import count_of, label_key_text, win_rate, win_rate_all
 
 REQUIRED = ("a", "b", "w", "l", "t")
 
@@ -35,13 +35,17 @@ def max_n(raw: DataFrame) -> DataFrame:
 
 
 def alias_index(spark, names: dict[str, list[str]]) -> DataFrame:
-    """(key, canonical): every spelling's key; of two canonical names that claim one, the first gets it."""
-    rows = [(i, canonical, spelling) for i, (canonical, variants) in enumerate(names.items()) for spelling in (canonical, *variants)]
-    return alias_keys(spark.createDataFrame(rows, "pos int, canonical string, spelling string"))
+    """(key, canonical): every spelling's key; of two canonical names that claim one, the first gets it. ``names`` is on the
+    driver, so the keys are worked out there."""
+    index: dict[str, str] = {}
+    for canonical, variants in names.items():
+        for spelling in (canonical, *variants):
+            index.setdefault(label_key_text(spelling), canonical)
+    return spark.createDataFrame(list(index.items()), "key string, canonical string")
 
 
 def alias_keys(spellings: DataFrame) -> DataFrame:
-    """``alias_index`` of spellings (pos, canonical, spelling)."""
+    """(key, canonical) of spellings (pos, canonical, spelling); the smallest ``pos`` wins."""
     keyed = spellings.withColumn("key", label_key(F.col("spelling")))
     return keyed.groupBy("key").agg(F.min_by("canonical", "pos").alias("canonical"))
 

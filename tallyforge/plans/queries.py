@@ -31,7 +31,7 @@ def query(f):
 
 
 class Data:
-    """The derived tables of one folder. Those after the pair table have T squared rows at most and are cached."""
+    """The derived tables of one folder. Those after the pair table have T squared rows at most; what several queries' branches read is saved once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -50,7 +50,7 @@ class Data:
     @cached_property
     def fine_axis(self) -> DataFrame:
         shares = matchups.usage_share(self.table("lineitem"), self.fine_parts)
-        return matrix.top_meta_canonical(matrix.top_meta(shares), self.aliases).select("deck", "ord").cache()
+        return state.saved(matrix.top_meta_canonical(matrix.top_meta(shares), self.aliases).select("deck", "ord"))
 
     @property
     def shares(self) -> DataFrame:
@@ -62,11 +62,11 @@ class Data:
 
     @cached_property
     def flat(self) -> DataFrame:
-        return consolidate.flat_table(consolidate.max_n(self.raw), self.aliases).cache()
+        return state.saved(consolidate.flat_table(consolidate.max_n(self.raw), self.aliases))
 
     @cached_property
     def canonical(self) -> DataFrame:
-        return matrix.top_meta_canonical(matrix.top_meta(self.shares), self.aliases).cache()
+        return state.saved(matrix.top_meta_canonical(matrix.top_meta(self.shares), self.aliases))
 
     @property
     def axis(self) -> DataFrame:
@@ -74,11 +74,11 @@ class Data:
 
     @cached_property
     def cells(self) -> DataFrame:
-        return matrix.matrices(self.flat, self.axis).cache()
+        return state.saved(matrix.matrices(self.flat, self.axis))
 
     @cached_property
     def fine_flat(self) -> DataFrame:
-        return consolidate.flat_table(consolidate.max_n(matchups.raw_matchups(self.table("lineitem"), self.fine_parts)), self.aliases).cache()
+        return state.saved(consolidate.flat_table(consolidate.max_n(matchups.raw_matchups(self.table("lineitem"), self.fine_parts)), self.aliases))
 
     @property
     def declared(self) -> DataFrame:
@@ -92,7 +92,7 @@ class Data:
         return weights.meta_share(self.axis, self.declared, self.encounters, policy)
 
     def blend(self, cfg: RankingConfig = FIXED) -> DataFrame:
-        return weights.blend(self.meta(cfg.gap_policy), self.encounters, cfg).cache()
+        return state.saved(weights.blend(self.meta(cfg.gap_policy), self.encounters, cfg))
 
     @cached_property
     def post(self) -> DataFrame:
@@ -100,7 +100,7 @@ class Data:
 
     @cached_property
     def edges(self) -> DataFrame:
-        return strength.bt_edges(self.post, FIXED.fixed_k, FIXED).cache()
+        return state.saved(strength.bt_edges(self.post, FIXED.fixed_k, FIXED))
 
     def ranked(self, cfg: RankingConfig = FIXED) -> plan.Ranking:
         return plan.rank_entities(consolidate.score_table(self.flat, self.axis), self.axis, self.declared, cfg)
@@ -364,7 +364,7 @@ class Regions:
         where = x.table("customer").join(x.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(x.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("c_custkey").alias("o_custkey"), F.col("r_name").alias("league"))
         orders = x.table("orders").select("o_orderkey", "o_custkey").join(where, "o_custkey")
         lines = x.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.format_string("S%06d", "l_suppkey").alias("deck"), F.col("l_quantity").alias("value"))
-        self.pairs = matchups.league_matchups(lines.join(orders, "o_orderkey").withColumnRenamed("o_orderkey", "event")).cache()
+        self.pairs = state.saved(matchups.league_matchups(lines.join(orders, "o_orderkey").withColumnRenamed("o_orderkey", "event")))
         self.axis = self.pairs.select("league", F.explode(F.array("a", "b")).alias("deck")).distinct()
 
     def both(self) -> DataFrame:

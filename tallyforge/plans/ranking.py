@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.config import RankingConfig
 from tallyforge.operators import composite, consolidate, matrix, missing_filter, posterior, prior, strength, weights
+from tallyforge.sources.state import saved
 
 
 @dataclass
@@ -31,20 +32,20 @@ def kept_axis(flat: DataFrame, axis: DataFrame, cfg: RankingConfig) -> DataFrame
 def rank_entities(score: DataFrame, axis: DataFrame, declared: DataFrame | None, cfg: RankingConfig) -> Ranking:
     """Ranks the entities of ``axis`` (deck, ord) by the symmetric records ``score``.
 
-    Cells, posterior, weights and edges have T squared rows at most and feed several branches: cached.
+    Cells, posterior, weights and edges have T squared rows at most and feed several branches: saved, so that no plan holds another's and a lost executor costs nothing.
     """
-    axis = axis.cache()
+    axis = saved(axis)
     if axis.isEmpty():
         raise ValueError("no entity to rank")
-    cells = matrix.matrices(score, axis).cache()
+    cells = saved(matrix.matrices(score, axis))
     k = prior.choose_k(cells, cfg)
-    post = posterior.posterior_cells(cells, k["k_used"], cfg.mu).cache()
+    post = saved(posterior.posterior_cells(cells, k["k_used"], cfg.mu))
     enc = weights.encounter_share(cells)
-    mixed = weights.blend(weights.meta_share(axis, declared, enc, cfg.gap_policy), enc, cfg).cache()
+    mixed = saved(weights.blend(weights.meta_share(axis, declared, enc, cfg.gap_policy), enc, cfg))
     mean = posterior.mas_se_lb(post, mixed, cfg.z_penalty)
-    edges = strength.bt_edges(post, k["k_used"], cfg).cache()
+    edges = saved(strength.bt_edges(post, k["k_used"], cfg))
     diagnostics = strength.bt_diagnostics(edges, axis, k["k_used"], cfg)
-    solved = strength.bt_strength(strength.soft_weights(edges, diagnostics), axis, cfg).cache()
+    solved = saved(strength.bt_strength(strength.soft_weights(edges, diagnostics), axis, cfg))
     scores = composite.composite(mean.join(strength.bt_percent(solved, edges), "deck"), cfg.alpha)
     return Ranking(composite.ranked(scores, composite.coverage(cells)), cells, post, mixed, edges, diagnostics, k)
 
@@ -55,9 +56,9 @@ def axis_of(canonical: DataFrame) -> DataFrame:
 
 def records_to_score(raw: DataFrame, shares: DataFrame, aliases: DataFrame | None, cfg: RankingConfig):
     """(score, kept axis, canonical shares)."""
-    flat = consolidate.flat_table(consolidate.max_n(raw), aliases).cache()
+    flat = saved(consolidate.flat_table(consolidate.max_n(raw), aliases))
     canonical = matrix.top_meta_canonical(matrix.top_meta(shares, cfg.share_threshold), aliases)
-    kept = kept_axis(flat, axis_of(canonical), cfg).cache()
+    kept = saved(kept_axis(flat, axis_of(canonical), cfg))
     if kept.isEmpty():
         raise ValueError("no entity has a share and enough records")
     return consolidate.score_table(flat, kept), kept, canonical
