@@ -81,6 +81,18 @@ def label_key_unicode(x: pa.Array) -> pa.Array:
     return pa.array([None if s is None else label_key_text(s) for s in x.to_pylist()], pa.string())
 
 
+@F.arrow_udf(T.StringType())
+def outer_key_unicode(x: pa.Array) -> pa.Array:
+    """As ``outer_key``, for all of Unicode."""
+    return pa.array([None if s is None else unicodedata.normalize("NFKC", s).strip().casefold() for s in x.to_pylist()], pa.string())
+
+
+def any_outer_key(x: Column) -> Column:
+    """``outer_key``; labels beyond ASCII by ``outer_key_unicode``."""
+    other = F.when(F.rlike(x, F.lit(r"[^\x00-\x7F]")), x)
+    return F.when(other.isNotNull(), outer_key_unicode(other)).otherwise(outer_key(x))
+
+
 def any_label_key(x: Column) -> Column:
     """``label_key`` of ASCII labels, in the JVM; only others go through ``label_key_unicode``."""
     other = F.when(F.rlike(x, F.lit(r"[^\x00-\x7F]")), x)

@@ -32,6 +32,16 @@ def validate_matrix(cells: DataFrame) -> DataFrame:
     return checked(m, bad)
 
 
+def validate_shape(cells: DataFrame) -> DataFrame:
+    """Both axes hold the same names, and every cell of names by names is there once."""
+    names = cells.select(F.col("a").alias("deck"), F.lit(1).alias("side")).unionByName(cells.select(F.col("b").alias("deck"), F.lit(2).alias("side")))
+    axes = names.groupBy("deck").agg(F.bit_or("side").alias("sides")).agg(F.count("*").alias("t"), F.count_if(F.col("sides") != 3).alias("one_axis"), F.count_if(F.col("deck").isNull()).alias("no_name"))
+    pairs = cells.groupBy("a", "b").agg(F.count("*").alias("n")).agg(F.count("*").alias("cells"), F.count_if(F.col("n") > 1).alias("twice"))
+    found = axes.crossJoin(pairs)  # one row each
+    rows = F.array(*[F.struct(F.lit(name).alias("check"), n.alias("n_bad")) for name, n in {"one_axis_only": F.col("one_axis"), "no_name": F.col("no_name"), "cell_missing": F.col("t") * F.col("t") - F.col("cells"), "cell_twice": F.col("twice")}.items()])
+    return found.select(F.inline(rows))
+
+
 def validate_score(score: DataFrame, axis: DataFrame) -> DataFrame:
     """No mirrors, on the axis, both directions, n = w + l + t, rates by their formula."""
     s = score.join(axis.select(F.col("deck").alias("a"), F.lit(1).alias("a_in")), "a", "left").join(axis.select(F.col("deck").alias("b"), F.lit(1).alias("b_in")), "b", "left")

@@ -303,6 +303,8 @@ ORACLES = {
     "topk_contrib": sql("SELECT a, opponent, contrib FROM styled WHERE is_topk"),
     "sheet_names": r"WITH b AS (SELECT deck, CASE WHEN c = '' THEN 'Sheet' ELSE c END AS base FROM (SELECT DISTINCT p_type || '/' || p_name AS deck, trim(substr(trim(replace(regexp_replace(p_type || '/' || p_name, '[\[\]:*?/\\]', '', 'g'), '~', '-')), 1, 31)) AS c FROM part)), n AS (SELECT *, row_number() OVER (PARTITION BY lower(base) ORDER BY deck) AS i FROM b) SELECT deck, CASE WHEN i = 1 THEN base ELSE substr(base, 1, 30 - length(i::VARCHAR)) || '~' || i END AS sheet FROM n",
     "validate_matrix": sql(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER ({c}) AS n_bad FROM cells x JOIN cells y ON x.a = y.b AND x.b = y.a" for k, c in _CHECKS.items())),
+    "validate_shape": sql("SELECT unnest(['one_axis_only', 'no_name', 'cell_missing', 'cell_twice']) AS \"check\", unnest([count(*) FILTER (a NOT IN (SELECT b FROM scells)), count(*) FILTER (a IS NULL), count(DISTINCT a) * count(DISTINCT b) - count(DISTINCT (a, b)), count(*) - count(DISTINCT (a, b))])::BIGINT AS n_bad FROM scells"),
+    "declared_usage": sql("SELECT deck, CASE WHEN deck = 'Brand#11' THEN 0 ELSE share END AS share FROM shares"),
     "validate_score": sql(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER ({c}) AS n_bad FROM score x LEFT JOIN score y ON x.a = y.b AND x.b = y.a" for k, c in _SCORE_CHECKS.items())),
     "validate_missing": sql("SELECT a, n_missing, allowed, n_missing <= allowed AS ok FROM (SELECT a, count(*) FILTER (wr IS NULL) AS n_missing, greatest(1, floor(count(*) * 0.02::DOUBLE)::BIGINT) AS allowed FROM scells WHERE a <> b GROUP BY a)"),
     "validate_coverage": sql(_checked(_COVER_CHECKS, _COVERED)),

@@ -547,6 +547,20 @@ def validate_matrix(spark, d):
     return validate.validate_matrix(Data(spark, d).cells)
 
 
+@query
+def validate_shape(spark, d):
+    x = Data(spark, d)
+    return validate.validate_shape(matrix.matrices(x.fine_flat, x.fine_axis))
+
+
+@query
+def declared_usage(spark, d):
+    """Declared shares under other names, in text, from a table with more columns."""
+    x = Data(spark, d)
+    table = x.shares.select(F.lit(1).alias("Place"), F.concat(F.lit(" "), "deck").alias("Archetype"), F.when(F.col("deck") == "Brand#11", "n/a").otherwise(F.col("share").cast("string")).alias("Usage_%"))
+    return settings.declared_shares(table)
+
+
 @query
 def validate_score(spark, d):
     x = Data(spark, d)

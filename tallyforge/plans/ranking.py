@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.config import RankingConfig
 from tallyforge.operators import composite, consolidate, matrix, missing_filter, posterior, prior, strength, weights
+from tallyforge.sources import settings
 from tallyforge.sources.state import saved
 
 
@@ -30,10 +31,13 @@ def kept_axis(flat: DataFrame, axis: DataFrame, cfg: RankingConfig) -> DataFrame
 
 
 def rank_entities(score: DataFrame, axis: DataFrame, declared: DataFrame | None, cfg: RankingConfig) -> Ranking:
-    """Ranks the entities of ``axis`` (deck, ord) by the symmetric records ``score``.
+    """Ranks the entities of ``axis`` (deck, ord) by the symmetric records ``score``. ``declared`` is (deck, share), or any table of
+    usage whose columns ``settings.declared_shares`` knows; without names or shares in it, declared shares are even.
 
     Cells, posterior, weights and edges have T squared rows at most and feed several branches: saved, so that no plan holds another's and a lost executor costs nothing.
     """
+    if declared is not None and not {"deck", "share"} <= set(declared.columns):
+        declared = settings.declared_shares(declared)
     axis = saved(axis)
     if axis.isEmpty():
         raise ValueError("no entity to rank")

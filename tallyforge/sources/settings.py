@@ -15,6 +15,7 @@ from tallyforge.config import RankingConfig
 SHARE_NAMES = ["share", "share_%", "usage_%", "share frac", "share_frac"]
 DECLARED_NAMES = ["Share_frac", "Share_%", "Usage_%", "share_%", "usage_%", "Share", "Usage", "Meta_%"]
 ENTITY_NAMES = ["deck", "archetype", "name"]
+DECLARED_ENTITIES = ["Deck", "deck", "Deck Name", "DeckName", "Name", "Archetype", "Alias"]
 
 
 def read_aliases(spark: SparkSession, path: str) -> DataFrame:
@@ -58,6 +59,17 @@ def declared_column(df: DataFrame) -> str | None:
     return next((n for n in [*DECLARED_NAMES, *numeric(df)] if n in df.columns), None)
 
 
+def declared_shares(df: DataFrame) -> DataFrame | None:
+    """(deck, share) of a table of declared shares whose columns go by other names, for a ranking; None where it has no
+    column of names or of shares. Names are trimmed and their rows summed; text that is no number counts 0."""
+    entity = next((c for c in DECLARED_ENTITIES if c in df.columns), None)
+    share = declared_column(df)
+    if entity is None or share is None:
+        return None
+    number = F.coalesce(F.col(f"`{share}`").cast("string").try_cast("double"), F.lit(0.0))
+    return df.select(F.trim(F.col(f"`{entity}`")).alias("deck"), number.alias("share")).groupBy("deck").agg(F.sum("share").alias("share"))
+
+
 def entity_and_share(df: DataFrame) -> DataFrame:
     """(deck, share) of a usage table whose columns go by other names; names are trimmed, what is no number is 0.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 def route(base: str, prefix: str, routes: dict[str, str]) -> str:
     """The folder of an output: of the longest key of ``routes`` that its name begins with, else ``base``."""
     kind = max((k for k in routes if prefix.startswith(k)), key=len, default=None)
+    if routes and kind is None:
+        warnings.warn(f"no route for {prefix!r}: it goes to {base}", stacklevel=2)
     return f"{base}/{routes[kind]}" if kind else base
 
 

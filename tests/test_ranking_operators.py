@@ -65,6 +65,35 @@ def test_counts_that_are_none(spark, x):
         one(spark, scalar.count_of(F.col("x")), x=x)
 
 
+def test_shape_of_cells(spark):
+    cells = lambda *pairs: spark.createDataFrame(pairs, "a string, b string")
+    bad = lambda df: {r.check: r.n_bad for r in validate.validate_shape(df).collect()}
+    assert not any(bad(cells(("x", "x"), ("x", "y"), ("y", "x"), ("y", "y"))).values())
+    assert bad(cells(("x", "x"), ("x", "y"), ("x", "y"), ("x", "z"))) == {"one_axis_only": 2, "no_name": 0, "cell_missing": 6, "cell_twice": 1}
+
+
+def test_outer_keys_and_declared_shares(spark):
+    assert one(spark, scalar.any_outer_key(F.col("x")), x="  Stra\u00dfe  \uff11 ") == "strasse  1" and one(spark, scalar.any_outer_key(F.col("x")), x=" A  b ") == "a  b"
+    usage = spark.createDataFrame([("skip", " One ", "12.5"), ("skip", "Two", "x"), ("skip", "One", "7")], "Rank string, Name string, `Share_%` string")
+    assert {r.deck: r.share for r in settings.declared_shares(usage).collect()} == {"One": 19.5, "Two": 0.0}
+    assert settings.declared_shares(usage.select("Rank", "Name")) is None and settings.declared_shares(usage.drop("Name")) is None
+    axis = spark.createDataFrame([("One", 1), ("Two", 2)], "deck string, ord int")
+    flat = spark.createDataFrame([("One", "Two", 7, 3, 0), ("Two", "One", 3, 7, 0)], "a string, b string, w long, l long, t long")
+    weights_of = lambda declared: {r.deck: r.p_meta for r in plan.rank_entities(flat, axis, declared, RankingConfig(fixed_k=6.0, gap_policy="none")).weights.collect()}
+    assert weights_of(usage) == {"One": 1.0, "Two": 0.0} and weights_of(usage.drop("Name")) == {"One": 0.5, "Two": 0.5}
+
+
+@pytest.mark.parametrize("name", ["half_ties", "half_ties_weight", "beta_expansions"])
+def test_settings_that_are_none_are_named(name):
+    with pytest.raises(TypeError, match=name):
+        RankingConfig.of({name: 1})
+
+
+def test_an_unknown_route_is_told():
+    with pytest.warns(UserWarning, match="no route"):
+        assert sinks.route("out", "zzz", {"score": "scores"}) == "out"
+
+
 def test_max_n_of_doubles(spark):
     r = consolidate.max_n(spark.createDataFrame([("a", "b", 3.0, 1.0, 0.0)], "a string, b string, w double, l double, t double")).first()
     assert (r.w, r.l, r.t, r.n) == (3, 1, 0, 4)
