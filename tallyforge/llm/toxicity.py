@@ -1,19 +1,22 @@
 """Toxicity by a subsequence string-kernel SVM with Nystrom landmarks.
 
 The kernel counts common subsequences of four characters in which up to two characters may be skipped
-between neighbours, each skip weighing ``DECAY``: "idiot", "i.d.i.o.t", "i--d--i--o--t" and "id-iot" share
-most of theirs. '!', '?', ';' and newline end a sentence only before white space or the text's end, so inside a
-word they don't. All marks between two bytes of words are taken out before, in training too, so any number of
-them hides nothing; what remains to be skipped is letters and white space. It compares windows of a sentence with landmark windows. Landmarks come from labelled
-sentences, half of them where characteristic subsequences of toxic documents meet. Windows of the
+between neighbours, each skip weighing ``DECAY``: "idiot" and "id-iot" share most of theirs. '!', '?', ';' and newline
+end a sentence only before white space or the text's end, so inside a word they don't. All marks between two bytes of
+words and all characters without width are taken out before, in training too, so any number of them hides nothing.
+What is spread evenly by white space, newlines or letters is found by reading the text at every second and every third
+byte, too: there it stands as a plain word. The kernel compares windows of a sentence with landmark windows. Landmarks
+come from labelled sentences, half of them where characteristic subsequences of toxic documents meet. Windows of the
 training sentences are mapped by the landmarks (k(x) K^-1/2) and a linear SVM is fitted there; a
 toxic document only says that one of its windows is toxic, so its best window is chosen anew in each
-round while all windows of clean documents stay negative. A text's score is the best window of all its sentences,
+round while all windows of clean documents stay negative. After the first round up to ``ALTERED`` of those windows are
+learnt once more with a letter put in after every third character and among bytes of clean texts, together as heavy as
+``SHARE`` of the toxic documents. A text's score is the best window of all its sentences and readings,
 through a logistic curve.
 
 A decision value is a sum over landmarks of coefficient times kernel, and the kernel a sum over
 subsequences, so it folds into one weight per subsequence (hashed to ``TABLE`` places, training
-included): each character position is scored by 27 look-ups, whatever the number of landmarks.
+included): each character position is scored by 27 look-ups a reading, whatever the number of landmarks.
 
 Training reads at most ``max_docs`` labelled documents per class, of ``max_doc_bytes`` at most,
 picked by a hash of the id. Every text is scored in full.
@@ -38,9 +41,11 @@ from tallyforge.llm.batches import LOWER, SPACE, chunks, segment_max, text_bytes
 from tallyforge.llm.shared import fewer_rows, saved
 
 MAX_DOCS, MAX_DOC_BYTES = 1500, 1 << 15
-WINDOW, DECAY, TABLE, LANDMARKS, ROUNDS = 8, 0.8, 1 << 18, 512, 4
+WINDOW, DECAY, TABLE, LANDMARKS, ROUNDS, ALTERED, SHARE = 8, 0.8, 1 << 18, 512, 4, 300, 0.5
 STEPS = [(a, b, c) for a in (1, 2, 3) for b in (1, 2, 3) for c in (1, 2, 3)]
 REACH = 9
+#: A text is also read at every second and every third byte: "i d i o t" and "ixdxixoxt" spell what they hide.
+STRIDES = (1, 2, 3)
 #: Bytes that end a sentence where white space or the text's end follows; no subsequence crosses such an end.
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in "\n!?;"]] = True
@@ -50,9 +55,41 @@ WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 MARK = ~WORD & ~SPACE
 
 
+def unseen(data: np.ndarray) -> np.ndarray:
+    """Bytes of characters without width: U+200B to U+200F, U+2060 and U+FEFF."""
+    out = np.zeros(len(data), bool)
+    if len(data) > 2:
+        a, b, c = data[:-2], data[1:-1], data[2:]
+        at = np.flatnonzero((a == 0xE2) & ((b == 0x80) & (c >= 0x8B) & (c <= 0x8F) | (b == 0x81) & (c == 0xA0)) | (a == 0xEF) & (b == 0xBB) & (c == 0xBF))
+        out[at] = out[at + 1] = out[at + 2] = True
+    return out
+
+
+def altered(rng: np.random.Generator, text: bytes) -> list[bytes]:
+    """A stretch with a letter put in after every third character, beginning at each of three."""
+    letter = bytes([int(rng.integers(97, 123))])
+    return [letter.join(text[i : i + 3] for i in range(k - 3, len(text), 3) if i > -3) for k in (1, 2, 3)]
+
+
+def amid(rng: np.random.Generator, text: np.ndarray, before: bytes, after: bytes) -> list[bytes]:
+    """A stretch among other bytes, as it is and with letters for its white space, as a spread word is read."""
+    letters = np.where(SPACE[text], rng.integers(97, 123, len(text)).astype(np.uint8), text)
+    return [before + text.tobytes() + after, before + letters.tobytes() + after]
+
+
+def strided(data: np.ndarray, offsets: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each text as ``stride`` texts: every stride-th byte, from the first, the second and so on."""
+    size = np.diff(offsets)
+    text = np.repeat(np.arange(len(size)), size)
+    lane = text * stride + (np.arange(len(data)) - offsets[text]) % stride
+    order = np.argsort(lane, kind="stable")
+    return data[order], np.concatenate([[0], np.cumsum(np.bincount(lane, minlength=len(size) * stride))])
+
+
 def joined(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The texts without the marks put between two bytes of words: "i--d!iot" becomes "idiot"."""
-    mark, other = np.flatnonzero(MARK[data]), np.flatnonzero(~MARK[data])
+    odd = MARK[data] | unseen(data)
+    mark, other = np.flatnonzero(odd), np.flatnonzero(~odd)
     after = np.searchsorted(other, mark)
     mark, after = mark[inner := (after > 0) & (after < len(other))], after[inner]
     left, right = other[after - 1], other[after]
@@ -98,7 +135,13 @@ class Model:
         return out
 
     def best(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return segment_max(window_sums(self.positions(data, offsets), offsets), offsets, -np.inf) + self.bias
+        """The best window of each text, read as it is and at each of STRIDES."""
+        out = np.full(len(offsets) - 1, -np.inf)
+        for stride in STRIDES:
+            own, cuts = strided(data, offsets, stride) if stride > 1 else (data, offsets)
+            top = segment_max(window_sums(self.positions(own, cuts), cuts), cuts, -np.inf)
+            out = np.maximum(out, top.reshape(-1, stride).max(axis=1))
+        return out + self.bias
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         data, offsets = joined(data, offsets)
@@ -122,6 +165,12 @@ def window_features(x: np.ndarray, block: np.ndarray, offsets: np.ndarray, start
     return places, weights / np.maximum(np.sqrt((weights**2).sum(axis=1, keepdims=True)), 1e-9).astype(np.float32)
 
 
+def best_starts(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the best window of each text begins; empty texts are left out."""
+    sums = window_sums(model.positions(data, offsets), offsets)
+    return np.array([a + int(sums[a:b].argmax()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) if b > a], np.int64)
+
+
 def drawn_places(rng: np.random.Generator, offsets: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
     """``n`` places drawn from all bytes of ``docs`` alike, so that a text counts by its length."""
     end = np.cumsum(np.diff(offsets)[docs])
@@ -180,7 +229,7 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model | None:
     basis = np.zeros((len(used) + 1, len(marks)), np.float32)
     np.add.at(basis, (row[places], np.arange(len(marks))[:, None]), weights)
 
-    def kernel(windows: np.ndarray) -> np.ndarray:
+    def kernel(windows: np.ndarray, x: np.ndarray = x, block: np.ndarray = block, offsets: np.ndarray = offsets) -> np.ndarray:
         out = np.zeros((len(windows), len(marks)), np.float32)
         for i in range(0, len(windows), 512):
             p, w = window_features(x, block, offsets, windows[i : i + 512])
@@ -193,11 +242,23 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model | None:
     keep = values > 1e-4 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
     hard = np.concatenate([background, hard])
-    model = None
-    for _ in range(ROUNDS):
-        mapped = np.concatenate([kernel(chosen), kernel(hard)]) @ root
-        y = np.concatenate([np.ones(len(chosen)), -np.ones(len(hard))])
-        w, bias = linear_svm(mapped, y)
+    model, extra = None, None
+    for turn in range(ROUNDS):
+        parts = [kernel(chosen), kernel(hard)]
+        if turn == 1:
+            pick = rng.permutation(chosen)[:ALTERED]
+            pieces = [v for at in pick for v in altered(rng, data[max(0, at - 2) : at + WINDOW + 4].tobytes())]
+            around = rng.choice(background, (len(pick), 2))
+            pieces += [v for at, (a, b) in zip(pick, around, strict=True) for v in amid(rng, data[at : at + WINDOW + 3], data[a : a + REACH].tobytes(), data[b : b + REACH].tobytes())]
+            extra = joined(*text_bytes(pa.array(pieces, pa.binary())))
+            extra = (*extra, *prepared(*extra))
+        if extra:
+            own = best_starts(model, *extra[:2])
+            parts.append(kernel(own, extra[2], extra[3], extra[1]))
+        mapped = np.concatenate(parts) @ root
+        y = np.concatenate([np.ones(len(chosen)), -np.ones(len(hard)), np.ones(len(parts[2]) if extra else 0)])
+        weight = np.concatenate([np.ones(len(chosen) + len(hard)), np.full(len(y) - len(chosen) - len(hard), SHARE * len(chosen) / max(1, len(y) - len(chosen) - len(hard)))])
+        w, bias = linear_svm(mapped, y, weight)
         # The norm of a window is left out of the folded weights: it is nearly the same for all.
         folded = np.zeros(TABLE, np.float32)
         folded[used] = basis[1:] @ (root @ w).astype(np.float32)
@@ -214,10 +275,10 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model | None:
     return model
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 20.0, rounds: int = 300) -> tuple[np.ndarray, float]:
+def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 20.0, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Squared-hinge SVM with balanced classes by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * c * 100
+    cost = weight * np.where(y > 0, 0.5 / weight[y > 0].sum(), 0.5 / weight[y < 0].sum()) * c * 100
     w = np.zeros(x.shape[1])
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
