@@ -80,10 +80,12 @@ def amid(rng: np.random.Generator, text: np.ndarray, before: bytes, after: bytes
 def strided(data: np.ndarray, offsets: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray]:
     """Each text as ``stride`` texts: every stride-th byte, from the first, the second and so on."""
     size = np.diff(offsets)
+    cuts = np.concatenate([[0], np.cumsum((size[:, None] - np.arange(stride) + stride - 1).ravel() // stride)])
     text = np.repeat(np.arange(len(size)), size)
-    lane = text * stride + (np.arange(len(data)) - offsets[text]) % stride
-    order = np.argsort(lane, kind="stable")
-    return data[order], np.concatenate([[0], np.cumsum(np.bincount(lane, minlength=len(size) * stride))])
+    turn, lane = np.divmod(np.arange(len(data)) - offsets[text], stride)
+    out = np.empty_like(data)
+    out[cuts[text * stride + lane] + turn] = data
+    return out, cuts
 
 
 def joined(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,9 +131,22 @@ class Model:
     shift: float
 
     def positions(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(data), np.float32)
-        for place, weight, valid in subsequences(*prepared(data, offsets)):
-            out += self.weights[place] * (np.float32(weight) * valid)
+        """The weights of the subsequences that begin at each byte: as ``subsequences`` gives them, but with shared beginnings of keys."""
+        x, block = prepared(data, offsets)
+        n = len(data)
+        first = x.astype(np.uint32)
+        second, third, fourth = first << np.uint32(8), first << np.uint32(16), first << np.uint32(24)
+        sums = {k: np.zeros(n, np.float32) for k in range(3, REACH + 1)}
+        for a in (1, 2, 3):
+            two = first[:n] | second[a : n + a]
+            for b in (1, 2, 3):
+                three = two | third[a + b : n + a + b]
+                for c in (1, 2, 3):
+                    k = a + b + c
+                    sums[k] += self.weights[((three | fourth[k : n + k]) * np.uint32(2654435761)) >> np.uint32(14)]
+        out = np.zeros(n, np.float32)
+        for k, found in sums.items():
+            out += found * (np.float32(DECAY ** (k - 3)) * (block[k : n + k] == block[:n]))
         return out
 
     def best(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
