@@ -4,18 +4,20 @@
 2. Shared tokens: each set's least-hashed quarter of shingles meets those of all other sets. A set
    that a link could reach shares more than ``shared_needed`` of them; the rest are done.
 3. Token order: rare tokens first, by exact counts over the remaining nodes. A set with more tokens of its own
-   than a link allows is done. Of the others the first ``missing + 1`` tokens are probed: two
-   linked sets share one of them.
+   than a link allows is done. Of the others the first ``missing + NEEDED`` tokens are probed: two
+   linked sets have their first ``NEEDED`` common tokens there (all of them, if they are fewer).
 4. Groups: similar nodes, those with the same min-hash. Each node goes with the most frequent of its
    min-hashes, and a group that is too large for a task is split. A group is opened at once:
    its members are compared with each other.
 5. Token-group matrix: (token, group) for the union of each group's probed tokens, with the sizes and the longest
-   remainders of its holders. Two groups that hold a token can have a link there only if
-   the shorter remainder allows an overlap of 80% of the union; groups that form one component already need none.
-6. Only pairs of groups that reach the bound are opened: the smaller one's members go to the larger one's tasks and are
-   compared exactly. A task returns each node's component there, never the pairs.
+   remainders of its holders. The tokens that two groups share are summed, each if its shorter remainder allows an
+   overlap of 80% of the union; a sum below that of any link ends the pair, and so does one component. A token
+   with many groups is met in ranges of groups, so that no task has all its pairs.
+6. The smaller group's members are the queries of the larger one: each one's overlap with the union of all the group's
+   tokens bounds its overlap with any member. Only a group that a query reaches is opened, for these queries alone,
+   which are compared exactly. A task returns each node's component there, never the pairs.
 
-Every link lies in a group or between two groups that share a probed token, so components are complete.
+Every link lies in a group or between two groups whose shared tokens reach the bound, so components are complete.
 
 Defined cases: texts with fewer than five words are one shingle; null text and text without words have
 an empty set, link with nothing and keep their own id; rows of one doc_id belong to one component whatever their
@@ -42,6 +44,8 @@ FREQUENT, SAMPLE = 0.002, 20_000
 #: Tokens and members of one group, and tokens of the partners that one task compares with it.
 GROUP_TOKENS, GROUP_DOCS, PARTNER_TOKENS = 1 << 20, 1_024, 1 << 22
 COUNT_TOKENS = 1 << 22
+#: Common tokens that two linked sets must have among those probed, and the groups of one range of a token.
+NEEDED, RANGE_GROUPS = 3, 256
 
 
 def missing(n):
@@ -49,6 +53,12 @@ def missing(n):
     return n * (100 - PERCENT) // 100
 
 
+def reach(common, n, least):
+    """Whether sets of n tokens, that share at most ``common`` of them with any set of a group, can link with
+    one, if none there has fewer than ``least``."""
+    return (common * 100 >= n * PERCENT) & (common * (100 + PERCENT) >= (n + least) * PERCENT)
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(token hashes, first): text i has the distinct, ascending tokens first[i]:first[i + 1]."""
     start, end, first = words(data, offsets)
@@ -202,7 +212,7 @@ def probes(sets: DataFrame, counts: DataFrame, often: np.ndarray) -> DataFrame:
             order = np.lexsort((token, met_by, row))
             token, met_by, place = token[order], met_by[order], np.arange(len(row)) - start[row]
             alive = np.bincount(row, met_by > 1, len(n)) >= n - missing(n)
-            keep = alive[row] & (met_by > 1) & (place <= missing(n)[row])
+            keep = alive[row] & (met_by > 1) & (place < missing(n)[row] + NEEDED)
             cuts = np.concatenate([[0], np.cumsum(np.bincount(row[keep], minlength=len(n)))])
             rows = pa.record_batch([pa.array(node), pa.array(n), batch.column(3), split(token[keep], cuts, pa.int64()), split((n[row] - place)[keep], cuts, pa.int64())], ["node", "n", "least", "token", "rest"])
             yield rows.filter(pa.array(alive))
@@ -278,16 +288,27 @@ def joined_nodes(a: list[tuple[int, np.ndarray]], b: list[tuple[int, np.ndarray]
     return node[moved], node[label[moved]]
 
 
+def reaching(members: list[tuple[int, np.ndarray]], queries: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray]]:
+    """The queries whose overlap with the union of the members' tokens allows a link with a member."""
+    union = np.unique(np.concatenate([m[1] for m in members]))
+    size = np.array([len(q[1]) for q in queries])
+    token = np.concatenate([q[1] for q in queries])
+    held = union[np.minimum(np.searchsorted(union, token), len(union) - 1)] == token
+    common = np.bincount(np.repeat(np.arange(len(queries)), size), held, len(queries))
+    return [queries[i] for i in np.flatnonzero(reach(common, size, min(len(m[1]) for m in members)))]
+
+
 def opened(rows: DataFrame) -> DataFrame:
     """(a, b): nodes that links in the opened groups join. ``rows``: (grp, guest, node, tokens); members
-    of a group are compared with its guests, or with each other where it has none."""
+    of a group are compared with those of its guests that reach its union, or with each other where it has none."""
 
     def run(batches):
         name, sides, held, begun = None, ([], []), 0, False
 
         def out():
-            if sides[1] or len(sides[0]) > 1 and not begun:
-                a, b = joined_nodes(sides[0], sides[1] or None)
+            some = reaching(*sides) if sides[1] and sides[0] else []
+            if some or not sides[1] and len(sides[0]) > 1 and not begun:
+                a, b = joined_nodes(sides[0], some or None)
                 if len(a):
                     yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -313,17 +334,25 @@ def opened(rows: DataFrame) -> DataFrame:
 
 def met_groups(found: DataFrame, member: DataFrame, comp: DataFrame) -> DataFrame:
     """(grp, other): pairs of groups that may have a link, from the token-group matrix."""
-    whole = member.join(comp, "node", "left").groupBy("grp").agg(F.sum("n").alias("tokens"), F.min(F.coalesce("comp", "node")).alias("low"), F.max(F.coalesce("comp", "node")).alias("high"))
-    whole = whole.select("grp", "tokens", F.when(F.col("low") == F.col("high"), F.col("low")).alias("one"))
+    whole = member.join(comp, "node", "left").groupBy("grp").agg(F.sum("n").alias("tokens"), F.min("n").alias("small"), F.min(F.coalesce("comp", "node")).alias("low"), F.max(F.coalesce("comp", "node")).alias("high"))
+    whole = whole.select("grp", "tokens", "small", F.when(F.col("low") == F.col("high"), F.col("low")).alias("one"))
     held = found.select("node", "n", F.explode(F.arrays_zip("token", "rest")).alias("p")).select("node", "n", "p.*").join(member.select("node", "grp"), "node")
-    matrix = held.groupBy("token", "grp").agg(F.max("rest").alias("rest"), F.min("n").alias("least"), F.max("n").alias("most"))
-    matrix = matrix.join(whole, "grp")
-    left, right = (matrix.select("token", *(F.col(c).alias(c + side) for c in matrix.columns if c != "token")) for side in "ab")
-    rest = F.least("resta", "restb")
+    matrix = saved(held.groupBy("token", "grp").agg(F.max("rest").alias("rest"), F.min("n").alias("least"), F.max("n").alias("most")).join(whole, "grp"))
+    # A token of many groups has ranges of them; each pair of ranges is a key of the join.
+    wide = matrix.groupBy("token").count().where(F.col("count") > RANGE_GROUPS).select("token", F.ceil(F.col("count") / RANGE_GROUPS).alias("ranges"))
+    matrix = matrix.join(wide, "token", "left").withColumn("ranges", F.coalesce("ranges", F.lit(1).cast("long")))
+    own, other = F.pmod(F.xxhash64("grp", F.lit("range")), F.col("ranges")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ranges") - 1))
+    names = [c for c in matrix.columns if c not in ("token", "ranges")]
+    left = matrix.select("token", own.alias("x"), other.alias("y"), *(F.col(c).alias(c + "a") for c in names))
+    right = matrix.select("token", other.alias("x"), own.alias("y"), *(F.col(c).alias(c + "b") for c in names))
+    # Up to NEEDED - 1 common tokens of a link come before a token whose remainder is looked at.
+    rest = F.least("resta", "restb") + NEEDED - 1
     near = (F.col("mosta") * 100 >= F.col("leastb") * PERCENT) & (F.col("mostb") * 100 >= F.col("leasta") * PERCENT) & (rest * (100 + PERCENT) >= (F.col("leasta") + F.col("leastb")) * PERCENT)
-    pairs = left.join(right, "token").where(F.col("grpa") < F.col("grpb")).where(near).where(F.coalesce(F.col("onea") != F.col("oneb"), F.lit(True)))
+    met_at = left.join(right, ["token", "x", "y"]).where(F.col("grpa") < F.col("grpb")).where(near).where(F.coalesce(F.col("onea") != F.col("oneb"), F.lit(True)))
+    both = F.greatest("smalla", "smallb")
+    pairs = met_at.groupBy("grpa", "grpb", "tokensa", "tokensb", "smalla", "smallb").count().where(F.col("count") >= F.least(F.lit(NEEDED), F.ceil(both * PERCENT / 100)))
     larger = F.col("tokensa") >= F.col("tokensb")
-    return pairs.select(F.when(larger, F.col("grpa")).otherwise(F.col("grpb")).alias("grp"), F.when(larger, F.col("grpb")).otherwise(F.col("grpa")).alias("other")).distinct()
+    return pairs.select(F.when(larger, F.col("grpa")).otherwise(F.col("grpb")).alias("grp"), F.when(larger, F.col("grpb")).otherwise(F.col("grpa")).alias("other"))
 
 
 def guests(pairs: DataFrame, member: DataFrame) -> DataFrame:

@@ -127,6 +127,43 @@ def test_group_bound_opens_other_groups(spark, monkeypatch, corpus):
     assert len({c for _, _, c in want}) < len(want)
 
 
+def test_overlap_bound_of_groups():
+    """A query that shares tokens with a group is left out unless its overlap with the union reaches a link's."""
+    rng = np.random.default_rng(2)
+    rejected = 0
+    for _ in range(200):
+        base = rng.choice(10_000, 60, replace=False)
+        near = lambda k: np.unique(np.concatenate([base[rng.permutation(60)[: 60 - k]], rng.choice(10_000, k)]))
+        members = [(i, near(rng.integers(0, 6))) for i in range(rng.integers(1, 5))]
+        queries = [(100 + i, near(rng.integers(0, 50))) for i in range(6)]
+        kept = {q for q, _ in ngram_jaccard.reaching(members, queries)}
+        for q, s in queries:
+            shared = [len(np.intersect1d(s, m)) for _, m in members]
+            linked = any(100 * c >= 80 * (len(s) + len(m) - c) for c, (_, m) in zip(shared, members, strict=True))
+            assert not linked or q in kept
+            rejected += max(shared) > 0 and q not in kept
+    assert rejected > 300
+
+
+def test_matrix_needs_the_sum(spark, monkeypatch):
+    """Groups that share one probed token are no pair; those that share three are one, met in one of the ranges."""
+    monkeypatch.setattr(ngram_jaccard, "RANGE_GROUPS", 2)
+    probes = [(i, 20, [1000 + i, 5, *(range(10, 13) if i < 2 else [2000 + i, 3000 + i])], [20, 19, 18, 17, 16]) for i in range(9)]
+    found = spark.createDataFrame(probes, "node long, n long, token array<long>, rest array<long>")
+    member = found.select("node", "n", F.col("node").alias("grp"))
+    comp = spark.createDataFrame([], "node long, comp long")
+    assert [set(r) for r in ngram_jaccard.met_groups(found, member, comp).collect()] == [{0, 1}]
+    short = spark.createDataFrame([(1, 1, [5], [1]), (2, 1, [5], [1]), (3, 9, [5], [9])], "node long, n long, token array<long>, rest array<long>")
+    assert [set(r) for r in ngram_jaccard.met_groups(short, short.select("node", "n", F.col("node").alias("grp")), comp).collect()] == [{1, 2}]
+
+
+def test_ranges_of_a_token_lose_no_link(spark, monkeypatch, corpus):
+    want = sorted(map(tuple, ngram_jaccard.near_groups(frame(spark, corpus)).collect()))
+    monkeypatch.setattr(ngram_jaccard, "RANGE_GROUPS", 1)
+    monkeypatch.setattr(ngram_jaccard, "similar_groups", lambda found: found.select("node", "n", F.col("node").alias("grp")))
+    assert sorted(map(tuple, ngram_jaccard.near_groups(frame(spark, corpus)).collect())) == want
+
+
 def test_leaks(spark):
     rng = random.Random(3)
     items = [(i, prose(rng, 30)) for i in range(5)] + [(9, "too short"), (10, None)]
