@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 import uuid
+from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators.strength import bt_strength
-from tallyforge.sources.state import configured, saved, shared_home
+from tallyforge.sources.state import configured, dealt, saved, shared_home
 
 #: Edges that one task takes (three doubles and two places each).
 BLOCK_EDGES = 2_000_000
@@ -160,50 +162,131 @@ def kept_in_tasks(known: DataFrame, axis: DataFrame) -> DataFrame:
     return axis.join(found, "node").select("league", "node", (F.col("step") + F.col("before")).alias("dropped_round"))
 
 
-def kept_entities(known: DataFrame, axis: DataFrame, max_ratio: float = 0.15, min_allowed: int = 1, ceil: bool = False, block_edges: int = BLOCK_EDGES) -> DataFrame:
+def peel_lowest(nodes: np.ndarray, known: np.ndarray, ready: np.ndarray, x: np.ndarray, y: np.ndarray, allowed: int, step: int) -> tuple[np.ndarray, np.ndarray, int, bool]:
+    """(rounds, known, step, ended): ``peel`` over the cells of the columns ``ready`` only, for as many rounds as they decide.
+
+    ``nodes``: all that are left of a league, ascending, with their ``known`` cells; ``x``, ``y``: every cell of the columns of
+    ``ready`` nodes. It stops before the first round in which another node would go; ``rounds`` is 0 for nodes that stay.
+    """
+    row, column = np.searchsorted(nodes, x), np.searchsorted(nodes, y)
+    here = nodes[np.minimum(row, len(nodes) - 1)] == x
+    row, column = row[here].astype(np.int32), column[here]
+    by_column = np.argsort(column, kind="stable")
+    row, first = row[by_column], np.concatenate([[0], np.cumsum(np.bincount(column, minlength=len(nodes)))])
+    gone, rounds, known = np.iinfo(np.int64).max, np.zeros(len(nodes), np.int64), known.copy()
+    waiting, left, ended = known.copy(), len(nodes), False
+    while True:
+        least = waiting.min(initial=gone)
+        if left <= 2 or left - 1 - least <= allowed:
+            ended = True
+            break
+        out = np.flatnonzero(waiting == least)
+        if not ready[out].all():
+            break
+        step += 1
+        left -= len(out)
+        rounds[out], waiting[out] = step, gone
+        lost = np.concatenate([row[first[i]:first[i + 1]] for i in out])
+        lost = lost[waiting[lost] < gone]
+        np.subtract.at(waiting, lost, 1)
+    return rounds, np.where(rounds == 0, waiting, known), step, ended
+
+
+def peeled_in_tasks(cells: DataFrame, alive: DataFrame) -> DataFrame:
+    """``alive`` (STATE, ready) after the rounds that its ready nodes decide, a task for each league."""
+
+    def run(rows: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node")
+        x, y = (pairs[c].to_numpy(np.int64) for c in ("x", "y"))
+        known, ready = rows["known"].to_numpy(np.int64), rows["ready"].to_numpy(bool)
+        rounds, known, step, ended = peel_lowest(rows["node"].to_numpy(np.int64), known, ready, x, y, int(rows["allowed"].iloc[0]), int(rows["before"].iloc[0]))
+        dropped = pd.Series(rounds, dtype="Int64").where(rounds > 0)
+        return pd.DataFrame({"league": rows["league"].to_numpy(), "node": rows["node"].to_numpy(), "allowed": rows["allowed"].to_numpy(), "known": known, "held": rows["held"].to_numpy(), "before": step, "dropped_round": dropped.to_numpy(dtype=object), "ended": ended})
+
+    asked = alive.where("ready").select(F.col("node").alias("y"))
+    return alive.groupBy("league").cogroup(cells.join(asked, "y", "left_semi").select("league", "x", "y").groupBy("league")).applyInPandas(run, STATE)
+
+
+#: Of each entity: known cells in its row and (``held``, at most) in its column, rounds so far, the round in which it went, whether its league is settled.
+STATE = "league string, node long, allowed long, known long, held long, before long, dropped_round long, ended boolean"
+#: Cells that one task of a large league's filter takes.
+PEEL_CELLS = 8_000_000
+
+
+def lowest(levels: list, cells: int) -> int | None:
+    """The highest of ``levels`` (known, held), by rising known, up to which columns have no more than ``cells`` in sum."""
+    most, total = None, 0
+    for r in levels:
+        total += r.held
+        if total > cells:
+            break
+        most = r.known
+    return most
+
+
+def round_in_joins(cells: DataFrame, state: DataFrame, least: Column) -> DataFrame:
+    """STATE after one round, for leagues whose next round has more cells than a task takes."""
+    goes = F.col("known") == least
+    out = state.where(goes).select(F.col("node").alias("y"))
+    lost = cells.join(out, "y", "left_semi").groupBy(F.col("x").alias("node")).agg(F.count("*").alias("lost"))
+    fewer, step = F.col("known") - F.coalesce("lost", F.lit(0)), F.col("before") + 1
+    return state.join(lost, "node", "left").select("league", "node", "allowed", F.when(goes, F.col("known")).otherwise(fewer).alias("known"), "held", step.alias("before"), F.when(goes, step).alias("dropped_round"), F.lit(False).alias("ended"))
+
+
+def kept_entities(known: DataFrame, axis: DataFrame, max_ratio: float = 0.15, min_allowed: int = 1, ceil: bool = False, block_edges: int | None = None) -> DataFrame:
     """(league, deck, dropped_round) from the known cells only, so that no T squared grid is made.
 
     ``known``: (league, a, b), a row for each known cell off the diagonal; ``axis``: (league, deck). A large league is
-    peeled in joins, a job a round: those with the fewest known cells go, and only the rows that had cells of theirs
-    change. As soon as what is left fits into a task, the task goes on from there.
+    peeled in passes: the columns of those with the fewest known cells, as many as a task takes, go to one task, which
+    works out all rounds that these entities decide; as many passes as such parts of the cells. Only a round that has more cells
+    than a task takes is made in joins. Cells of rows that are gone are left behind as soon as half of them are.
     """
+    small, most = (BLOCK_EDGES, PEEL_CELLS) if block_edges is None else (block_edges, block_edges)
     nodes = numbered(axis.select(F.col("league").cast("string"), "deck"))
     at = lambda end, name: nodes.select("league", F.col("deck").alias(end), F.col("node").alias(name))
-    cells = known.where("a <> b").select(F.col("league").cast("string"), "a", "b").distinct()
-    cells = saved(cells.join(at("a", "x"), ["league", "a"]).join(at("b", "y"), ["league", "b"]).select("league", "x", "y"))
+    cells = known.where("a <> b").select(F.col("league").cast("string"), "a", "b")
+    cells = cells.join(at("a", "x"), ["league", "a"]).join(at("b", "y"), ["league", "b"]).select("league", "x", "y")
+    cells = saved(dealt(cells, known.count(), "x", "y").distinct())
     sizes = nodes.groupBy("league").agg(F.count("*").alias("n"))
     scale = F.ceil if ceil else F.floor
     allowed = F.greatest(F.lit(min_allowed), scale((F.col("n") - 1) * F.lit(max_ratio))).cast("bigint")
     ready = nodes.join(sizes.select("league", allowed.alias("allowed")), "league").select("league", "node", "allowed", F.lit(0).cast("bigint").alias("before"))
-    if not (names := large(cells, block_edges)):
+    if not (names := large(cells, small)):
         return nodes.join(kept_in_tasks(cells, ready).drop("league"), "node").select("league", "deck", "dropped_round")
     big = F.col("league").isin(names)
-    rounds = [kept_in_tasks(cells.where(~big), ready.where(~big))]
-    degree = cells.groupBy(F.col("x").alias("node")).agg(F.count("*").alias("known"))
-    state = saved(ready.where(big).join(degree, "node", "left").select("league", "node", "allowed", F.coalesce("known", F.lit(0)).alias("known"), F.lit(None).cast("bigint").alias("dropped_round")))
-    step, open_ = 0, set(names)
-    while open_:
-        facts = {r.league: r for r in state.where(F.col("league").isin(list(open_)) & F.col("dropped_round").isNull()).groupBy("league").agg(F.count("*").alias("left"), F.min("known").alias("least"), F.sum("known").alias("cells"), F.first("allowed").alias("allowed")).collect()}
-        ended = {x for x in open_ if x not in facts or facts[x].left <= 2 or facts[x].left - 1 - facts[x].least <= facts[x].allowed}
-        fits = {x for x in open_ - ended if facts[x].cells <= block_edges}
-        if fits:
-            alive = state.where(F.col("league").isin(list(fits)) & F.col("dropped_round").isNull())
-            inside = cells.where(F.col("league").isin(list(fits))).join(alive.select(F.col("node").alias("x")), "x", "left_semi").join(alive.select(F.col("node").alias("y")), "y", "left_semi").select("league", "x", "y")
-            rounds.append(kept_in_tasks(inside, alive.select("league", "node", "allowed", F.lit(step).cast("bigint").alias("before"))))
-        gone_before = F.col("league").isin(list(fits)) & F.col("dropped_round").isNotNull() | F.col("league").isin(list(ended))
-        if fits or ended:
-            rounds.append(state.where(gone_before).select("league", "node", "dropped_round"))
-        open_ -= ended | fits
-        if not open_:
+    rounds = [kept_in_tasks(cells.where(~big), ready.where(~big)).select("node", "dropped_round")]
+    count = lambda end, name: cells.groupBy(F.col(end).alias("node")).agg(F.count("*").alias(name))
+    none = lambda name: F.coalesce(name, F.lit(0)).alias(name)
+    cells, state = cells.where(big), ready.where(big).join(count("x", "known"), "node", "left").join(count("y", "held"), "node", "left")
+    state = saved(state.select("league", "node", "allowed", none("known"), none("held"), "before", F.lit(None).cast("bigint").alias("dropped_round"), F.lit(False).alias("ended")))
+    stored = None
+    while True:
+        alive = state.where(~F.col("ended") & F.col("dropped_round").isNull())
+        levels = alive.groupBy("league", "known").agg(F.sum("held").alias("held"), F.count("*").alias("n")).orderBy("league", "known").collect()
+        rounds.append(state.where(F.col("ended") | F.col("dropped_round").isNotNull()).select("node", "dropped_round"))
+        if not levels:
             break
-        step += 1
-        least = F.create_map(*[v for x in sorted(open_) for v in (F.lit(x), F.lit(facts[x].least))])
-        out = state.where(F.col("league").isin(list(open_)) & F.col("dropped_round").isNull() & (F.col("known") == least[F.col("league")])).select(F.col("node").alias("y"))
-        lost = cells.join(out, "y", "left_semi").groupBy(F.col("x").alias("node")).agg(F.count("*").alias("lost"))
-        goes = F.col("dropped_round").isNull() & (F.col("known") == least[F.col("league")])
-        here = state.where(F.col("league").isin(list(open_))).join(lost, "node", "left")
-        state = saved(here.select("league", "node", "allowed", (F.col("known") - F.coalesce("lost", F.lit(0))).alias("known"), F.when(goes, F.lit(step).cast("bigint")).otherwise(F.col("dropped_round")).alias("dropped_round")))
-    whole = rounds[0]
-    for more in rounds[1:]:
-        whole = whole.unionByName(more)
-    return nodes.join(whole.drop("league"), "node").select("league", "deck", "dropped_round")
+        of = {x: list(rows) for x, rows in groupby(levels, key=lambda r: r.league)}
+        now = sum(r.known * r.n for r in levels)
+        if stored is not None and 2 * now < stored:
+            cells = saved(cells.join(alive.select(F.col("node").alias("x")), "x", "left_semi").join(alive.select(F.col("node").alias("y")), "y", "left_semi"))
+            alive = alive.drop("held").join(count("y", "held"), "node", "left").select("league", "node", "allowed", "known", none("held"), "before", "dropped_round", "ended")
+        stored = now if stored is None or 2 * now < stored else stored
+        bound = {x: lowest(rows, most) for x, rows in of.items()}
+        by_league = lambda found: F.create_map(*[v for x, n in sorted(found.items()) for v in (F.lit(x), F.lit(n))])[F.col("league")]
+        tasks, joins = {x: n for x, n in bound.items() if n is not None}, {x: of[x][0].known for x, n in bound.items() if n is None}
+        parts = []
+        if tasks:
+            one = alive.where(F.col("league").isin(list(tasks)))
+            parts.append(peeled_in_tasks(cells.where(F.col("league").isin(list(tasks))), one.withColumn("ready", F.col("known") <= by_league(tasks))))
+        if joins:
+            ended = [x for x, least in joins.items() if (left := sum(r.n for r in of[x])) <= 2 or left - 1 - least <= of_allowed(alive, x)]
+            one = alive.where(F.col("league").isin(list(joins)))
+            over = F.col("league").isin(ended)
+            parts += [one.where(over).withColumn("ended", F.lit(True)), round_in_joins(cells, one.where(~over), by_league(joins))]
+        state = saved(reduce(DataFrame.unionByName, parts))
+    return nodes.join(reduce(DataFrame.unionByName, rounds), "node").select("league", "deck", "dropped_round")
+
+
+def of_allowed(alive: DataFrame, league: str) -> int:
+    return alive.where(F.col("league") == league).select("allowed").first()[0]

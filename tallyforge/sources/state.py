@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,6 +11,16 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows that a task of a shuffle over the raw tables takes.
+ROWS_A_TASK = 250_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in as many partitions as ``rows`` (of the whole table) need, so that a task's memory doesn't grow with the input."""
+    parts = math.ceil(rows / ROWS_A_TASK)
+    return df.repartition(parts, *keys) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)
+
+
 def shared_home(spark: SparkSession) -> str:
     """A new path in the shared folder; in local mode a temporary folder serves where none is set."""
     home = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -93,3 +93,20 @@ def test_peeling_equals_the_grid_version(spark):
     grid = {r.deck: r.dropped_round for r in missing_filter.kept_entities(matrix.matrices(both, axis)).collect()}
     one = both.withColumn("league", F.lit("all"))
     assert grid == {r.deck: r.dropped_round for r in leagues.kept_entities(one, axis.withColumn("league", F.lit("all"))).collect()} and any(grid.values())
+
+
+def test_peeling_in_passes_takes_few_jobs(spark):
+    """A league of many rounds: the tasks settle several rounds a pass, with the same rounds as in one task."""
+    rng = random.Random(8)
+    names = [f"e{i:03d}" for i in range(120)]
+    known = [("one", x, y) for i, a in enumerate(names) for b in names[i + 1:] if rng.random() < 0.3 for x, y in ((a, b), (b, a))]
+    cells, axis = spark.createDataFrame(known, "league string, a string, b string"), spark.createDataFrame([("one", x) for x in names], "league string, deck string")
+    want = {r.deck: r.dropped_round for r in leagues.kept_entities(cells, axis, 0.05).collect()}
+    passes, plain = [], leagues.peeled_in_tasks
+    leagues.peeled_in_tasks = lambda *args: passes.append(1) or plain(*args)
+    try:
+        got = {r.deck: r.dropped_round for r in leagues.kept_entities(cells, axis, 0.05, block_edges=1000).collect()}
+    finally:
+        leagues.peeled_in_tasks = plain
+    last = max(r or 0 for r in want.values())
+    assert got == want and last > 40 and 2 <= len(passes) <= last / 3
