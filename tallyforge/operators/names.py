@@ -1,51 +1,55 @@
-"""Names that are equal to, begin with or contain each other, met through an index of their grams."""
+"""Names that are equal to, begin with or contain each other, met through hashes of their stretches."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of a gram; shorter names are their own gram.
-GRAM = 3
+from tallyforge.sources.state import dealt, saved
 
+#: Names of up to so many characters are looked up whole; longer ones by a beginning whose length is one of LENGTHS.
+WHOLE = 32
+LENGTHS = [*range(WHOLE), *(WHOLE * 5**i // 4**i for i in range(40))]
+#: For each name, what its stretches (some dozens of short rows) count as in the number of partitions.
+STRETCHES = 8
 
-def grams(name: Column, size: int) -> Column:
-    """All stretches of ``size`` characters of ``name``; none if it is shorter."""
-    last = F.length(name) - size + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(name, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
 
-
-def all_grams(name: Column) -> Column:
-    """Grams of every size that a name of one's own could be asked by: 0 to GRAM characters, each once."""
-    return F.array_distinct(F.concat(F.array(F.lit("")), *[grams(name, n) for n in range(1, GRAM + 1)]))
-
-
-def own_grams(name: Column) -> Column:
-    """Grams that any longer name must hold to contain ``name``."""
-    return F.when(F.length(name) < GRAM, F.array(name)).otherwise(F.array_distinct(grams(name, GRAM)))
+def key_length(name: Column) -> Column:
+    """The largest of LENGTHS that is no longer than ``name``."""
+    n = F.length(name)
+    return F.when(n <= WHOLE, n).otherwise(F.array_max(F.filter(F.array(*[F.lit(x) for x in LENGTHS]), lambda x: x <= n)))
 
 
 def contained(short: DataFrame, long: DataFrame) -> DataFrame:
     """(short, long) of all pairs where the one name occurs in the other. ``short``, ``long``: name, lower case.
 
-    Each short name is looked up by that gram of its own which the fewest long names have; names are compared
-    only where that gram occurs.
+    Short names meet the stretches of long ones of their own length by hashes, so that work grows with the names and not
+    with how many share a gram; those that have met are compared. Only lengths that short names have are taken.
     """
-    index = long.select(F.col("name").alias("long")).distinct().withColumn("gram", F.explode(all_grams(F.col("long"))))
-    how_many = index.groupBy("gram").agg(F.count("*").alias("n"))
-    asked = short.select(F.col("name").alias("short")).distinct().withColumn("gram", F.explode(own_grams(F.col("short"))))
-    # A gram that no long name has is the rarest of all: the name is in none.
-    rarest = asked.join(how_many, "gram", "left").groupBy("short").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r")).where("r.n > 0")
-    return rarest.select("short", F.col("r.gram").alias("gram")).join(index, "gram").where(F.contains("long", F.col("short"))).select("short", "long")
+    n = short.count() + long.count()
+    asked = saved(short.select(F.col("name").alias("short")).distinct().withColumn("size", key_length(F.col("short"))))
+    held = saved(long.select(F.col("name").alias("long")).distinct().withColumn("place", F.monotonically_increasing_id()))
+    # At most one for each of LENGTHS.
+    sizes = sorted(r["size"] for r in asked.select("size").distinct().where("size is not null").collect())
+    fitting = F.filter(F.array(*[F.lit(x) for x in sizes]).cast("array<int>"), lambda x: x <= F.length("long"))
+    last = F.greatest(F.length("long") - F.col("size"), F.lit(0)) + 1
+    starts = dealt(held, n * STRETCHES, "place").select("place", "long", F.explode(fitting).alias("size")).select("place", "long", "size", F.explode(F.sequence(F.lit(1), F.when(F.col("size") == 0, F.lit(1)).otherwise(last))).alias("i"))
+    met = dealt(starts.select("place", F.xxhash64("size", F.substr("long", F.col("i"), F.col("size"))).alias("key")), n * STRETCHES, "key")
+    keys = dealt(asked.select("short", F.xxhash64("size", F.substr("short", F.lit(1), F.col("size"))).alias("key")), n * STRETCHES, "key")
+    found = dealt(met.join(keys.hint("merge"), "key").select("place", "short"), n, "place")
+    pairs = found.join(dealt(held, n, "place").hint("merge"), "place").where(F.contains("long", F.col("short")))
+    return pairs.select("short", "long").distinct()
 
 
 def best_match(sheets: DataFrame, decks: DataFrame) -> DataFrame:
     """(sheet, ord) of the best of ``decks`` (deck, ord) for each of ``sheets`` (sheet): equal, then one beginning with the other,
     then one inside the other, case aside; then the smallest ord. Sheets without a match are left out."""
-    s = sheets.select("sheet", F.lower("sheet").alias("s")).distinct()
+    n = sheets.count() + decks.count()
+    s = dealt(sheets.select("sheet", F.lower("sheet").alias("s")), n, "sheet", "s").distinct()
     d = decks.select("deck", "ord", F.lower("deck").alias("d"))
     names = lambda df, c: df.select(F.col(c).alias("name"))
     pairs = contained(names(d, "d"), names(s, "s")).toDF("d", "s").unionByName(contained(names(s, "s"), names(d, "d")).toDF("s", "d")).distinct()
-    met = pairs.join(s, "s").join(d, "d")
+    # By sort and merge: names are many, and a broadcast would hold all of them on the driver.
+    met = dealt(dealt(pairs, n, "s").join(dealt(s, n, "s").hint("merge"), "s"), n, "d").join(dealt(d, n, "d").hint("merge"), "d")
     kind = F.when(F.col("sheet") == F.col("deck"), 0).when(F.startswith("d", F.col("s")) | F.startswith("s", F.col("d")), 1).otherwise(2)
     return met.groupBy("sheet").agg(F.min(F.struct(kind.alias("kind"), "ord")).alias("m")).select("sheet", F.col("m.ord").alias("ord"))

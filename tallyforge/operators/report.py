@@ -100,7 +100,7 @@ def sheet_order(sheets: DataFrame, decks: DataFrame) -> DataFrame:
     """(sheet, place): fixed sheets, then sheets in the order of ``decks`` (deck, ord) by their best match
     (equal, then prefix, then contained; see ``names.best_match``), then the rest."""
     fixed = F.col("sheet").isin(*FIXED_SHEETS)
-    rows = sheets.join(best_match(sheets.where(~fixed), decks), "sheet", "left").withColumn("grp", F.when(fixed, 0).when(F.col("ord").isNotNull(), 1).otherwise(2))
+    rows = sheets.join(best_match(sheets.where(~fixed), decks).hint("merge"), "sheet", "left").withColumn("grp", F.when(fixed, 0).when(F.col("ord").isNotNull(), 1).otherwise(2))
     return running(rows, [F.col("grp"), F.col("ord"), F.col("sheet")]).select("sheet", F.col("place").cast("int").alias("place"))
 
 

@@ -139,3 +139,17 @@ def test_pair_records_of_a_stream(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert consolidate.max_n(spark.createDataFrame(seen, schema)).count() > 6
+
+
+def test_names_that_share_their_grams(spark):
+    """Each gram of a name occurs in a share of all names: what meets must not grow with the square; long names meet by a beginning."""
+    n = 3000
+    decks = spark.range(n).select(F.concat(F.lit("large ring "), F.col("id").cast("string")).alias("deck"), F.col("id").alias("ord"))
+    sheets = spark.range(n).select(F.concat(F.lit("my LARGE ring "), F.col("id").cast("string"), F.lit("x")).alias("sheet"))
+    got = names.best_match(sheets, decks)
+    first = lambda i: min(int(str(i)[:k]) for k in range(1, len(str(i)) + 1))
+    assert {(r.sheet, r.ord) for r in got.collect()} == {(f"my LARGE ring {i}x", first(i)) for i in range(n)}
+    text = "".join(chr(97 + i * i % 23) for i in range(90))
+    long, short = spark.createDataFrame([(text,), ("",)], "name string"), spark.createDataFrame([(text[7:60],), (text[1:34],), (text[50:],), (text[7:59] + "!",), ("",)], "name string")
+    want = {(text[7:60], text), (text[1:34], text), (text[50:], text), ("", text), ("", "")}
+    assert {(r.short, r.long) for r in names.contained(short, long).collect()} == want
