@@ -361,10 +361,11 @@ class Regions:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         x = Data(spark, sf_dir)
+        n = x.table("lineitem").count()
         where = x.table("customer").join(x.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(x.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("c_custkey").alias("o_custkey"), F.col("r_name").alias("league"))
-        orders = x.table("orders").select("o_orderkey", "o_custkey").join(where, "o_custkey")
+        orders = state.dealt(state.dealt(x.table("orders").select("o_orderkey", "o_custkey"), n, "o_custkey").join(state.dealt(where, n, "o_custkey").hint("merge"), "o_custkey"), n, "o_orderkey")
         lines = x.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.format_string("S%06d", "l_suppkey").alias("deck"), F.col("l_quantity").alias("value"))
-        self.pairs = state.saved(matchups.league_matchups(lines.join(orders, "o_orderkey").withColumnRenamed("o_orderkey", "event")))
+        self.pairs = state.saved(matchups.league_matchups(state.dealt(lines, n, "o_orderkey").join(orders.hint("merge"), "o_orderkey").withColumnRenamed("o_orderkey", "event"), n))
         self.axis = self.pairs.select("league", F.explode(F.array("a", "b")).alias("deck")).distinct()
 
     def both(self) -> DataFrame:

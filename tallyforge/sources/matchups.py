@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.sources.state import dealt
+
 FLAT = "a string, b string, w bigint, l bigint, t bigint, n bigint, winrate double"
 
 
@@ -14,9 +16,12 @@ def raw_matchups(lines: DataFrame, parts: DataFrame) -> DataFrame:
     Pages are the years in which a's line shipped. Only a's finished lines count, so that (a, b)
     and (b, a) may disagree, as scraped records do. One shuffle by order, and no self-join: an order's lines are summed
     by brand and quantity, so that a long one is short, and its own entries are met with each other where they are.
+    Shuffles have as many partitions as the lines need.
     """
+    n = lines.count()
     rows = lines.select("l_orderkey", "l_partkey", "l_quantity", F.when(F.col("l_linestatus") == "F", F.year("l_shipdate")).alias("page"), (F.col("l_linestatus") == "F").alias("ours"))
-    rows = rows.join(parts.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand")), "l_partkey").repartition("l_orderkey")
+    brands = dealt(parts.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand")), n, "l_partkey")
+    rows = dealt(dealt(rows, n, "l_partkey").join(brands.hint("merge"), "l_partkey"), n, "l_orderkey")
     lots = rows.groupBy("l_orderkey", "brand", F.col("l_quantity").alias("q"), "page", "ours").agg(F.count("*").alias("k"))
     orders = lots.groupBy("l_orderkey").agg(F.collect_list(F.struct("brand", "q", "page", "ours", "k")).alias("all")).where(F.size("all") > 1)
     one = orders.select("all", F.explode(F.filter("all", lambda x: x["ours"])).alias("x"))
@@ -27,18 +32,22 @@ def raw_matchups(lines: DataFrame, parts: DataFrame) -> DataFrame:
     return out.withColumn("n", F.col("w") + F.col("l") + F.col("t"))
 
 
-def league_matchups(rows: DataFrame) -> DataFrame:
+def league_matchups(rows: DataFrame, n: int | None = None) -> DataFrame:
     """(league, a, b, w, l, t) with a < b of ``rows`` (event, league, deck, value): entities meet in an event of their
-    league, once for each two rows of theirs, and the larger value wins. One shuffle by event."""
+    league, once for each two rows of theirs, and the larger value wins. One shuffle by event, one by pair, in as many
+    partitions as ``n`` rows (counted if not given) need."""
+    n = rows.count() if n is None else n
+    rows = dealt(rows, n, "event", "league")
     one = rows.select("event", "league", F.col("deck").alias("a"), F.col("value").alias("va"))
     other = rows.select("event", "league", F.col("deck").alias("b"), F.col("value").alias("vb"))
-    met = one.join(other, ["event", "league"]).where("a < b")
+    met = dealt(one.join(other.hint("merge"), ["event", "league"]).where("a < b"), n, "league", "a", "b")
     return met.groupBy("league", "a", "b").agg(F.count_if(F.col("va") > F.col("vb")).alias("w"), F.count_if(F.col("va") < F.col("vb")).alias("l"), F.count_if(F.col("va") == F.col("vb")).alias("t"))
 
 
 def usage_share(lines: DataFrame, parts: DataFrame) -> DataFrame:
     """(deck, share): percent of all quantity by brand."""
-    sold = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("p_brand").alias("deck")).agg(F.sum("l_quantity").alias("q"))
+    n = lines.count()
+    sold = dealt(lines.select("l_partkey", "l_quantity"), n, "l_partkey").join(dealt(parts.select("p_partkey", "p_brand"), n, "p_partkey").hint("merge"), F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("p_brand").alias("deck")).agg(F.sum("l_quantity").alias("q"))
     total = sold.agg(F.sum("q").alias("total"))
     return sold.crossJoin(F.broadcast(total)).select("deck", (F.lit(100.0) * F.col("q") / F.col("total")).alias("share"))
 
