@@ -21,7 +21,8 @@ def require(df: DataFrame, columns=REQUIRED) -> DataFrame:
 def with_counts(df: DataFrame) -> DataFrame:
     """Counts coerced to non-negative integers, names trimmed, n = w + l + t; null names dropped."""
     rows = require(df).where("a is not null and b is not null")
-    rows = rows.select(F.trim("a").alias("a"), F.trim("b").alias("b"), *[count_of(F.col(c)).alias(c) for c in "wlt"])
+    kind = dict(rows.dtypes)
+    rows = rows.select(F.trim("a").alias("a"), F.trim("b").alias("b"), *[count_of(F.col(c), kind[c]).alias(c) for c in "wlt"])
     return rows.withColumn("n", F.col("w") + F.col("l") + F.col("t"))
 
 
