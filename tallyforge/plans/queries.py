@@ -377,7 +377,9 @@ class Regions:
         """(league, a, b, n_eff, w_ij, w_ji) by the edges' usual rules, at a fixed power."""
         name = lambda c: F.concat_ws("/", "league", c).alias(c)
         n, k = F.col("w") + F.col("l"), FIXED.fixed_k
-        post = self.both().select(name("a"), name("b"), name("a").alias("a_ord"), name("b").alias("b_ord"), n.alias("n_dir"), ((F.col("w") + FIXED.mu * k) / (n + k)).alias("p_hat"))
+        # Both directions of a pair have the same matches, so the edges' rule of confidence holds before they are met as well.
+        sure = self.both().where(scalar.confidence(n, k) >= FIXED.n_min_bt / (FIXED.n_min_bt + k))
+        post = sure.select(name("a"), name("b"), name("a").alias("a_ord"), name("b").alias("b_ord"), n.alias("n_dir"), ((F.col("w") + FIXED.mu * k) / (n + k)).alias("p_hat"))
         power = self.pairs.sparkSession.createDataFrame([(1.5,)], "power double")
         soft = strength.soft_weights(strength.bt_edges(post, k, FIXED), power)
         bare = lambda c: F.substring_index(c, "/", -1).alias(c)
@@ -394,7 +396,7 @@ def league_strength(spark, d):
     """Bradley-Terry strengths of each region's suppliers."""
     x = Regions(spark, d)
     axis = x.axis.withColumn("ord", F.row_number().over(Window.partitionBy("league").orderBy("deck")))
-    return leagues.strengths(x.weights(), axis, FIXED).select("league", "deck", "pi")
+    return leagues.strengths(state.saved(x.weights()), axis, FIXED).select("league", "deck", "pi")
 
 
 @query

@@ -30,3 +30,12 @@ def test_shuffles_grow_with_the_rows(spark, few_rows):
     want = sum(a != b for o, a in rows for p, b in rows if o == p)
     assert raw.agg(F.sum("n")).first()[0] == want > 0
     assert sum(r.share for r in matchups.usage_share(lines, parts).collect()) == pytest.approx(100)
+
+
+def test_league_edges_are_sure_before_they_meet(spark):
+    """Both directions of a pair are held against the rule of confidence below their join, and again above it."""
+    from tallyforge.plans.queries import QUERIES
+
+    plan = QUERIES["league_weights"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.index("Join Inner")
+    assert plan[join:].count(">= 0.45454545454545453") >= 2
