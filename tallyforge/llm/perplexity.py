@@ -1,4 +1,4 @@
-"""Quality rules: base rules on words and lines, and a band of n-gram perplexity for each language.
+"""Quality rules: base rules on words and lines, and bands of n-gram perplexity for each language.
 
 The model is an interpolated modified Kneser-Ney model of bytes, one for each value of ``lang``. Spark counts
 the n-grams of all documents (tasks combine theirs before the shuffle); lower orders count distinct bytes to
@@ -6,14 +6,16 @@ the left, with the three discounts of the order's own counts of counts. For ever
 log2(1 / p) is kept in an array sorted by a 64-bit hash of language, order and bytes (one to one, so free of
 collisions), with a directory of the leading bits; contexts have such an array of back-off weights.
 
-The model's size is bounded by the alphabet, not by the corpus: at most 256**n n-grams a language, of which
-valid text uses few (with n = 3, a few thousand a language). It goes to all tasks; beyond MAX_NGRAMS
-it is an error.
+Two models judge. The one of order ORDER counts all occurrences; its n-grams are few (a few thousand a language).
+The one of order OTHERS_ORDER counts documents: an n-gram of d documents counts d - 1, so that no document vouches for
+its own n-grams, however often it repeats them; those of a single document are unknown to it. The size of a model is
+bounded by the alphabet, not by the corpus: at most 256**n n-grams a language, of which valid text uses few. It goes
+to all tasks; beyond MAX_NGRAMS it is an error.
 
 A document's perplexity is 2**(code length per byte). Per language, the median of the code length per byte
 and its spread (median absolute deviation as a standard deviation) over all documents that pass the base rules
 come from a histogram of STEP bits. The band of a document of b bytes is median -+ WIDTH * sqrt(spread**2 +
-v / b), v the variance of a byte's code length: short texts have a wider one.
+v / b), v the variance of a byte's code length: short texts have a wider one. A document is kept inside both bands.
 
 Defined cases: null text has no words and fails the base rules, as do all texts of fewer than LEAST_WORDS words;
 a null ``lang`` is a language of its own; no base-passing document in a language: no band, nothing to judge;
@@ -35,7 +37,7 @@ from tallyforge.llm.batches import SPACE, SpanHash, chunks, give_back, gram_hash
 from tallyforge.llm.language_id import grams
 from tallyforge.llm.shared import fewer_rows, saved
 
-ORDER, MAX_LANGUAGES, MAX_NGRAMS, TASK_NGRAMS = 3, 256, 1 << 24, 1 << 20
+ORDER, OTHERS_ORDER, MAX_LANGUAGES, MAX_NGRAMS, TASK_NGRAMS = 3, 5, 256, 1 << 24, 1 << 20
 LEAST_WORDS, WINDOW, REPEATED_PERCENT = 20, 8, 30
 STEP, WIDTH, LEAST_SPREAD = 1 / 1024, 3.0, 0.01
 #: The characters that count as symbols.
@@ -148,8 +150,16 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return own, np.bincount(place, n, len(own)).astype(np.int64)
 
 
-def count_ngrams(docs: DataFrame, languages: list[str | None], order: int) -> DataFrame:
-    """(gram, n) over all bytes of all documents; the language is in the top byte."""
+def once_a_text(gram: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """``gram`` in order, each once for every text (numbers that don't fall) that has it."""
+    order = np.argsort(gram, kind="stable")
+    gram, text = gram[order], text[order]
+    return gram[np.append(True, (gram[1:] != gram[:-1]) | (text[1:] != text[:-1]))]
+
+
+def count_ngrams(docs: DataFrame, languages: list[str | None], order: int, others: bool = False) -> DataFrame:
+    """(gram, n) over all bytes of all documents; the language is in the top byte. ``others``: n is the number of documents
+    that have the n-gram less one, and n-grams of one document are left out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -159,7 +169,8 @@ def count_ngrams(docs: DataFrame, languages: list[str | None], order: int) -> Da
             for i, j, data, offsets in chunks(*text_bytes(batch.column(0))):
                 if len(data):
                     some = offsets[:-1][offsets[1:] > offsets[:-1]]
-                    parts.append(np.unique(grams(data, some, order - 1) | np.repeat(code[i:j], np.diff(offsets)) << LANGUAGE, return_counts=True))
+                    gram = grams(data, some, order - 1) | np.repeat(code[i:j], np.diff(offsets)) << LANGUAGE
+                    parts.append(np.unique(once_a_text(gram, np.repeat(np.arange(j - i), np.diff(offsets))) if others else gram, return_counts=True))
                 if sum(len(p[0]) for p in parts) > TASK_NGRAMS:
                     parts = [merged(parts)]
                     if len(parts[0][0]) > TASK_NGRAMS // 2:
@@ -169,22 +180,25 @@ def count_ngrams(docs: DataFrame, languages: list[str | None], order: int) -> Da
         give_back()
 
     sent = fewer_rows(docs).select("text", coded(docs, languages)).mapInArrow(count, "gram long, n long")
-    return sent.groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = sent.groupBy("gram").agg(F.sum("n").alias("n"))
+    return counted.where("n > 1").withColumn("n", F.col("n") - 1) if others else counted
 
 
-def train(docs: DataFrame, order: int = ORDER) -> Model:
-    """``docs``: text, lang."""
+def train(docs: DataFrame, order: int = ORDER, others: bool = False) -> Model:
+    """``docs``: text, lang. ``others`` as in ``count_ngrams``."""
     if not 1 <= order <= 7:
         raise ValueError("order is 1 to 7")
     languages = sorted((r["lang"] for r in docs.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()), key=lambda x: (x is not None, x))
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counted = count_ngrams(docs, languages, order).limit(MAX_NGRAMS + 1).toPandas()
-    if len(counted) > MAX_NGRAMS:
+    counted = count_ngrams(docs, languages, order, others).limit(MAX_NGRAMS + 1).toArrow()
+    if counted.num_rows > MAX_NGRAMS:
         raise ValueError(f"more than {MAX_NGRAMS} n-grams of {order} bytes: choose a lower order")
-    keys = counted["gram"].to_numpy(np.int64).view(np.uint64)
+    keys = counted["gram"].to_numpy().view(np.uint64)
     by_key = np.argsort(keys)
-    return build_model(languages, keys[by_key], counted["n"].to_numpy(np.int64)[by_key], order)
+    model = build_model(languages, keys[by_key], counted["n"].to_numpy()[by_key], order)
+    give_back()
+    return model
 
 
 def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -221,24 +235,26 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [np.diff(first), per_text(_WORD_CHAR[data], offsets), per_text(_SYMBOL[data], offsets), np.bincount(of[twice], minlength=docs), per_text(covered, first)]
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """SCORED for each of ``docs``: doc_id, text, lang."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+def score(docs: DataFrame, model: Model, others: Model | None = None) -> DataFrame:
+    """SCORED for each of ``docs``: doc_id, text, lang; by ``others``, a second model of the same languages, others_bits and others_squares."""
+    models = [m for m in (model, others) if m]
+    held = docs.sparkSession.sparkContext.broadcast(models)
+    schema = SCORED + ", others_bits double, others_squares double" * (len(models) - 1)
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             code = batch.column(2).to_numpy()
             for i, j, data, offsets in chunks(*text_bytes(batch.column(1))):
                 some = offsets[:-1][offsets[1:] > offsets[:-1]]
-                bits = held.value.code_lengths(data, some, np.repeat(code[i:j], np.diff(offsets))).astype(np.float64) if len(data) else np.zeros(0)
-                columns = [np.diff(offsets), per_text(bits, offsets), per_text(bits * bits, offsets), *measures(data, offsets)]
-                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), *map(pa.array, columns)], SCORED_NAMES)
+                of = np.repeat(code[i:j], np.diff(offsets))
+                found = [m.code_lengths(data, some, of).astype(np.float64) if len(data) else np.zeros(0) for m in held.value]
+                sums = [per_text(x, offsets) for bits in found for x in (bits, bits * bits)]
+                columns = [np.diff(offsets), *sums[:2], *measures(data, offsets), *sums[2:]]
+                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), *map(pa.array, columns)], names)
         give_back()
 
-    return fewer_rows(docs).select(F.col("doc_id").cast("long"), "text", coded(docs, model.languages)).mapInArrow(run, SCORED)
-
-
-SCORED_NAMES = [part.split()[0] for part in SCORED.split(", ")]
+    return fewer_rows(docs).select(F.col("doc_id").cast("long"), "text", coded(docs, model.languages)).mapInArrow(run, schema)
 
 
 def base_failed() -> Column:
@@ -251,9 +267,9 @@ def weighted_median(values: np.ndarray, weights: np.ndarray) -> float:
     return float(values[order][np.searchsorted(total, total[-1] / 2)])
 
 
-def bands(scored: DataFrame) -> DataFrame:
-    """(code, middle, spread, variance) of each language, from all documents that pass the base rules."""
-    usable = scored.where(~base_failed())
+def bands(scored: DataFrame, model: str = "") -> DataFrame:
+    """(code, middle, spread, variance) of each language, from all documents that pass the base rules; ``model``: "", or "others_"."""
+    usable = scored.where(~base_failed()).withColumns({c: F.col(model + c) for c in ("bits", "squares")})
     step = F.floor(F.col("bits") / F.col("n_bytes") / STEP)
     histogram = usable.groupBy("code", step.alias("step")).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("n_bytes", "bits", "squares")]).toPandas()
     out = []
@@ -266,13 +282,18 @@ def bands(scored: DataFrame) -> DataFrame:
     return scored.sparkSession.createDataFrame(out, "code int, middle double, spread double, variance double")
 
 
-def judge(docs: DataFrame, order: int = ORDER, width: float = WIDTH) -> DataFrame:
-    """``docs``: doc_id, text, lang. doc_id, METRICS, perplexity, its band (least, most), base_failed and kept."""
+def judge(docs: DataFrame, order: int = ORDER, width: float = WIDTH, others_order: int = OTHERS_ORDER) -> DataFrame:
+    """``docs``: doc_id, text, lang. doc_id, METRICS, perplexity, its band (least, most), the same by the model of other
+    documents (others_), base_failed and kept."""
     docs = docs.select("doc_id", "text", "lang")
-    scored = saved(score(docs, train(docs, order)))
-    rows = scored.join(F.broadcast(bands(scored)), "code", "left").withColumn("base_failed", base_failed())
-    reach = width * F.sqrt(F.col("spread") * F.col("spread") + F.try_divide("variance", "n_bytes"))
-    rate = F.try_divide("bits", "n_bytes")
-    kept = ~F.col("base_failed") & F.coalesce(F.abs(rate - F.col("middle")) <= reach, F.lit(True))
-    powers = {"perplexity": rate, "least": F.col("middle") - reach, "most": F.col("middle") + reach}
+    scored = saved(score(docs, train(docs, order), train(docs, others_order, others=True)))
+    rows, kept, powers = scored.withColumn("base_failed", base_failed()), ~F.col("base_failed"), {}
+    for model in ("", "others_"):
+        band = bands(scored, model).select("code", *[F.col(c).alias(model + c) for c in ("middle", "spread", "variance")])
+        rows = rows.join(F.broadcast(band), "code", "left")
+        middle, spread = F.col(model + "middle"), F.col(model + "spread")
+        reach = width * F.sqrt(spread * spread + F.try_divide(model + "variance", "n_bytes"))
+        rate = F.try_divide(model + "bits", "n_bytes")
+        kept = kept & F.coalesce(F.abs(rate - middle) <= reach, F.lit(True))
+        powers |= {model + "perplexity": rate, model + "least": middle - reach, model + "most": middle + reach}
     return rows.select("doc_id", *METRICS, *[F.pow(F.lit(2.0), x).alias(name) for name, x in powers.items()], "base_failed", kept.alias("kept"))

@@ -133,3 +133,34 @@ def test_empty_table_and_many_languages(spark, tmp_path):
     assert op11_perplexity(spark, str(tmp_path)).collect() == []
     with pytest.raises(ValueError, match="languages"):
         perplexity.train(spark.createDataFrame([(i, "x", f"l{i}") for i in range(300)], "doc_id long, text string, lang string"))
+
+
+def test_ngrams_count_other_documents(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [prose(rng, rng.randint(1, 60)) * rng.randint(1, 3) for _ in range(40)] + ["", None, "qqqqqqqq" * 9]
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(3)
+    having = Counter()
+    for t in filter(None, texts):
+        padded = bytes(4) + t.encode()
+        having.update({int.from_bytes(padded[i : i + 5], "big") for i in range(len(t))})
+    want = {g: n - 1 for g, n in having.items() if n > 1}
+    for most in (perplexity.TASK_NGRAMS, 50):
+        monkeypatch.setattr(perplexity, "TASK_NGRAMS", most)
+        assert {r.gram: r.n for r in perplexity.count_ngrams(docs, ["en"], 5, others=True).collect()} == want
+
+
+def test_texts_of_known_trigrams_in_unknown_order_go(spark):
+    """The fifth letter of a word follows from the other four, which three bytes can't show; in some documents it doesn't."""
+    rng = random.Random(5)
+
+    def text(sound):
+        words = []
+        for _ in range(rng.randint(90, 150)):
+            w = rng.choices(range(4), k=4)
+            words.append("".join("abcd"[x] for x in [*w, sum(w) % 4 if sound else rng.randrange(4)]))
+        return " ".join(words)
+
+    rows = [(i, text(i < 150), "en") for i in range(154)]
+    got = {r.doc_id: r for r in perplexity.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].least <= got[i].perplexity <= got[i].most and not got[i].kept for i in range(150, 154))
+    assert sum(got[i].kept for i in range(150)) >= 145
