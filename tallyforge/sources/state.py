@@ -16,9 +16,15 @@ ROWS_A_TASK = 250_000
 
 
 def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
-    """``df`` by ``keys`` in as many partitions as ``rows`` (of the whole table) need, so that a task's memory doesn't grow with the input."""
+    """``df`` by ``keys`` in as many partitions as ``rows`` (of the whole table) need, so that a task's memory doesn't grow with the input.
+
+    Adaptive execution keeps a number that is given, but joins partitions of the session's number, up to as few as there are cores.
+    """
     parts = math.ceil(rows / ROWS_A_TASK)
-    return df.repartition(parts, *keys) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)
+    if parts <= 1:
+        return df.repartition(*keys)
+    spark = df.sparkSession
+    return df.repartition(max(parts, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)), *keys)
 
 
 def shared_home(spark: SparkSession) -> str:

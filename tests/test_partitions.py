@@ -32,6 +32,17 @@ def test_shuffles_grow_with_the_rows(spark, few_rows):
     assert sum(r.share for r in matchups.usage_share(lines, parts).collect()) == pytest.approx(100)
 
 
+def test_partitions_are_not_joined_below_the_rows(spark, few_rows):
+    """Also where the session has more partitions than the rows need: adaptive execution would join them into one."""
+    df = spark.range(200)
+    with state.configured(spark, spark__sql__shuffle__partitions="200"):
+        sizes = [r["count"] for r in state.dealt(df, 200, "id").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 200
+        assert len(sizes) > 15
+        assert max(sizes) <= 30
+        assert state.dealt(df, 10, "id").rdd.getNumPartitions() == 1
+
+
 def test_league_edges_are_sure_before_they_meet(spark):
     """Both directions of a pair are held against the rule of confidence below their join, and again above it."""
     from tallyforge.plans.queries import QUERIES
