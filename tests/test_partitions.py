@@ -1,6 +1,8 @@
 """Partitions by the number of rows."""
 
+import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +45,26 @@ def test_partitions_are_not_joined_below_the_rows(spark, few_rows):
         assert state.dealt(df, 10, "id").rdd.getNumPartitions() == 1
 
 
+@pytest.mark.parametrize("name", [
+    "validate_verdict",
+])
+def test_finer_names_are_dealt_by_rows(spark, monkeypatch, name):
+    """Every shuffle of the lines and parts under the query has at least as many partitions as the lines need, given and so not joined again."""
+    from tallyforge.plans.queries import QUERIES
+
+    monkeypatch.setattr(state, "ROWS_A_TASK", 100)
+    steps = []  # the lines are read under what is saved
+    monkeypatch.setattr(state, "saved", lambda df: steps.append(df) or df)
+    d = "/root/testdata/sf0.001"
+    with state.configured(spark, spark__sql__shuffle__partitions="200"):
+        QUERIES[name](spark, d)
+        plans = "".join(df._jdf.queryExecution().executedPlan().toString() for df in steps)
+    found = re.findall(r"hashpartitioning\((l_orderkey|l_partkey|p_partkey)#\w+, (\d+)\), (\w+)", plans)
+    assert {x[0] for x in found} == {"l_orderkey", "l_partkey", "p_partkey"}
+    assert {x[2] for x in found} == {"REPARTITION_BY_NUM"}
+    assert min(int(x[1]) for x in found) >= math.ceil(spark.read.parquet(f"{d}/lineitem.parquet").count() / 100)
+
+
 def test_league_edges_are_sure_before_they_meet(spark):
     """Both directions of a pair are held against the rule of confidence below their join, and again above it."""
     from tallyforge.plans.queries import QUERIES
