@@ -48,6 +48,7 @@ def test_partitions_are_not_joined_below_the_rows(spark, few_rows):
 @pytest.mark.parametrize("name", [
     "validate_recomputed",
     "validate_score",
+    "validate_shape",
     "validate_verdict",
 ])
 def test_finer_names_are_dealt_by_rows(spark, monkeypatch, name):
