@@ -51,6 +51,7 @@ def test_partitions_are_not_joined_below_the_rows(spark, few_rows):
     "validate_shape",
     "validate_verdict",
     "missing_filter_kept",
+    "missing_pairs",
 ])
 def test_finer_names_are_dealt_by_rows(spark, monkeypatch, name):
     """Every shuffle of the lines and parts under the query has at least as many partitions as the lines need, given and so not joined again."""
