@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 from itertools import groupby
 
@@ -115,65 +116,15 @@ def strengths(weights: DataFrame, axis: DataFrame, cfg, block_edges: int = BLOCK
     return out.unionByName(strengths_by_blocks(weights.where(big), axis.where(big), cfg, block_edges)) if names else out
 
 
-def peel(known: list[int], rows_of: list[list[int]], allowed: int) -> list[int | None]:
-    """The round in which each entity goes. ``known``: known cells in its row; ``rows_of``: whose rows have a cell of it.
+def peel_lowest(nodes: np.ndarray, known: np.ndarray, ready: np.ndarray, columns: Sequence[np.ndarray | None], allowed: int, step: int) -> tuple[np.ndarray, np.ndarray, int, bool]:
+    """(rounds, known, step, ended): the rounds of the filter that ``ready`` nodes decide, and the known cells after them.
 
     All with the fewest known cells go together while (left - 1 - fewest) exceeds ``allowed`` and more than two are left.
-    Entities wait in sets by known cells, and every cell is taken off once, so this is linear in the cells.
+    ``nodes``: all that are left of a league, ascending, with their ``known`` cells; ``columns``: of ready nodes, those whose
+    rows have a cell of it (of none: None), read once, when it goes. It stops before the first round in which another node
+    would go; ``rounds`` is 0 for nodes that stay.
     """
-    left, rounds = len(known), [None] * len(known)
-    known, waiting = list(known), {}
-    for i, k in enumerate(known):
-        waiting.setdefault(k, set()).add(i)
-    step, least = 0, 0
-    while left > 2:
-        while not waiting.get(least):
-            least += 1
-        if left - 1 - least <= allowed:
-            break
-        step += 1
-        out = waiting.pop(least)
-        for i in out:
-            rounds[i] = step
-        left -= len(out)
-        for i in out:
-            for j in rows_of[i]:
-                if rounds[j] is None:
-                    waiting[known[j]].discard(j)
-                    known[j] -= 1
-                    waiting.setdefault(known[j], set()).add(j)
-                    least = min(least, known[j])
-    return rounds
-
-
-def kept_in_tasks(known: DataFrame, axis: DataFrame) -> DataFrame:
-    """(league, node, dropped_round), a task for each league. ``axis``: (league, node, allowed, before), ``known``: (league, x, y)."""
-
-    def run(decks: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
-        nodes = np.sort(decks["node"].to_numpy(np.int64))
-        x, y = (np.searchsorted(nodes, cells[c].to_numpy(np.int64)) for c in ("x", "y"))
-        rows_of = [[] for _ in nodes]
-        for i, j in zip(x.tolist(), y.tolist(), strict=True):
-            rows_of[j].append(i)
-        rounds = peel(np.bincount(x, minlength=len(nodes)).tolist(), rows_of, int(decks["allowed"].iloc[0]) if len(decks) else 0)
-        return pd.DataFrame({"node": nodes, "step": pd.array(rounds, dtype="Int64")})
-
-    found = axis.groupBy("league").cogroup(known.groupBy("league")).applyInPandas(run, "node long, step long")
-    return axis.join(found, "node").select("league", "node", (F.col("step") + F.col("before")).alias("dropped_round"))
-
-
-def peel_lowest(nodes: np.ndarray, known: np.ndarray, ready: np.ndarray, x: np.ndarray, y: np.ndarray, allowed: int, step: int) -> tuple[np.ndarray, np.ndarray, int, bool]:
-    """(rounds, known, step, ended): ``peel`` over the cells of the columns ``ready`` only, for as many rounds as they decide.
-
-    ``nodes``: all that are left of a league, ascending, with their ``known`` cells; ``x``, ``y``: every cell of the columns of
-    ``ready`` nodes. It stops before the first round in which another node would go; ``rounds`` is 0 for nodes that stay.
-    """
-    row, column = np.searchsorted(nodes, x), np.searchsorted(nodes, y)
-    here = nodes[np.minimum(row, len(nodes) - 1)] == x
-    row, column = row[here].astype(np.int32), column[here]
-    by_column = np.argsort(column, kind="stable")
-    row, first = row[by_column], np.concatenate([[0], np.cumsum(np.bincount(column, minlength=len(nodes)))])
-    gone, rounds, known = np.iinfo(np.int64).max, np.zeros(len(nodes), np.int64), known.copy()
+    gone, rounds = np.iinfo(np.int64).max, np.zeros(len(nodes), np.int64)
     waiting, left, ended = known.copy(), len(nodes), False
     while True:
         least = waiting.min(initial=gone)
@@ -186,31 +137,34 @@ def peel_lowest(nodes: np.ndarray, known: np.ndarray, ready: np.ndarray, x: np.n
         step += 1
         left -= len(out)
         rounds[out], waiting[out] = step, gone
-        lost = np.concatenate([row[first[i]:first[i + 1]] for i in out])
-        lost = lost[waiting[lost] < gone]
-        np.subtract.at(waiting, lost, 1)
+        if found := [columns[i] for i in out if columns[i] is not None]:
+            lost = np.concatenate(found)
+            at = np.minimum(np.searchsorted(nodes, lost), len(nodes) - 1)
+            at = at[(nodes[at] == lost) & (waiting[at] < gone)]
+            np.subtract.at(waiting, at, 1)
     return rounds, np.where(rounds == 0, waiting, known), step, ended
 
 
-def peeled_in_tasks(cells: DataFrame, alive: DataFrame) -> DataFrame:
-    """``alive`` (STATE, ready) after the rounds that its ready nodes decide, a task for each league."""
+def peeled_in_tasks(alive: DataFrame) -> DataFrame:
+    """STATE after the rounds that the ready nodes of ``alive`` (STATE, ready, rows: null unless ready) decide, a task for each league."""
 
-    def run(rows: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node")
-        x, y = (pairs[c].to_numpy(np.int64) for c in ("x", "y"))
+        nodes = rows["node"].to_numpy()
         known, ready = rows["known"].to_numpy(np.int64), rows["ready"].to_numpy(bool)
-        rounds, known, step, ended = peel_lowest(rows["node"].to_numpy(np.int64), known, ready, x, y, int(rows["allowed"].iloc[0]), int(rows["before"].iloc[0]))
+        rounds, known, step, ended = peel_lowest(nodes, known, ready, rows["rows"].to_numpy(), int(rows["allowed"].iloc[0]), int(rows["before"].iloc[0]))
         dropped = pd.Series(rounds, dtype="Int64").where(rounds > 0)
-        return pd.DataFrame({"league": rows["league"].to_numpy(), "node": rows["node"].to_numpy(), "allowed": rows["allowed"].to_numpy(), "known": known, "held": rows["held"].to_numpy(), "before": step, "dropped_round": dropped.to_numpy(dtype=object), "ended": ended})
+        return pd.DataFrame({"league": rows["league"].to_numpy(), "node": nodes, "allowed": rows["allowed"].to_numpy(), "known": known, "held": rows["held"].to_numpy(), "before": step, "dropped_round": dropped.to_numpy(dtype=object), "ended": ended})
 
-    asked = alive.where("ready").select(F.col("node").alias("y"))
-    return alive.groupBy("league").cogroup(cells.join(asked, "y", "left_semi").select("league", "x", "y").groupBy("league")).applyInPandas(run, STATE)
+    return alive.groupBy("league").applyInPandas(run, STATE)
 
 
-#: Of each entity: known cells in its row and (``held``, at most) in its column, rounds so far, the round in which it went, whether its league is settled.
+#: Of each entity: known cells in its row and (``held``) stored ones in its column, rounds so far, the round in which it went, whether its league is settled.
 STATE = "league string, node long, allowed long, known long, held long, before long, dropped_round long, ended boolean"
-#: Cells that one task of a large league's filter takes.
-PEEL_CELLS = 8_000_000
+#: Cells that one task of the filter takes (a number each).
+PEEL_CELLS = 32_000_000
+#: Entities whose names are sent to all tasks at once.
+SENT = 2_000_000
 
 
 def lowest(levels: list, cells: int) -> int | None:
@@ -224,68 +178,79 @@ def lowest(levels: list, cells: int) -> int | None:
     return most
 
 
-def round_in_joins(cells: DataFrame, state: DataFrame, least: Column) -> DataFrame:
+def columns_of(columns: DataFrame, asked: DataFrame, few: bool) -> DataFrame:
+    """``asked`` (STATE) with their ``rows``; where they are ``few``, the columns stay where they are."""
+    return columns.select("league", "node", "rows").join(F.broadcast(asked) if few else asked, ["league", "node"])
+
+
+def round_in_joins(columns: DataFrame, state: DataFrame, least: Column) -> DataFrame:
     """STATE after one round, for leagues whose next round has more cells than a task takes."""
     goes = F.col("known") == least
-    out = state.where(goes).select(F.col("node").alias("y"))
-    lost = cells.join(out, "y", "left_semi").groupBy(F.col("x").alias("node")).agg(F.count("*").alias("lost"))
+    out = state.where(goes).select("league", "node")
+    lost = columns.join(out, ["league", "node"], "left_semi").select("league", F.explode("rows").alias("node")).groupBy("league", "node").agg(F.count("*").alias("lost"))
     fewer, step = F.col("known") - F.coalesce("lost", F.lit(0)), F.col("before") + 1
-    return state.join(lost, "node", "left").select("league", "node", "allowed", F.when(goes, F.col("known")).otherwise(fewer).alias("known"), "held", step.alias("before"), F.when(goes, step).alias("dropped_round"), F.lit(False).alias("ended"))
+    return state.join(lost, ["league", "node"], "left").select("league", "node", "allowed", F.when(goes, F.col("known")).otherwise(fewer).alias("known"), "held", step.alias("before"), F.when(goes, step).alias("dropped_round"), F.lit(False).alias("ended"))
 
 
-def kept_entities(known: DataFrame, axis: DataFrame, max_ratio: float = 0.15, min_allowed: int = 1, ceil: bool = False, block_edges: int | None = None) -> DataFrame:
-    """(league, deck, dropped_round) from the known cells only, so that no T squared grid is made.
+def kept_of_columns(columns: DataFrame, max_ratio: float = 0.15, min_allowed: int = 1, ceil: bool = False, block_edges: int | None = None) -> DataFrame:
+    """(league, node, dropped_round) of saved ``columns`` (league, node, known, rows): a row for each entity of a league.
 
-    ``known``: (league, a, b), a row for each known cell off the diagonal; ``axis``: (league, deck). A large league is
-    peeled in passes: the columns of those with the fewest known cells, as many as a task takes, go to one task, which
-    works out all rounds that these entities decide; as many passes as such parts of the cells. Only a round that has more cells
-    than a task takes is made in joins. Cells of rows that are gone are left behind as soon as half of them are.
+    ``known``: the known cells in its row; ``rows``: those whose rows have a cell of its column, so that a cell is a number
+    in a list. A large league is peeled in passes: the columns of those with the fewest known cells, as many as a task takes,
+    go to one task, which works out all rounds that these entities decide. Only a round that has more cells than a task takes
+    is made in joins.
     """
-    small, most = (BLOCK_EDGES, PEEL_CELLS) if block_edges is None else (block_edges, block_edges)
-    nodes = numbered(axis.select(F.col("league").cast("string"), "deck"))
-    at = lambda end, name: nodes.select("league", F.col("deck").alias(end), F.col("node").alias(name))
-    cells = known.where("a <> b").select(F.col("league").cast("string"), "a", "b")
-    cells = cells.join(at("a", "x"), ["league", "a"]).join(at("b", "y"), ["league", "b"]).select("league", "x", "y")
-    cells = saved(dealt(cells, known.count(), "x", "y").distinct())
-    sizes = nodes.groupBy("league").agg(F.count("*").alias("n"))
+    most = PEEL_CELLS if block_edges is None else block_edges
+    sizes = columns.groupBy("league").agg(F.count("*").alias("n"), F.sum(F.size("rows")).alias("cells"))
     scale = F.ceil if ceil else F.floor
     allowed = F.greatest(F.lit(min_allowed), scale((F.col("n") - 1) * F.lit(max_ratio))).cast("bigint")
-    ready = nodes.join(sizes.select("league", allowed.alias("allowed")), "league").select("league", "node", "allowed", F.lit(0).cast("bigint").alias("before"))
-    if not (names := large(cells, small)):
-        return nodes.join(kept_in_tasks(cells, ready).drop("league"), "node").select("league", "deck", "dropped_round")
-    big = F.col("league").isin(names)
-    rounds = [kept_in_tasks(cells.where(~big), ready.where(~big)).select("node", "dropped_round")]
-    count = lambda end, name: cells.groupBy(F.col(end).alias("node")).agg(F.count("*").alias(name))
-    none = lambda name: F.coalesce(name, F.lit(0)).alias(name)
-    cells, state = cells.where(big), ready.where(big).join(count("x", "known"), "node", "left").join(count("y", "held"), "node", "left")
-    state = saved(state.select("league", "node", "allowed", none("known"), none("held"), "before", F.lit(None).cast("bigint").alias("dropped_round"), F.lit(False).alias("ended")))
-    stored = None
+    sizes = saved(sizes.select("league", allowed.alias("allowed"), "cells"))
+    names = [r.league for r in sizes.where(F.col("cells") > most).collect()]
+    big = F.col("league").isin(names) if names else F.lit(False)
+    start = columns.join(F.broadcast(sizes), "league").select("league", "node", "allowed", "known", F.size("rows").cast("bigint").alias("held"), F.lit(0).cast("bigint").alias("before"), F.lit(None).cast("bigint").alias("dropped_round"), F.lit(False).alias("ended"), "rows")
+    rounds = [peeled_in_tasks(start.where(~big).withColumn("ready", F.lit(True))).select("league", "node", "dropped_round")]
+    columns, state = columns.where(big), saved(start.where(big).drop("rows"))
     while True:
         alive = state.where(~F.col("ended") & F.col("dropped_round").isNull())
-        levels = alive.groupBy("league", "known").agg(F.sum("held").alias("held"), F.count("*").alias("n")).orderBy("league", "known").collect()
-        rounds.append(state.where(F.col("ended") | F.col("dropped_round").isNotNull()).select("node", "dropped_round"))
+        levels = alive.groupBy("league", "known").agg(F.sum("held").alias("held"), F.count("*").alias("n")).orderBy("league", "known").collect() if names else []
+        rounds.append(state.where(F.col("ended") | F.col("dropped_round").isNotNull()).select("league", "node", "dropped_round"))
         if not levels:
             break
         of = {x: list(rows) for x, rows in groupby(levels, key=lambda r: r.league)}
-        now = sum(r.known * r.n for r in levels)
-        if stored is not None and 2 * now < stored:
-            cells = saved(cells.join(alive.select(F.col("node").alias("x")), "x", "left_semi").join(alive.select(F.col("node").alias("y")), "y", "left_semi"))
-            alive = alive.drop("held").join(count("y", "held"), "node", "left").select("league", "node", "allowed", "known", none("held"), "before", "dropped_round", "ended")
-        stored = now if stored is None or 2 * now < stored else stored
         bound = {x: lowest(rows, most) for x, rows in of.items()}
         by_league = lambda found: F.create_map(*[v for x, n in sorted(found.items()) for v in (F.lit(x), F.lit(n))])[F.col("league")]
         tasks, joins = {x: n for x, n in bound.items() if n is not None}, {x: of[x][0].known for x, n in bound.items() if n is None}
         parts = []
         if tasks:
-            one = alive.where(F.col("league").isin(list(tasks)))
-            parts.append(peeled_in_tasks(cells.where(F.col("league").isin(list(tasks))), one.withColumn("ready", F.col("known") <= by_league(tasks))))
+            one = alive.where(F.col("league").isin(list(tasks))).withColumn("ready", F.col("known") <= by_league(tasks))
+            asked, few = F.col("ready") & (F.col("held") > 0), sum(r.n for r in levels if r.known <= tasks.get(r.league, -1)) <= SENT
+            none = F.lit(None).cast(columns.schema["rows"].dataType)
+            parts.append(peeled_in_tasks(columns_of(columns, one.where(asked), few).unionByName(one.where(~asked).withColumn("rows", none))))
         if joins:
             ended = [x for x, least in joins.items() if (left := sum(r.n for r in of[x])) <= 2 or left - 1 - least <= of_allowed(alive, x)]
             one = alive.where(F.col("league").isin(list(joins)))
             over = F.col("league").isin(ended)
-            parts += [one.where(over).withColumn("ended", F.lit(True)), round_in_joins(cells, one.where(~over), by_league(joins))]
+            parts += [one.where(over).withColumn("ended", F.lit(True)), round_in_joins(columns, one.where(~over), by_league(joins))]
         state = saved(reduce(DataFrame.unionByName, parts))
-    return nodes.join(reduce(DataFrame.unionByName, rounds), "node").select("league", "deck", "dropped_round")
+    return reduce(DataFrame.unionByName, rounds)
+
+
+def kept_entities(known: DataFrame, axis: DataFrame, max_ratio: float = 0.15, min_allowed: int = 1, ceil: bool = False, block_edges: int | None = None) -> DataFrame:
+    """(league, deck, dropped_round) from the known cells only, so that no T squared grid is made; see ``kept_of_columns``.
+
+    ``known``: (league, a, b), a row for each known cell off the diagonal; ``axis``: (league, deck).
+    """
+    nodes = numbered(axis.select(F.col("league").cast("string"), "deck"))
+    at = lambda end, name: nodes.select("league", F.col("deck").alias(end), F.col("node").alias(name))
+    cells = known.where("a <> b").select(F.col("league").cast("string"), "a", "b")
+    cells = cells.join(at("a", "x"), ["league", "a"]).join(at("b", "y"), ["league", "b"]).select("league", "x", "y")
+    cells = saved(dealt(cells, known.count(), "x", "y").distinct())
+    rows = cells.groupBy("league", F.col("y").alias("node")).agg(F.collect_list("x").alias("rows"))
+    counts = cells.groupBy("league", F.col("x").alias("node")).agg(F.count("*").alias("known"))
+    empty = F.array().cast("array<bigint>")
+    columns = nodes.join(counts, ["league", "node"], "left").join(rows, ["league", "node"], "left").select("league", "node", F.coalesce("known", F.lit(0)).alias("known"), F.coalesce("rows", empty).alias("rows"))
+    kept = kept_of_columns(saved(columns), max_ratio, min_allowed, ceil, block_edges)
+    return nodes.join(kept, ["league", "node"]).select("league", "deck", "dropped_round")
 
 
 def of_allowed(alive: DataFrame, league: str) -> int:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyforge.config import RankingConfig
@@ -360,13 +361,35 @@ class Regions:
     """Suppliers meet in the orders of one region's customers: a league for each region."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        x = Data(spark, sf_dir)
-        n = x.table("lineitem").count()
+        self.x = Data(spark, sf_dir)
+        self.n = self.x.table("lineitem").count()
+
+    def lines(self, deck: Column, how: str = "merge") -> DataFrame:
+        """(event, league, deck, value) of each line, by event."""
+        x, n = self.x, self.n
         where = x.table("customer").join(x.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(x.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("c_custkey").alias("o_custkey"), F.col("r_name").alias("league"))
-        orders = state.dealt(state.dealt(x.table("orders").select("o_orderkey", "o_custkey"), n, "o_custkey").join(state.dealt(where, n, "o_custkey").hint("merge"), "o_custkey"), n, "o_orderkey")
-        lines = x.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.format_string("S%06d", "l_suppkey").alias("deck"), F.col("l_quantity").alias("value"))
-        self.pairs = state.saved(matchups.league_matchups(state.dealt(lines, n, "o_orderkey").join(orders.hint("merge"), "o_orderkey").withColumnRenamed("o_orderkey", "event"), n))
-        self.axis = self.pairs.select("league", F.explode(F.array("a", "b")).alias("deck")).distinct()
+        orders = state.dealt(state.dealt(x.table("orders").select(F.col("o_orderkey").alias("event"), "o_custkey"), n, "o_custkey").join(state.dealt(where, n, "o_custkey").hint(how), "o_custkey").select("event", "league"), n, "event")
+        lines = x.table("lineitem").select(F.col("l_orderkey").alias("event"), deck, F.col("l_quantity").alias("value"))
+        return state.dealt(lines, n, "event").join(orders.hint(how), "event")
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return state.saved(matchups.league_matchups(self.lines(F.format_string("S%06d", "l_suppkey").alias("deck")), self.n))
+
+    @property
+    def axis(self) -> DataFrame:
+        return self.pairs.select("league", F.explode(F.array("a", "b")).alias("deck")).distinct()
+
+    @property
+    def columns(self) -> DataFrame:
+        """(league, node, known, rows) for the filter, suppliers by their keys; a pair's two cells are known together."""
+        by = self.x.table("lineitem").where("l_suppkey IS NOT NULL").groupBy("l_suppkey").agg(F.count("*").alias("n"))
+        many = F.collect_list(F.when(F.col("n") > state.ROWS_A_TASK, F.struct("l_suppkey", "n")))
+        low, high, often = by.agg(F.min("l_suppkey"), F.max("l_suppkey"), many).first()
+        node = F.col("l_suppkey").cast("int" if low is not None and -(2**31) <= low and high < 2**31 else "bigint").alias("node")
+        lines = self.lines(node, "shuffle_hash").where("node IS NOT NULL")
+        met = matchups.league_columns(lines, self.n, {r.l_suppkey: math.ceil(r.n / state.ROWS_A_TASK) for r in often})
+        return state.saved(met.select("league", "node", F.size("rows").cast("bigint").alias("known"), "rows"))
 
     def both(self) -> DataFrame:
         """Both directions of each pair, entities named by league and name."""
@@ -402,8 +425,8 @@ def league_strength(spark, d):
 @query
 def league_filter(spark, d):
     """Of each region's suppliers, those that have met too few others go, round by round."""
-    x = Regions(spark, d)
-    return leagues.kept_entities(x.both(), x.axis, 0.05)
+    kept = leagues.kept_of_columns(Regions(spark, d).columns, 0.05)
+    return kept.select("league", F.format_string("S%06d", "node").alias("deck"), "dropped_round")
 
 
 @query

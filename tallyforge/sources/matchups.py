@@ -44,6 +44,26 @@ def league_matchups(rows: DataFrame, n: int | None = None) -> DataFrame:
     return met.groupBy("league", "a", "b").agg(F.count_if(F.col("va") > F.col("vb")).alias("w"), F.count_if(F.col("va") < F.col("vb")).alias("l"), F.count_if(F.col("va") == F.col("vb")).alias("t"))
 
 
+def league_columns(rows: DataFrame, n: int, often: dict[int, int] | None = None) -> DataFrame:
+    """(league, node, rows): of each entity that meets another in ``rows`` (event, league, node, value), those that it has met
+    with a value other than its own, once each. ``node`` is a number; ``rows`` lie by event, ``n`` in all; ``often``: of nodes
+    with more rows than a task takes, the number of slices that they need.
+
+    No self-join and no row for a pair: an event's entities are met where they are, by their least and largest values, and each
+    sends one list to its column.
+    """
+    lots = rows.groupBy("event", "league", "node").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    events = lots.groupBy("event", "league").agg(F.collect_list(F.struct("node", "lo", "hi")).alias("all")).where(F.size("all") > 1)
+    one = events.select("event", "league", "all", F.explode("all").alias("y"))
+    other = lambda x: (x["node"] != F.col("y.node")) & ((x["lo"] != F.col("y.hi")) | (x["hi"] != F.col("y.lo")))
+    lists = one.select("event", "league", F.col("y.node").alias("node"), F.transform(F.filter("all", other), lambda x: x["node"]).alias("rows"))
+    once = F.array_distinct(F.flatten(F.collect_list("rows"))).alias("rows")
+    if often:
+        slices = F.coalesce(F.create_map(*[F.lit(v) for pair in sorted(often.items()) for v in pair])[F.col("node")], F.lit(1))
+        lists = dealt(lists.withColumn("slice", F.pmod(F.xxhash64("event"), slices)), n, "league", "node", "slice").groupBy("league", "node", "slice").agg(once)
+    return dealt(lists.select("league", "node", "rows"), n, "league", "node").groupBy("league", "node").agg(once)
+
+
 def usage_share(lines: DataFrame, parts: DataFrame) -> DataFrame:
     """(deck, share): percent of all quantity by brand."""
     n = lines.count()

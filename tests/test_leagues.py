@@ -110,3 +110,87 @@ def test_peeling_in_passes_takes_few_jobs(spark):
         leagues.peeled_in_tasks = plain
     last = max(r or 0 for r in want.values())
     assert got == want and last > 40 and 2 <= len(passes) <= last / 3
+
+
+@pytest.fixture(scope="module")
+def odd_tables(spark, tmp_path_factory):
+    """Two regions; suppliers with large keys and without one, equal and missing quantities, repeated and lone lines."""
+    d, rng = str(tmp_path_factory.mktemp("odd")), random.Random(11)
+    keys = [2**40 + i for i in range(9)] + [3, -4, None]
+    lines = [(o, rng.choice(keys), rng.choice([1.0, 2.0, 2.0, None])) for o in range(60) for _ in range(rng.randrange(1, 6))]
+    lines += [(60, 3, float(q)) for q in range(40)] + [(61, 7, 5.0), (61, 8, 5.0), (62, 9, 1.0), (62, 9, 2.0), (900, 3, 1.0), (900, 9, 2.0)]
+    tables = {
+        "lineitem": (lines, "l_orderkey long, l_suppkey long, l_quantity double"),
+        "orders": ([(o, o % 4) for o in range(63)], "o_orderkey long, o_custkey long"),
+        "customer": ([(c, c % 2) for c in range(4)], "c_custkey long, c_nationkey int"),
+        "nation": ([(0, 0), (1, 1)], "n_nationkey int, n_regionkey int"),
+        "region": ([(0, "EAST"), (1, "WEST")], "r_regionkey int, r_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{d}/{name}.parquet")
+    return d, lines
+
+
+def test_league_filter_on_odd_lines(spark, odd_tables):
+    from tallyforge.plans.queries import QUERIES
+
+    d, lines = odd_tables
+    want = {}
+    for region, name in enumerate(("EAST", "WEST")):
+        here = [x for x in lines if x[0] < 63 and x[0] % 2 == region and x[1] is not None]
+        met = [(x, y) for x in here for y in here if x[0] == y[0] and x[1] != y[1]]
+        known = {(x[1], y[1]) for x, y in met if None not in (x[2], y[2]) and x[2] != y[2]}
+        axis = sorted({x[1] for x, _ in met})
+        rounds = plain_peel(axis, known, max(1, int((len(axis) - 1) * 0.05)))
+        want |= {(name, f"S{k:06d}"): rounds.get(k) for k in axis}
+    got = {(r.league, r.deck): r.dropped_round for r in QUERIES["league_filter"](spark, d).collect()}
+    assert got == want and any(got.values())
+
+
+def test_league_filter_makes_no_row_for_a_pair(spark, odd_tables, monkeypatch):
+    """The lines are read once and not joined with themselves: what is saved is a list for each entity."""
+    from tallyforge.plans.queries import QUERIES
+    from tallyforge.sources import state
+
+    steps, plain = [], state.saved
+    keep = lambda df: steps.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df)
+    monkeypatch.setattr(state, "saved", keep)
+    monkeypatch.setattr(leagues, "saved", keep)
+    QUERIES["league_filter"](spark, odd_tables[0])
+    assert sum(plan.count("FileScan parquet [l_orderkey") for plan in steps) == 1
+
+
+def test_columns_of_frequent_entities_in_slices(spark):
+    from tallyforge.sources import matchups
+
+    rng = random.Random(5)
+    rows = [(e, "x", rng.choice([1, 1, 1, *range(2, 30)]), float(rng.randrange(3))) for e in range(150) for _ in range(4)]
+    df = spark.createDataFrame(rows, "event long, league string, node int, value double")
+    lists = lambda often: {r.node: sorted(r.rows) for r in matchups.league_columns(df, len(rows), often).collect()}
+    want = {}
+    for e, _, a, va in rows:
+        for f, _, b, vb in rows:
+            if e == f and a != b:
+                want.setdefault(a, set()).update([b] if va != vb else [])
+    assert lists(None) == lists({1: 3}) == {k: sorted(v) for k, v in want.items()}
+
+
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_passes_join_columns_in_either_way(spark, monkeypatch, few):
+    """Passes over lists of numbers give the rounds of one task, whether the entities asked for are sent to all tasks or not."""
+    rng = random.Random(21)
+    met = {i: [] for i in range(70)}
+    for i in range(70):
+        for j in range(i + 1, 70):
+            if rng.random() < 0.4:
+                met[i].append(j)
+                met[j].append(i)
+    columns = spark.createDataFrame([("one", i, len(js), js) for i, js in met.items()], "league string, node int, known long, rows array<int>")
+    want = {r.node: r.dropped_round for r in leagues.kept_of_columns(columns, 0.05).collect()}
+    monkeypatch.setattr(leagues, "SENT", few)
+    assert want == plain_peel_of(met) == {r.node: r.dropped_round for r in leagues.kept_of_columns(columns, 0.05, block_edges=600).collect()}
+
+
+def plain_peel_of(met):
+    rounds = plain_peel(list(met), {(i, j) for i, js in met.items() for j in js}, max(1, int((len(met) - 1) * 0.05)))
+    return {i: rounds.get(i) for i in met}
